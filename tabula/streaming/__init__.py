@@ -1,0 +1,7 @@
+"""Streaming.
+
+The workloads this library covers are batch only: no stream source, window,
+watermark or state appears in them, so nothing streaming-specific is built.
+A fitted ``PipelineModel`` is a chain of column expressions, so
+``model.transform(stream_df)`` already scores a Structured Streaming frame.
+"""
