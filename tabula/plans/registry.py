@@ -964,6 +964,11 @@ def l1(spark, sf_dir):
         r("intercept", 3).alias("intercept"), r("slope").alias("slope"))
 
 
+@query("l1_l11_claims_linear_cv")
+def l1cv(spark, sf_dir):
+    return jobs.claims_regression(spark, sf_dir)
+
+
 @query("l2_rf_regressor_demand")
 def l2(spark, sf_dir):
     return jobs.demand_regression(spark, sf_dir, trees=10, depth=5)
