@@ -46,8 +46,13 @@ def hash_split(df: DataFrame, keys, weights, seed: int = 42) -> list[DataFrame]:
     cuts = cumulative_thresholds(weights)
     parts, lo = [], 0
     for hi in cuts:
-        cond = (h >= F.lit(lo)) & (h < F.lit(hi)) if hi < SPACE else (h >= F.lit(lo))
-        parts.append(df.filter(cond))
+        conds = ([h >= F.lit(lo)] if lo > 0 else []) + ([h < F.lit(hi)] if hi < SPACE else [])
+        if not conds:
+            parts.append(df)
+        elif len(conds) == 1:
+            parts.append(df.filter(conds[0]))
+        else:
+            parts.append(df.filter(h.between(F.lit(lo), F.lit(hi - 1))))
         lo = hi
     return parts
 
@@ -58,16 +63,16 @@ def with_split(df: DataFrame, keys, weights, seed: int = 42, col: str = "split")
 
 def stratified_sample(df: DataFrame, label: str, fractions: dict, keys, seed: int = 42) -> DataFrame:
     """Keep each class at its own rate; a class missing from ``fractions`` is dropped
-    (rate 0), as ``sampleBy`` does."""
-    h = hash_unit(keys, seed)
-    expr = None
+    (rate 0), as ``sampleBy`` does.  The per-class cut point is chosen first, so
+    the row hash is computed once: ``h < cut(label)``."""
+    cut = None
     for cls, frac in fractions.items():
         cond = F.col(label) == F.lit(cls)
-        keep = h < F.lit(threshold(frac))
-        expr = F.when(cond, keep) if expr is None else expr.when(cond, keep)
-    if expr is None:
+        t = F.lit(threshold(frac))
+        cut = F.when(cond, t) if cut is None else cut.when(cond, t)
+    if cut is None:
         return df.limit(0)
-    return df.filter(expr.otherwise(F.lit(False)))
+    return df.filter(hash_unit(keys, seed) < cut.otherwise(F.lit(-1)))
 
 
 def spark_stratified_sample(df: DataFrame, label: str, fractions: dict, seed: int = 12345) -> DataFrame:
