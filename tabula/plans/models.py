@@ -27,6 +27,43 @@ _ESTIMATORS = {
 }
 CLASSIFIERS = {"logistic", "svc", "tree", "rf_cls"}
 
+# The workloads' hyper-parameter grids (each searched with 3 folds).
+WORKLOAD_GRIDS = {
+    "linear": {"regParam": [0.1, 0.01], "maxIter": [10, 100], "tol": [1e-8, 1e-4],
+               "elasticNetParam": [0.001, 0.01]},
+    "rf_reg": {"maxDepth": [2, 5, 10, 20, 30], "maxBins": [10, 20, 40, 80, 100],
+               "numTrees": [10, 30, 100]},
+    "rf_reg_depth_trees": {"maxDepth": [2, 5, 10, 20, 30], "numTrees": [10, 30, 100]},
+    "logistic": {"regParam": [0.1, 0.01], "fitIntercept": [False, True],
+                 "elasticNetParam": [0.0, 0.5, 1.0]},
+    "svc": {"regParam": [0.1, 0.01], "maxIter": [1000], "tol": [1e-8]},
+    "tree": {"maxDepth": [2, 5, 10, 20, 30], "maxBins": [10, 20, 40, 80, 100]},
+    "rf_cls": {"maxDepth": [2, 5, 10, 20, 30], "maxBins": [10, 20, 40, 80, 100],
+               "numTrees": [10, 30, 100]},
+}
+
+# Small grids of the same shape for routine runs (a handful of fits each).
+QUICK_GRIDS = {
+    "linear": {"regParam": [0.1, 0.01], "elasticNetParam": [0.001, 0.01]},
+    "rf_reg": {"maxDepth": [3, 5], "numTrees": [5, 10]},
+    "logistic": {"regParam": [0.1, 0.01], "elasticNetParam": [0.0, 0.5]},
+    "svc": {"regParam": [0.1, 0.01]},
+    "tree": {"maxDepth": [2, 5], "maxBins": [32, 64]},
+    "rf_cls": {"maxDepth": [3, 5], "numTrees": [5, 10]},
+}
+
+
+def nominal_bins(df: DataFrame, cols) -> int:
+    """Smallest ``maxBins`` a tree needs for these indexed (nominal) columns:
+    the largest number of index values recorded in their ML attributes."""
+    need = 2
+    for c in cols:
+        meta = df.schema[c].metadata.get("ml_attr", {})
+        vals = meta.get("vals")
+        if vals:
+            need = max(need, len(vals))
+    return need
+
 
 def estimator(kind: str, features: str = "features", label: str = "label", **params):
     """A Spark ML estimator by short name: linear, rf_reg, logistic, svc, tree, rf_cls."""

@@ -969,6 +969,11 @@ def l1cv(spark, sf_dir):
     return jobs.claims_regression(spark, sf_dir)
 
 
+@query("l2_l11_claims_rf_cv")
+def l2cv(spark, sf_dir):
+    return jobs.claims_regression(spark, sf_dir, kind="rf_reg")
+
+
 @query("l2_rf_regressor_demand")
 def l2(spark, sf_dir):
     return jobs.demand_regression(spark, sf_dir, trees=10, depth=5)
