@@ -34,7 +34,8 @@ def regression_metrics(df: DataFrame, label: str = "label", pred: str = "predict
         F.sqrt("mse").alias("rmse"),
         "mse",
         "mae",
-        (F.lit(1.0) - F.col("sse") / (F.col("vy") * (F.col("rows") - 1))).alias("r2"),
+        # NULL (not an error under ANSI mode) when the label has no variance
+        (F.lit(1.0) - F.try_divide(F.col("sse"), F.col("vy") * (F.col("rows") - 1))).alias("r2"),
     )
 
 

@@ -1025,7 +1025,7 @@ def l12(spark, sf_dir):
     pipe = models.build_pipeline(standins.CHURN_ROLES, est, label_source="churn")
     cv = models.tune(pipe, models.grid(est, {"regParam": [0.1, 0.01], "fitIntercept": [False, True],
                                              "elasticNetParam": [0.0, 0.5, 1.0]}),
-                     models.evaluator("logistic"), df, folds=3, fold_col="fold")
+                     models.evaluator("logistic"), df, folds=3, parallelism=4, fold_col="fold")
     return models.best_params(cv, ["regParam", "fitIntercept", "elasticNetParam", "maxIter", "tol"])
 
 

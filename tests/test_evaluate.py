@@ -79,3 +79,9 @@ def test_multiclass_matches_evaluator(spark):
                        ("weighted_recall", "weightedRecall"), ("weighted_f1", "f1")]:
         ref = MulticlassClassificationEvaluator(metricName=name).evaluate(df)
         assert math.isclose(m[ours], ref, rel_tol=1e-9), name
+
+
+def test_constant_label_r2_is_null_not_error(spark):
+    df = spark.createDataFrame([(1.0, 1.0), (1.0, 2.0)], "y double, p double")
+    m = evaluate.regression_metrics(df, "y", "p").first()
+    assert m.r2 is None and m.rows == 2 and m.mae == 0.5
