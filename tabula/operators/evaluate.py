@@ -137,20 +137,22 @@ def classification_summary(df: DataFrame, label: str = "label", pred: str = "pre
 def multiclass_metrics(df: DataFrame, label: str = "label", pred: str = "prediction") -> DataFrame:
     """accuracy, weighted precision / recall / F1 (class weights = label shares).
 
-    The (label, prediction) cell counts are aggregated first; later steps work
-    on at most classes² rows.
+    One scan: the (label, prediction) cell counts are aggregated first; each
+    cell is then credited to its true class and to its predicted class by a
+    ``stack`` and re-aggregated per class (at most 2 × classes² rows), so no
+    join is needed.
     """
     cells = (df.select(_c(label).cast("double").alias("y"), _c(pred).cast("double").alias("p"))
              .groupBy("y", "p").agg(F.count(F.lit(1)).alias("n")))
-    by_label = cells.groupBy(F.col("y").alias("k")).agg(
-        F.sum("n").alias("n_true"), F.sum(F.when(F.col("y") == F.col("p"), F.col("n"))).alias("tp"))
-    by_pred = cells.groupBy(F.col("p").alias("k")).agg(F.sum("n").alias("n_pred"))
-    per = by_label.join(by_pred, "k", "left")
-    prec = F.when(F.col("n_pred") > 0, F.coalesce(F.col("tp"), F.lit(0)) / F.col("n_pred")).otherwise(0.0)
-    rec = F.coalesce(F.col("tp"), F.lit(0)) / F.col("n_true")
-    f1 = F.when(prec + rec > 0, 2 * prec * rec / (prec + rec)).otherwise(0.0)
-    per = per.select("n_true", F.coalesce(F.col("tp"), F.lit(0)).alias("tp"),
-                     prec.alias("prec"), rec.alias("rec"), f1.alias("f1"))
+    credited = cells.selectExpr(
+        "stack(2, y, n, IF(y = p, n, 0L), 0L, p, 0L, 0L, n) AS (k, n_true, tp, n_pred)")
+    per = credited.groupBy("k").agg(F.sum("n_true").alias("n_true"), F.sum("tp").alias("tp"),
+                                    F.sum("n_pred").alias("n_pred"))
+    per = per.filter(F.col("n_true") > 0)
+    prec = F.when(F.col("n_pred") > 0, F.col("tp") / F.col("n_pred")).otherwise(F.lit(0.0))
+    rec = F.col("tp") / F.col("n_true")
+    f1 = F.when(prec + rec > 0, 2 * prec * rec / (prec + rec)).otherwise(F.lit(0.0))
+    per = per.select("n_true", "tp", prec.alias("prec"), rec.alias("rec"), f1.alias("f1"))
     tot = F.sum("n_true")
     return per.agg(
         (F.sum("tp") / tot).alias("accuracy"),
