@@ -13,5 +13,5 @@ def sort_desc(df: DataFrame, col: str, *tiebreak: str) -> DataFrame:
 
 def top_n(df: DataFrame, n: int, order) -> DataFrame:
     """First ``n`` rows under a total order (``TakeOrderedAndProject``: no full sort)."""
-    order = [order] if isinstance(order, (str,)) or not isinstance(order, (list, tuple)) else order
+    order = list(order) if isinstance(order, (list, tuple)) else [order]
     return df.orderBy(*order).limit(n)

@@ -144,6 +144,21 @@ def evaluator(kind: str, label: str = "label", metric: str | None = None):
                                              metricName=metric)
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Give iterative fits at least one partition per core.
+
+    Iterative estimators make many passes over the same rows; a frame with
+    fewer partitions than the cluster has cores (a few large files, one row
+    group each) would run every pass on a few cores.  Frames that already have
+    enough partitions — the normal case at scale — are returned unchanged, so
+    no shuffle is added there.
+    """
+    target = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < target:
+        return df.repartition(target)
+    return df
+
+
 def tune(pipeline: Pipeline, param_maps: list, ev, train: DataFrame, folds: int = 3,
          parallelism: int = 1, fold_col: str | None = None, seed: int = 42):
     """k-fold grid search and refit of the best map on all rows.
@@ -151,6 +166,7 @@ def tune(pipeline: Pipeline, param_maps: list, ev, train: DataFrame, folds: int
     With ``fold_col`` (see ``with_folds``) fold membership is a pure function
     of the row key, so results repeat on any layout.
     """
+    train = spread(train)
     cv = CrossValidator(estimator=pipeline, estimatorParamMaps=param_maps, evaluator=ev,
                         numFolds=folds, parallelism=parallelism, seed=seed)
     if fold_col:
