@@ -351,6 +351,47 @@ def p11(spark, sf_dir):
         r(F.sum("l_extendedprice") / F.sum("l_quantity")).alias("price_per_unit"))
 
 
+_BIKE_MAPPED_SQL = f"""
+WITH {BIKE_CTE.strip()},
+bike_prediction_table AS (
+  SELECT instant,
+         CASE season WHEN 1 THEN 'spring' WHEN 2 THEN 'summer' WHEN 3 THEN 'fall' ELSE 'winter' END AS season,
+         yr, mnth, hr, weekday, workingday,
+         CASE weathersit WHEN 1 THEN 'Clear' WHEN 2 THEN 'Mist' WHEN 3 THEN 'Light Rain-Snow'
+              ELSE 'Heavy Rain' END AS weathersit,
+         atemp, hum, windspeed, cnt
+  FROM bike)"""
+
+
+def _bike_mapped(spark, sf_dir):
+    """The demand frame with both code columns replaced by their labels, as a named view."""
+    df = standins.bike_frame(spark, sf_dir).drop("dteday")
+    df = columns.map_codes(df, "season", SEASON_CODES, SEASON_DEFAULT)
+    df = columns.map_codes(df, "weathersit", WEATHER_CODES, WEATHER_DEFAULT)
+    return cat.register(df, "Bike_Prediction_Table")
+
+
+@query("p10_bike_sql_where", f"""{_BIKE_MAPPED_SQL.strip()}
+SELECT * FROM bike_prediction_table WHERE season = 'summer' AND windspeed > 0.4""")
+def p10b(spark, sf_dir):
+    _bike_mapped(spark, sf_dir)
+    return spark.sql("select * from bike_prediction_table where season='summer' and windspeed > 0.4")
+
+
+@query("p7_bike_season_not_spring", f"""{_BIKE_MAPPED_SQL.strip()}
+SELECT * FROM bike_prediction_table WHERE season <> 'spring'""")
+def p7b(spark, sf_dir):
+    df = _bike_mapped(spark, sf_dir)
+    return df.filter(df.season != "spring")
+
+
+@query("a4_bike_sql_season_max", f"""{_BIKE_MAPPED_SQL.strip()}
+SELECT season, max(cnt) AS max_cnt FROM bike_prediction_table GROUP BY season""")
+def a4b(spark, sf_dir):
+    _bike_mapped(spark, sf_dir)
+    return spark.sql("select season, max(cnt) AS max_cnt from bike_prediction_table group by season")
+
+
 # ================================================================ 2.3 cleaning
 
 _BLANK_SQL = """CASE WHEN l_linenumber = 1 THEN '' ELSE l_returnflag END"""

@@ -85,3 +85,19 @@ def test_constant_label_r2_is_null_not_error(spark):
     df = spark.createDataFrame([(1.0, 1.0), (1.0, 2.0)], "y double, p double")
     m = evaluate.regression_metrics(df, "y", "p").first()
     assert m.r2 is None and m.rows == 2 and m.mae == 0.5
+
+
+def test_exact_auc_with_one_score_holding_a_third_of_rows(spark):
+    # a hot score value is one row after the first aggregation; result equals brute force
+    from pyspark.sql import functions as F
+    base = spark.range(0, 3000).select(
+        F.when(F.col("id") % 3 == 0, F.lit(0.5)).otherwise((F.col("id") % 97) / 97.0).alias("score"),
+        (F.col("id") % 5 < 2).cast("double").alias("label"))
+    pdf = base.toPandas()
+    pos = pdf[pdf.label == 1].score.values
+    neg = pdf[pdf.label == 0].score.values
+    import numpy as np
+    gt = (pos[:, None] > neg[None, :]).sum() + 0.5 * (pos[:, None] == neg[None, :]).sum()
+    brute = gt / (len(pos) * len(neg))
+    ours = evaluate.exact_auc(base, "label", "score", partitions=4).first().auc
+    assert math.isclose(ours, brute, rel_tol=1e-12)

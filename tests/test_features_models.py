@@ -84,3 +84,10 @@ def test_cv_with_fold_column(spark):
     assert len(t) == 2 and sum(r.is_best for r in t) == 1
     bp = {r.param: r.value for r in models.best_params(cv).collect()}
     assert bp["maxDepth"] in ("2", "3")
+
+
+def test_spread_only_when_under_partitioned(spark):
+    small = spark.range(10).coalesce(1)
+    assert models.spread(small).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
+    wide = spark.range(100).repartition(spark.sparkContext.defaultParallelism * 2)
+    assert models.spread(wide) is wide
