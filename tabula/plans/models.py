@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import math
+from contextlib import contextmanager
 
+from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import (DecisionTreeClassifier, LinearSVC, LogisticRegression,
                                        RandomForestClassifier)
@@ -105,7 +107,9 @@ def build_pipeline(roles: Roles, est, encode: str = "onehot", scale_features: bo
 
 
 def fit(pipeline: Pipeline, train: DataFrame) -> PipelineModel:
-    return pipeline.fit(train)
+    """Fit every stage; the training rows are held once for the stages' passes."""
+    with reused(spread(train)) as frame:
+        return pipeline.fit(frame)
 
 
 def score(model, df: DataFrame) -> DataFrame:
@@ -166,12 +170,33 @@ def tune(pipeline: Pipeline, param_maps: list, ev, train: DataFrame, folds: int
     With ``fold_col`` (see ``with_folds``) fold membership is a pure function
     of the row key, so results repeat on any layout.
     """
-    train = spread(train)
     cv = CrossValidator(estimator=pipeline, estimatorParamMaps=param_maps, evaluator=ev,
                         numFolds=folds, parallelism=parallelism, seed=seed)
     if fold_col:
         cv = cv.setFoldCol(fold_col)
-    return cv.fit(train)
+    with reused(spread(train)) as frame:
+        return cv.fit(frame)
+
+
+@contextmanager
+def reused(df: DataFrame):
+    """Hold a frame that many jobs will read (fold filters, every fit, the refit).
+
+    Without this each of the search's jobs re-runs the scan, the hash columns
+    and any repartition below the frame.  ``MEMORY_AND_DISK`` spills rather
+    than fails when the frame outgrows executor memory; blocks lost with an
+    executor are recomputed from lineage.  A frame the caller already
+    persisted is used as is and left persisted.
+    """
+    if df.storageLevel != StorageLevel.NONE:
+        yield df
+        return
+    held = df.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        held.count()  # fill once, before concurrent fits race to compute it
+        yield held
+    finally:
+        held.unpersist()
 
 
 def _final_stage(model):

@@ -224,8 +224,8 @@ def s10(spark, sf_dir):
 def s11(spark, sf_dir):
     df = standins.churn_orders_frame(spark, sf_dir)
     est = models.estimator("tree", maxDepth=4)
-    model = models.build_pipeline(standins.CHURN_ORDERS_ROLES, est, encode="index",
-                                  label_source="churn").fit(df)
+    model = models.fit(models.build_pipeline(standins.CHURN_ORDERS_ROLES, est, encode="index",
+                                             label_source="churn"), df)
     path = scratch_path(spark, "s11-model")
     sinks.save_model(model, path)
     again = sinks.load_model(path)
@@ -1074,7 +1074,7 @@ def l12(spark, sf_dir):
 def l13(spark, sf_dir):
     df = standins.bike_frame(spark, sf_dir)
     est = models.estimator("rf_reg", label="cnt", numTrees=10, maxDepth=5, seed=27)
-    model = models.build_pipeline(standins.BIKE_ROLES, est, scale_features=True).fit(df)
+    model = models.fit(models.build_pipeline(standins.BIKE_ROLES, est, scale_features=True), df)
     return models.feature_importances(model, model.transform(df))
 
 
@@ -1088,8 +1088,8 @@ def l14(spark, sf_dir):
                          ("tree", {"maxDepth": 4}), ("rf_cls", {"numTrees": 5, "maxDepth": 4})]:
         est = models.estimator(kind, **params)
         encode = "index" if kind in ("tree", "rf_cls") else "onehot"
-        m = models.build_pipeline(standins.CHURN_ORDERS_ROLES, est, encode=encode,
-                                  label_source="churn").fit(train)
+        m = models.fit(models.build_pipeline(standins.CHURN_ORDERS_ROLES, est, encode=encode,
+                                             label_source="churn"), train)
         scored = m.transform(test)
         rows.append(jobs.metrics_long("leaderboard", kind, evaluate.classification_summary(scored)))
     board = reduce(DataFrame.unionByName, rows)
