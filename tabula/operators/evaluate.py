@@ -168,20 +168,22 @@ def score_of(col: str, slot: int = 1):
     return vector_to_array(F.col(col))[slot]
 
 
-def exact_auc(df: DataFrame, label: str, score, positive: float = 1.0,
-              partitions: int | None = None) -> DataFrame:
-    """Exact area under the ROC curve by the rank-sum identity, distributed.
+def score_ladder(df: DataFrame, label: str, score, positive: float = 1.0,
+                 partitions: int | None = None) -> DataFrame:
+    """One row per distinct score: s, pos, neg, pos_below, neg_below, P, N.
 
-    AUC = Σ_s pos(s) · (neg_below(s) + neg(s)/2) / (P · N) over distinct scores s.
+    ``pos_below``/``neg_below`` count the rows with a strictly lower score;
+    ``P``/``N`` are the class totals.  Every threshold curve (ROC, PR) is a
+    function of these columns, so each metric is one aggregate over them.
 
     1. aggregate positives/negatives per distinct score (partial agg; a score
        shared by a third of all rows is one row after this step);
     2. range-partition the distinct scores, sort inside partitions, tag each
        row with its partition and write the result to the checkpoint folder so
        later steps see one fixed layout even if tasks are re-run;
-    3. per-partition negative totals (one row per partition: a bounded table)
-       give each partition's offset; the running count inside a partition is a
-       window over that partition only.
+    3. per-partition totals (one row per partition: a bounded table) give each
+       partition's offset; the running count inside a partition is a window
+       over that partition only.  No window ever spans all rows.
     """
     s = _c(score).cast("double")
     y = _c(label).cast("double") == F.lit(float(positive))
@@ -192,29 +194,100 @@ def exact_auc(df: DataFrame, label: str, score, positive: float = 1.0,
     ranged = (g.repartitionByRange(n, "s").sortWithinPartitions("s")
               .withColumn("pid", F.spark_partition_id()))
     ranged = cut_lineage(ranged)
-    totals = ranged.groupBy("pid").agg(F.sum("neg").alias("pneg"))
+    totals = ranged.groupBy("pid").agg(F.sum("pos").alias("ppos"), F.sum("neg").alias("pneg"))
+    before = Window.orderBy("pid").rowsBetween(Window.unboundedPreceding, -1)
+    everything = Window.orderBy("pid").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     # One row per partition id: bounded by the partition count, safe to broadcast.
     offsets = totals.select(
         "pid",
-        (F.sum("pneg").over(Window.orderBy("pid").rowsBetween(Window.unboundedPreceding, -1)))
-        .alias("off"))
+        F.coalesce(F.sum("ppos").over(before), F.lit(0)).alias("off_pos"),
+        F.coalesce(F.sum("pneg").over(before), F.lit(0)).alias("off_neg"),
+        F.sum("ppos").over(everything).alias("P"),
+        F.sum("pneg").over(everything).alias("N"))
     w = Window.partitionBy("pid").orderBy("s").rowsBetween(Window.unboundedPreceding, -1)
-    within = ranged.withColumn("below", F.coalesce(F.sum("neg").over(w), F.lit(0)))
-    joined = within.join(F.broadcast(offsets), "pid")
-    contrib = F.col("pos") * (F.coalesce(F.col("off"), F.lit(0)) + F.col("below") + F.col("neg") / 2.0)
-    a = joined.agg(F.sum(contrib).alias("num"), F.sum("pos").alias("P"), F.sum("neg").alias("N"))
-    return a.select(F.when((F.col("P") > 0) & (F.col("N") > 0),
-                           F.col("num") / (F.col("P") * F.col("N"))).alias("auc"))
+    within = ranged.select(
+        "pid", "s", "pos", "neg",
+        F.coalesce(F.sum("pos").over(w), F.lit(0)).alias("in_pos"),
+        F.coalesce(F.sum("neg").over(w), F.lit(0)).alias("in_neg"))
+    return within.join(F.broadcast(offsets), "pid").select(
+        "s", "pos", "neg",
+        (F.col("off_pos") + F.col("in_pos")).alias("pos_below"),
+        (F.col("off_neg") + F.col("in_neg")).alias("neg_below"),
+        "P", "N")
+
+
+def _roc_area():
+    return F.col("pos") * (F.col("neg_below") + F.col("neg") / 2.0)
+
+
+def _pr_area():
+    # Trapezoid between threshold s and the point just above it.  The previous
+    # point of every threshold is the count strictly above it, so each
+    # trapezoid comes from its own row: no lag across partitions.
+    # tp + fp >= 1 at every threshold; only P can be 0 (ANSI: no division by zero).
+    P = F.col("P").cast("double")
+    tp = P - F.col("pos_below")
+    fp = F.col("N") - F.col("neg_below")
+    tp0, fp0 = tp - F.col("pos"), fp - F.col("neg")
+    prec = tp / (tp + fp)
+    prec0 = F.when(tp0 + fp0 > 0, tp0 / (tp0 + fp0)).otherwise(prec)
+    return F.try_divide(tp - tp0, P) * (prec + prec0) / 2.0
+
+
+def _areas(lad: DataFrame, roc: bool, pr: bool) -> DataFrame:
+    a = lad.agg(F.sum(_roc_area()).alias("roc"), F.sum(_pr_area()).alias("pr"),
+                F.max("P").alias("P"), F.max("N").alias("N"))
+    both = (F.col("P") > 0) & (F.col("N") > 0)
+    out = []
+    if roc:
+        out.append(F.when(both, F.col("roc") / (F.col("P") * F.col("N"))).alias("auc"))
+    if pr:
+        out.append(F.when(F.col("P") > 0, F.col("pr")).alias("auc_pr"))
+    return a.select(*out)
+
+
+def exact_auc(df: DataFrame, label: str, score, positive: float = 1.0,
+              partitions: int | None = None) -> DataFrame:
+    """Exact area under the ROC curve by the rank-sum identity, distributed.
+
+    AUC = Σ_s pos(s) · (neg_below(s) + neg(s)/2) / (P · N) over distinct scores s.
+    NULL when one class is absent.
+    """
+    return _areas(score_ladder(df, label, score, positive, partitions), roc=True, pr=False)
+
+
+def exact_pr_auc(df: DataFrame, label: str, score, positive: float = 1.0,
+                 partitions: int | None = None) -> DataFrame:
+    """Exact area under the precision-recall curve, distributed.
+
+    Thresholds are the distinct scores, highest first.  At threshold s the
+    counts at or above it are TP = P - pos_below, FP = N - neg_below; the curve
+    starts at (recall 0, precision of the first threshold) and consecutive
+    points are joined by straight lines (trapezoids), as Spark's
+    ``BinaryClassificationMetrics.areaUnderPR`` does without binning.
+    NULL when there are no positives.
+    """
+    return _areas(score_ladder(df, label, score, positive, partitions), roc=False, pr=True)
+
+
+def exact_curve_areas(df: DataFrame, label: str, score, positive: float = 1.0,
+                      partitions: int | None = None) -> DataFrame:
+    """``auc`` and ``auc_pr`` from one ladder and one aggregate."""
+    return _areas(score_ladder(df, label, score, positive, partitions), roc=True, pr=True)
 
 
 def auc(df: DataFrame, label: str = "label", score: str = "rawPrediction",
         metric: str = "areaUnderROC", exact: bool = True) -> DataFrame:
-    """Area under ROC (exact rank-sum when ``exact``) or under PR (Spark's evaluator)."""
+    """Area under ROC or PR: exact and distributed when ``exact``, else Spark's
+    evaluator (which bins the curve to 1000 points when scores are many)."""
     from pyspark.ml.evaluation import BinaryClassificationEvaluator
     dtype = dict(df.dtypes).get(score, "double") if isinstance(score, str) else "double"
-    if metric == "areaUnderROC" and exact:
+    if exact:
         sc = score_of(score) if dtype == "vector" else score
-        return exact_auc(df, label, sc)
+        if metric == "areaUnderROC":
+            return exact_auc(df, label, sc)
+        if metric == "areaUnderPR":
+            return exact_pr_auc(df, label, sc)
     ev = BinaryClassificationEvaluator(rawPredictionCol=score, labelCol=label, metricName=metric)
     value = float(ev.evaluate(df))
     return df.sparkSession.createDataFrame([(metric, value)], "metric string, value double")

@@ -108,7 +108,7 @@ def build_pipeline(roles: Roles, est, encode: str = "onehot", scale_features: bo
 
 def fit(pipeline: Pipeline, train: DataFrame) -> PipelineModel:
     """Fit every stage; the training rows are held once for the stages' passes."""
-    with reused(spread(train)) as frame:
+    with reused(train) as frame:
         return pipeline.fit(frame)
 
 
@@ -148,19 +148,41 @@ def evaluator(kind: str, label: str = "label", metric: str | None = None):
                                              metricName=metric)
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Give iterative fits at least one partition per core.
+def _cores(spark: SparkSession) -> int:
+    return spark.sparkContext.defaultParallelism
 
-    Iterative estimators make many passes over the same rows; a frame with
-    fewer partitions than the cluster has cores (a few large files, one row
-    group each) would run every pass on a few cores.  Frames that already have
-    enough partitions — the normal case at scale — are returned unchanged, so
-    no shuffle is added there.
+
+@contextmanager
+def reused(df: DataFrame, spread_out: bool = True):
+    """Hold a frame that many jobs will read (fold filters, every fit, the refit).
+
+    Without this each of those jobs re-runs the scan, the hash columns and any
+    shuffle below the frame.  ``MEMORY_AND_DISK`` spills rather than fails
+    when the frame outgrows executor memory; blocks lost with an executor are
+    recomputed from lineage.  A frame the caller already persisted is used as
+    is and left persisted.
+
+    ``spread_out``: iterative estimators make many passes over the held rows,
+    so a frame with fewer partitions than the cluster has cores (a few large
+    files of one row group each) is spread once over all cores.  The count is
+    read from the filled cache, so finding it runs nothing twice; frames that
+    already have enough partitions — the normal case at scale — are held as
+    they are, with no shuffle added.
     """
-    target = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < target:
-        return df.repartition(target)
-    return df
+    if df.storageLevel != StorageLevel.NONE:
+        yield df
+        return
+    held = df.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        held.count()  # fill once, before concurrent fits race to compute it
+        if spread_out and held.rdd.getNumPartitions() < _cores(df.sparkSession):
+            wide = held.repartition(_cores(df.sparkSession)).persist(StorageLevel.MEMORY_AND_DISK)
+            wide.count()
+            held.unpersist()
+            held = wide
+        yield held
+    finally:
+        held.unpersist()
 
 
 def tune(pipeline: Pipeline, param_maps: list, ev, train: DataFrame, folds: int = 3,
@@ -174,31 +196,10 @@ def tune(pipeline: Pipeline, param_maps: list, ev, train: DataFrame, folds: int
                         numFolds=folds, parallelism=parallelism, seed=seed)
     if fold_col:
         cv = cv.setFoldCol(fold_col)
-    with reused(spread(train)) as frame:
+    with reused(train) as frame:
         return cv.fit(frame)
 
 
-@contextmanager
-def reused(df: DataFrame):
-    """Hold a frame that many jobs will read (fold filters, every fit, the refit).
-
-    Without this each of the search's jobs re-runs the scan, the hash columns
-    and any repartition below the frame.  ``MEMORY_AND_DISK`` spills rather
-    than fails when the frame outgrows executor memory; blocks lost with an
-    executor are recomputed from lineage.  A frame the caller already
-    persisted is used as is and left persisted.
-    """
-    if df.storageLevel != StorageLevel.NONE:
-        yield df
-        return
-    held = df.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        held.count()  # fill once, before concurrent fits race to compute it
-        yield held
-    finally:
-        held.unpersist()
-
-
 def _final_stage(model):
     best = getattr(model, "bestModel", model)
     return best.stages[-1] if isinstance(best, PipelineModel) else best

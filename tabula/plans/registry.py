@@ -921,9 +921,22 @@ def e4(spark, sf_dir):
     return evaluate.exact_auc(pred_frame(spark, sf_dir), "label", "score").select(r("auc").alias("auc"))
 
 
-@query("e4_auc_pr")
+@query("e4_auc_pr", f"""
+WITH {PRED_CTE.strip()},
+g AS (SELECT score AS s, sum(label) AS pos, sum(1 - label) AS neg FROM pred GROUP BY score),
+c AS (SELECT pos, neg,
+             coalesce(sum(pos) OVER (ORDER BY s DESC ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS tp0,
+             coalesce(sum(neg) OVER (ORDER BY s DESC ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS fp0,
+             sum(pos) OVER () AS p_all
+      FROM g),
+pts AS (SELECT pos / p_all AS dx, (tp0 + pos) / (tp0 + pos + fp0 + neg) AS prec,
+               CASE WHEN tp0 + fp0 > 0 THEN tp0 / (tp0 + fp0)
+                    ELSE (tp0 + pos) / (tp0 + pos + fp0 + neg) END AS prec0
+        FROM c)
+SELECT round(sum(dx * (prec + prec0) / 2), 6) AS auc_pr FROM pts""")
 def e4pr(spark, sf_dir):
-    return evaluate.auc(pred_frame(spark, sf_dir), "label", "score", metric="areaUnderPR")
+    out = evaluate.auc(pred_frame(spark, sf_dir), "label", "score", metric="areaUnderPR")
+    return out.select(r("auc_pr").alias("auc_pr"))
 
 
 @query("e5_confusion", f"""

@@ -101,3 +101,45 @@ def test_exact_auc_with_one_score_holding_a_third_of_rows(spark):
     brute = gt / (len(pos) * len(neg))
     ours = evaluate.exact_auc(base, "label", "score", partitions=4).first().auc
     assert math.isclose(ours, brute, rel_tol=1e-12)
+
+
+def _brute_pr(labels, scores):
+    """Trapezoids over the PR points of every distinct threshold, highest first,
+    starting at (0, precision of the first threshold)."""
+    P = sum(labels)
+    pts = []
+    for t in sorted(set(scores), reverse=True):
+        tp = sum(1 for y, s in zip(labels, scores) if s >= t and y == 1)
+        fp = sum(1 for y, s in zip(labels, scores) if s >= t and y == 0)
+        pts.append((tp / P, tp / (tp + fp)))
+    pts = [(0.0, pts[0][1])] + pts
+    return sum((x1 - x0) * (y1 + y0) / 2 for (x0, y0), (x1, y1) in zip(pts, pts[1:]))
+
+
+def test_exact_pr_auc_matches_evaluator_when_scores_are_few(spark):
+    df = preds(spark)
+    ours = evaluate.exact_pr_auc(df, "label", "score").first().auc_pr
+    ref = BinaryClassificationEvaluator(rawPredictionCol="score", labelCol="label",
+                                        metricName="areaUnderPR").evaluate(df)
+    assert math.isclose(ours, ref, rel_tol=1e-9)
+
+
+def test_exact_pr_auc_brute_force_with_hot_score(spark):
+    from pyspark.sql import functions as F
+    base = spark.range(0, 600).select(
+        F.when(F.col("id") % 3 == 0, F.lit(0.5)).otherwise((F.col("id") % 37) / 37.0).alias("score"),
+        (F.col("id") % 7 < 3).cast("double").alias("label"))
+    pdf = base.toPandas()
+    brute = _brute_pr(list(pdf.label), list(pdf.score))
+    ours = evaluate.exact_pr_auc(base, "label", "score", partitions=5).first().auc_pr
+    assert math.isclose(ours, brute, rel_tol=1e-12)
+    # the first threshold being all negatives starts the curve at precision 0
+    rows = [(0.0, 0.9), (1.0, 0.5), (0.0, 0.5), (1.0, 0.1)]
+    df = spark.createDataFrame(rows, "label double, score double")
+    assert math.isclose(evaluate.exact_pr_auc(df, "label", "score", partitions=2).first().auc_pr,
+                        _brute_pr([r[0] for r in rows], [r[1] for r in rows]), rel_tol=1e-12)
+
+
+def test_pr_auc_without_positives_is_null(spark):
+    df = spark.createDataFrame([(0.0, 0.3), (0.0, 0.7)], "label double, score double")
+    assert evaluate.exact_pr_auc(df, "label", "score").first().auc_pr is None

@@ -86,8 +86,20 @@ def test_cv_with_fold_column(spark):
     assert bp["maxDepth"] in ("2", "3")
 
 
-def test_spread_only_when_under_partitioned(spark):
+def test_reused_spreads_only_when_under_partitioned(spark):
+    from pyspark import StorageLevel
+    cores = spark.sparkContext.defaultParallelism
     small = spark.range(10).coalesce(1)
-    assert models.spread(small).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
-    wide = spark.range(100).repartition(spark.sparkContext.defaultParallelism * 2)
-    assert models.spread(wide) is wide
+    with models.reused(small) as held:
+        assert held.rdd.getNumPartitions() == cores
+        assert held.storageLevel != StorageLevel.NONE
+        assert held.count() == 10
+    assert held.storageLevel == StorageLevel.NONE  # released afterwards
+    wide = spark.range(100).repartition(cores * 2)
+    with models.reused(wide) as held:
+        assert held.rdd.getNumPartitions() == cores * 2
+    kept = spark.range(5).persist()
+    with models.reused(kept) as held:
+        assert held is kept
+    assert kept.storageLevel != StorageLevel.NONE  # the caller's cache is left alone
+    kept.unpersist()

@@ -30,3 +30,4 @@ def test_churn_classification(spark):
     assert vals["total"] == vals["correct"] + vals["wrong"]
     assert math.isclose(vals["ratio_correct"] + vals["ratio_wrong"], 1.0)
     assert 0.0 <= vals["auc_score"] <= 1.0
+    assert 0.0 <= vals["auc_pr"] <= 1.0
