@@ -103,3 +103,32 @@ def test_reused_spreads_only_when_under_partitioned(spark):
         assert held is kept
     assert kept.storageLevel != StorageLevel.NONE  # the caller's cache is left alone
     kept.unpersist()
+
+
+def test_shared_prefix_grid_search_equals_plain_pipeline(spark):
+    from pyspark.ml import Pipeline
+    df = sampling.with_folds(standins.churn_orders_frame(spark, SF_SMALL), "o_orderkey", 3, seed=7)
+    est = models.estimator("logistic", maxIter=15)
+    shared = models.build_pipeline(standins.CHURN_ORDERS_ROLES, est, label_source="churn")
+    assert isinstance(shared, models.SharedPrefixPipeline)
+    plain = Pipeline(stages=shared.getStages())
+    g = models.grid(est, {"regParam": [0.1, 0.01], "elasticNetParam": [0.0, 0.5]})
+    ev = models.evaluator("logistic")
+    a = models.tune(shared, g, ev, df, folds=3, parallelism=3, fold_col="fold")
+    b = models.tune(plain, g, ev, df, folds=3, parallelism=1, fold_col="fold")
+    assert [round(x, 12) for x in a.avgMetrics] == [round(x, 12) for x in b.avgMetrics]
+    # one indexer model shared by every map of a fold
+    it = shared.fitMultiple(df, g)
+    fitted = [m for _, m in it]
+    assert len({id(m.stages[0]) for m in fitted}) == 1
+    assert {m.stages[-1].getRegParam() for m in fitted} == {0.1, 0.01}
+
+
+def test_shared_prefix_falls_back_when_grid_touches_encoders(spark):
+    df = standins.churn_orders_frame(spark, SF_SMALL)
+    est = models.estimator("logistic", maxIter=5)
+    pipe = models.build_pipeline(standins.CHURN_ORDERS_ROLES, est, label_source="churn")
+    indexer = pipe.getStages()[0]
+    g = models.grid(indexer, {"handleInvalid": ["keep", "skip"]})
+    fitted = [m for _, m in pipe.fitMultiple(df, g)]
+    assert {m.stages[0].getHandleInvalid() for m in fitted} == {"keep", "skip"}
