@@ -197,6 +197,11 @@ def evaluator(kind: str, label: str = "label", metric: str | None = None):
                                              metricName=metric)
 
 
+# Below this many rows per task an optimizer pass costs less than scheduling the
+# task, so small frames are not spread (each iteration is one job over them).
+MIN_ROWS_PER_TASK = 10_000
+
+
 def _cores(spark: SparkSession) -> int:
     return spark.sparkContext.defaultParallelism
 
@@ -213,7 +218,8 @@ def reused(df: DataFrame, spread_out: bool = True):
 
     ``spread_out``: iterative estimators make many passes over the held rows,
     so a frame with fewer partitions than the cluster has cores (a few large
-    files of one row group each) is spread once over all cores.  The count is
+    files of one row group each) is spread once over up to all cores, keeping
+    at least ``MIN_ROWS_PER_TASK`` rows per partition.  The count is
     read from the filled cache, so finding it runs nothing twice; frames that
     already have enough partitions — the normal case at scale — are held as
     they are, with no shuffle added.
@@ -223,9 +229,10 @@ def reused(df: DataFrame, spread_out: bool = True):
         return
     held = df.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        held.count()  # fill once, before concurrent fits race to compute it
-        if spread_out and held.rdd.getNumPartitions() < _cores(df.sparkSession):
-            wide = held.repartition(_cores(df.sparkSession)).persist(StorageLevel.MEMORY_AND_DISK)
+        rows = held.count()  # fill once, before concurrent fits race to compute it
+        want = min(_cores(df.sparkSession), rows // MIN_ROWS_PER_TASK)
+        if spread_out and held.rdd.getNumPartitions() < want:
+            wide = held.repartition(want).persist(StorageLevel.MEMORY_AND_DISK)
             wide.count()
             held.unpersist()
             held = wide

@@ -89,12 +89,14 @@ def test_cv_with_fold_column(spark):
 def test_reused_spreads_only_when_under_partitioned(spark):
     from pyspark import StorageLevel
     cores = spark.sparkContext.defaultParallelism
-    small = spark.range(10).coalesce(1)
-    with models.reused(small) as held:
+    many = spark.range(models.MIN_ROWS_PER_TASK * cores).coalesce(1)
+    with models.reused(many) as held:
         assert held.rdd.getNumPartitions() == cores
         assert held.storageLevel != StorageLevel.NONE
-        assert held.count() == 10
     assert held.storageLevel == StorageLevel.NONE  # released afterwards
+    few = spark.range(10).coalesce(1)  # too few rows to be worth more tasks
+    with models.reused(few) as held:
+        assert held.rdd.getNumPartitions() == 1 and held.count() == 10
     wide = spark.range(100).repartition(cores * 2)
     with models.reused(wide) as held:
         assert held.rdd.getNumPartitions() == cores * 2
