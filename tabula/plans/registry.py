@@ -177,6 +177,62 @@ def s5_json(spark, sf_dir):
     return readers.read_table(spark, path, "json", schema=schema)
 
 
+_S4_SQL = """
+SELECT l_returnflag AS state_code, l_linenumber AS account_length, l_linestatus AS area_code,
+       CASE WHEN l_discount > 0.05 THEN 'yes' ELSE 'no' END AS international_plan,
+       CASE WHEN l_tax > 0.04 THEN 'yes' ELSE 'no' END AS voice_mail_plan,
+       CASE WHEN l_linenumber <> 7 THEN l_quantity END AS num_voice_mail,
+       l_extendedprice AS total_day_mins, l_quantity AS total_day_calls, l_discount AS total_day_charge,
+       l_tax AS total_evening_mins, CAST(l_orderkey AS DOUBLE) AS total_evening_calls,
+       CAST(l_partkey AS DOUBLE) AS total_evening_charge, CAST(l_suppkey AS DOUBLE) AS total_night_mins,
+       CAST(l_linenumber AS DOUBLE) AS total_night_calls, l_tax AS total_night_charge,
+       l_discount AS total_international_mins, l_quantity AS total_international_calls,
+       l_extendedprice AS total_international_charge, CAST(l_linenumber AS DOUBLE) AS customer_service_calls,
+       CASE WHEN l_returnflag = 'R' THEN 'True' ELSE 'False' END AS churn
+FROM lineitem"""
+
+
+@query("s4_declared_churn_schema", _S4_SQL)
+def s4(spark, sf_dir):
+    # The file keeps its own header names and 'NA' tokens; the declared
+    # 20-field schema binds by position and turns 'NA' into NULL.
+    path = scratch_path(spark, "s4-churn-csv")
+    (standins.churn_file_frame(spark, sf_dir).write.option("header", True)
+     .option("nullValue", "NA").csv(path))
+    return readers.read_csv(spark, path, schema=readers.CHURN_SCHEMA, null_value="NA")
+
+
+@query("s5_text_roundtrip", """
+SELECT CAST(o_orderkey AS VARCHAR) || '|' || o_orderstatus || '|' || o_orderpriority AS value,
+       o_orderkey, o_orderpriority FROM orders""")
+def s5_text(spark, sf_dir):
+    path = scratch_path(spark, "s5-orders-text")
+    o = T(spark, sf_dir, "orders")
+    o.select(F.concat_ws("|", F.col("o_orderkey").cast("string"), "o_orderstatus",
+                         "o_orderpriority").alias("value")).write.text(path)
+    lines = readers.read_table(spark, path, "text")
+    parts = F.split("value", r"\|")
+    return lines.select("value", parts[0].cast("long").alias("o_orderkey"),
+                        parts[2].alias("o_orderpriority"))
+
+
+@query("s5_libsvm_roundtrip", """
+SELECT CASE WHEN l_returnflag = 'R' THEN 1.0 ELSE 0.0 END::DOUBLE AS label,
+       l_quantity AS f0, l_discount AS f1, l_tax AS f2 FROM lineitem""")
+def s5_libsvm(spark, sf_dir):
+    from pyspark.ml.functions import vector_to_array
+    path = scratch_path(spark, "s5-lineitem-libsvm")
+    li = T(spark, sf_dir, "lineitem").select(
+        F.when(F.col("l_returnflag") == "R", 1.0).otherwise(0.0).alias("label"),
+        "l_quantity", "l_discount", "l_tax")
+    features.assemble(["l_quantity", "l_discount", "l_tax"], "features").transform(li) \
+        .select("label", "features").write.format("libsvm").save(path)
+    # numFeatures given: no extra pass to find the widest row
+    back = readers.read_table(spark, path, "libsvm", numFeatures=3)
+    a = vector_to_array("features")
+    return back.select("label", a[0].alias("f0"), a[1].alias("f1"), a[2].alias("f2"))
+
+
 @query("s6_materialize", """
 SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber::BIGINT AS l_linenumber, l_quantity,
        l_extendedprice, l_discount, l_tax, l_returnflag, l_linestatus,

@@ -105,3 +105,45 @@ def churn_orders_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
 CHURN_ORDERS_ROLES = Roles(categorical=("o_orderpriority",),
                            numeric=("totalprice", "order_year", "order_month"),
                            label="churn", ids=("o_orderkey",))
+
+
+# The churn file's own header names, in file order (they differ
+# from the declared names; a declared schema binds by position).
+CHURN_FILE_HEADER = (
+    "State", "Account length", "Area code", "International plan", "Voice mail plan",
+    "Number vmail messages", "Total day minutes", "Total day calls", "Total day charge",
+    "Total eve minutes", "Total eve calls", "Total eve charge", "Total night minutes",
+    "Total night calls", "Total night charge", "Total intl minutes", "Total intl calls",
+    "Total intl charge", "Customer service calls", "Churn",
+)
+
+
+def churn_file_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A churn-shaped 20-column frame from ``lineitem``, named as the churn file
+    names its columns; ``Number vmail messages`` is missing on line 7 of each
+    order (written as the file's ``NA`` token)."""
+    li = _t(spark, sf_dir, "lineitem")
+    yes_no = lambda cond: F.when(cond, F.lit("yes")).otherwise(F.lit("no"))
+    cols = [
+        F.col("l_returnflag"),
+        F.col("l_linenumber"),
+        F.col("l_linestatus"),
+        yes_no(F.col("l_discount") > 0.05),
+        yes_no(F.col("l_tax") > 0.04),
+        F.when(F.col("l_linenumber") != 7, F.col("l_quantity")),
+        F.col("l_extendedprice"),
+        F.col("l_quantity"),
+        F.col("l_discount"),
+        F.col("l_tax"),
+        F.col("l_orderkey").cast("double"),
+        F.col("l_partkey").cast("double"),
+        F.col("l_suppkey").cast("double"),
+        F.col("l_linenumber").cast("double"),
+        F.col("l_tax"),
+        F.col("l_discount"),
+        F.col("l_quantity"),
+        F.col("l_extendedprice"),
+        F.col("l_linenumber").cast("double"),
+        F.when(F.col("l_returnflag") == "R", F.lit("True")).otherwise(F.lit("False")),
+    ]
+    return li.select(*[c.alias(n) for c, n in zip(cols, CHURN_FILE_HEADER)])
