@@ -8,7 +8,6 @@ from contextlib import contextmanager
 
 from pyspark import StorageLevel
 from pyspark.ml import Estimator, Pipeline, PipelineModel
-from pyspark.ml.base import _FitMultipleIterator
 from pyspark.ml.classification import (DecisionTreeClassifier, LinearSVC, LogisticRegression,
                                        RandomForestClassifier)
 from pyspark.ml.evaluation import (BinaryClassificationEvaluator, MulticlassClassificationEvaluator,
@@ -78,6 +77,26 @@ def estimator(kind: str, features: str = "features", label: str = "label", **par
     return est
 
 
+class _ModelsByIndex:
+    """Thread-safe iterator of ``(index, model)``: the contract ``fitMultiple`` has with
+    ``CrossValidator``, whose worker threads each take the next index and fit it."""
+
+    def __init__(self, fit_one, count: int):
+        self._fit_one, self._count, self._next = fit_one, count, 0
+        self._lock = threading.Lock()
+
+    def __iter__(self):
+        return self
+
+    def __next__(self):
+        with self._lock:
+            index = self._next
+            if index >= self._count:
+                raise StopIteration
+            self._next += 1
+        return index, self._fit_one(index)
+
+
 class SharedPrefixPipeline(Pipeline):
     """A ``Pipeline`` whose grid search fits the encoding stages once per training frame.
 
@@ -122,7 +141,7 @@ class SharedPrefixPipeline(Pipeline):
                         rows.unpersist()
             return PipelineModel(stages=list(prefix.stages) + [model])
 
-        return _FitMultipleIterator(fit_one, len(paramMaps))
+        return _ModelsByIndex(fit_one, len(paramMaps))
 
 
 def build_pipeline(roles: Roles, est, encode: str = "onehot", scale_features: bool = False,
