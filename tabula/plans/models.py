@@ -77,12 +77,27 @@ def estimator(kind: str, features: str = "features", label: str = "label", **par
     return est
 
 
+def _own_local_properties(spark: SparkSession) -> None:
+    """Give the calling thread its own copy of the SparkContext local properties.
+
+    ``CrossValidator`` hands all worker threads of a fold one shared Java
+    ``Properties`` object (it wraps its tasks once with
+    ``inheritable_thread_target``).  SQL executions running at the same time
+    set and clear their execution-id entries on that one object, and a thread
+    can then read a just-cleared entry ("Cannot parse null string").  A private
+    copy per thread, taken before the thread runs any job, removes the race.
+    """
+    jsc = spark.sparkContext._jsc.sc()
+    jsc.setLocalProperties(jsc.getLocalProperties().clone())
+
+
 class _ModelsByIndex:
     """Thread-safe iterator of ``(index, model)``: the contract ``fitMultiple`` has with
-    ``CrossValidator``, whose worker threads each take the next index and fit it."""
+    ``CrossValidator``, whose worker threads each take the next index and fit it
+    (and then evaluate it, in the same thread)."""
 
-    def __init__(self, fit_one, count: int):
-        self._fit_one, self._count, self._next = fit_one, count, 0
+    def __init__(self, spark: SparkSession, fit_one, count: int):
+        self._spark, self._fit_one, self._count, self._next = spark, fit_one, count, 0
         self._lock = threading.Lock()
 
     def __iter__(self):
@@ -94,6 +109,7 @@ class _ModelsByIndex:
             if index >= self._count:
                 raise StopIteration
             self._next += 1
+        _own_local_properties(self._spark)
         return index, self._fit_one(index)
 
 
@@ -107,15 +123,19 @@ class SharedPrefixPipeline(Pipeline):
     parameters of the last stage, the stages before it see the same rows with
     the same parameters each time and give the same fitted models, so they
     are fitted once and shared; only the last stage is fitted per map.  Any
-    other grid falls back to the plain behaviour.  ``fit`` is unchanged.
+    other grid fits the whole pipeline per map.  Either way each worker thread
+    runs on its own copy of the local properties (see ``_own_local_properties``).
+    ``fit`` is unchanged.
     """
 
     def fitMultiple(self, dataset, paramMaps):
         stages = self.getStages()
         last = stages[-1] if stages else None
+        spark = dataset.sparkSession
         if (len(stages) < 2 or not isinstance(last, Estimator)
                 or any(p.parent != last.uid for m in paramMaps for p in m)):
-            return super().fitMultiple(dataset, paramMaps)
+            whole = self.copy()
+            return _ModelsByIndex(spark, lambda i: whole.fit(dataset, paramMaps[i]), len(paramMaps))
         lock = threading.Lock()
         shared: dict = {"done": 0}
 
@@ -141,7 +161,7 @@ class SharedPrefixPipeline(Pipeline):
                         rows.unpersist()
             return PipelineModel(stages=list(prefix.stages) + [model])
 
-        return _ModelsByIndex(fit_one, len(paramMaps))
+        return _ModelsByIndex(spark, fit_one, len(paramMaps))
 
 
 def build_pipeline(roles: Roles, est, encode: str = "onehot", scale_features: bool = False,

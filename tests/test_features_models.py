@@ -134,3 +134,24 @@ def test_shared_prefix_falls_back_when_grid_touches_encoders(spark):
     g = models.grid(indexer, {"handleInvalid": ["keep", "skip"]})
     fitted = [m for _, m in pipe.fitMultiple(df, g)]
     assert {m.stages[0].getHandleInvalid() for m in fitted} == {"keep", "skip"}
+
+
+def test_grid_search_workers_get_private_local_properties(spark):
+    # CrossValidator wraps all of a fold's tasks with one inheritable_thread_target
+    # call, so its workers start on one shared Properties object; ours copy it first.
+    from concurrent.futures import ThreadPoolExecutor
+    from pyspark.util import inheritable_thread_target
+    jvm, sc = spark.sparkContext._jvm, spark.sparkContext._jsc.sc()
+    ident = lambda: jvm.System.identityHashCode(sc.getLocalProperties())
+    it = models._ModelsByIndex(spark, lambda i: ident(), 2)
+    wrap = inheritable_thread_target(spark)
+
+    def task():
+        shared = ident()
+        _, own = next(it)
+        return shared, own
+
+    with ThreadPoolExecutor(2) as pool:
+        (s1, o1), (s2, o2) = pool.map(lambda f: f(), [wrap(task), wrap(task)])
+    assert s1 == s2  # the hand-off shares one object ...
+    assert len({s1, o1, o2}) == 3  # ... and each worker continues on its own copy
