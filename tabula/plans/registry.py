@@ -1153,13 +1153,14 @@ def l14(spark, sf_dir):
     df = standins.churn_orders_frame(spark, sf_dir)
     train, test = sampling.hash_split(df, "o_orderkey", [0.8, 0.2], seed=42)
     rows = []
-    for kind, params in [("logistic", {"maxIter": 20}), ("svc", {"maxIter": 20}),
-                         ("tree", {"maxDepth": 4}), ("rf_cls", {"numTrees": 5, "maxDepth": 4})]:
-        est = models.estimator(kind, **params)
-        encode = "index" if kind in ("tree", "rf_cls") else "onehot"
-        m = models.fit(models.build_pipeline(standins.CHURN_ORDERS_ROLES, est, encode=encode,
-                                             label_source="churn"), train)
-        scored = m.transform(test)
-        rows.append(jobs.metrics_long("leaderboard", kind, evaluate.classification_summary(scored)))
+    with models.reused(train) as held:  # one held training split for all four fits
+        for kind, params in [("logistic", {"maxIter": 20}), ("svc", {"maxIter": 20}),
+                             ("tree", {"maxDepth": 4}), ("rf_cls", {"numTrees": 5, "maxDepth": 4})]:
+            est = models.estimator(kind, **params)
+            encode = "index" if kind in ("tree", "rf_cls") else "onehot"
+            m = models.fit(models.build_pipeline(standins.CHURN_ORDERS_ROLES, est, encode=encode,
+                                                 label_source="churn"), held)
+            scored = m.transform(test)
+            rows.append(jobs.metrics_long("leaderboard", kind, evaluate.classification_summary(scored)))
     board = reduce(DataFrame.unionByName, rows)
     return board.orderBy("metric", F.desc("value"), "model")
