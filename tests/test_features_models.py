@@ -155,3 +155,14 @@ def test_grid_search_workers_get_private_local_properties(spark):
         (s1, o1), (s2, o2) = pool.map(lambda f: f(), [wrap(task), wrap(task)])
     assert s1 == s2  # the hand-off shares one object ...
     assert len({s1, o1, o2}) == 3  # ... and each worker continues on its own copy
+
+
+def test_shared_prefix_can_hold_encoded_rows(spark, monkeypatch):
+    monkeypatch.setattr(models, "HOLD_ENCODED_ROWS", True)
+    spark.catalog.clearCache()
+    df = standins.churn_orders_frame(spark, SF_SMALL)
+    est = models.estimator("logistic", maxIter=5)
+    pipe = models.build_pipeline(standins.CHURN_ORDERS_ROLES, est, label_source="churn")
+    fitted = [m for _, m in pipe.fitMultiple(df, models.grid(est, {"regParam": [0.1, 0.01]}))]
+    assert sorted(m.stages[-1].getRegParam() for m in fitted) == [0.01, 0.1]
+    assert spark._jsparkSession.sharedState().cacheManager().isEmpty()  # released after the last fit
