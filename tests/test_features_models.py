@@ -94,6 +94,9 @@ def test_reused_spreads_only_when_under_partitioned(spark):
         assert held.rdd.getNumPartitions() == cores
         assert held.storageLevel != StorageLevel.NONE
     assert held.storageLevel == StorageLevel.NONE  # released afterwards
+    some = spark.range(models.MIN_ROWS_PER_TASK * 3).coalesce(1)  # as many tasks as the rows fill
+    with models.reused(some) as held:
+        assert held.rdd.getNumPartitions() == min(3, cores)
     few = spark.range(10).coalesce(1)  # too few rows to be worth more tasks
     with models.reused(few) as held:
         assert held.rdd.getNumPartitions() == 1 and held.count() == 10
