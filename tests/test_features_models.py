@@ -169,3 +169,9 @@ def test_shared_prefix_can_hold_encoded_rows(spark, monkeypatch):
     fitted = [m for _, m in pipe.fitMultiple(df, models.grid(est, {"regParam": [0.1, 0.01]}))]
     assert sorted(m.stages[-1].getRegParam() for m in fitted) == [0.01, 0.1]
     assert spark._jsparkSession.sharedState().cacheManager().isEmpty()  # released after the last fit
+
+
+def test_tree_estimators_cache_node_ids():
+    for kind in ("tree", "rf_cls", "rf_reg"):
+        assert models.estimator(kind).getCacheNodeIds()
+    assert models.estimator("tree", cacheNodeIds=False).getCacheNodeIds() is False
