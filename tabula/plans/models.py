@@ -99,7 +99,10 @@ def _own_local_properties(spark: SparkSession) -> None:
     can then read a just-cleared entry ("Cannot parse null string").  A private
     copy per thread, taken before the thread runs any job, removes the race.
     """
-    jsc = spark.sparkContext._jsc.sc()
+    try:
+        jsc = spark.sparkContext._jsc.sc()
+    except Exception:  # noqa: BLE001 - Spark Connect: no JVM context on the client
+        return
     jsc.setLocalProperties(jsc.getLocalProperties().clone())
 
 
