@@ -143,3 +143,11 @@ def test_exact_pr_auc_brute_force_with_hot_score(spark):
 def test_pr_auc_without_positives_is_null(spark):
     df = spark.createDataFrame([(0.0, 0.3), (0.0, 0.7)], "label double, score double")
     assert evaluate.exact_pr_auc(df, "label", "score").first().auc_pr is None
+
+
+def test_curve_areas_from_one_ladder_equal_the_separate_areas(spark):
+    df = preds(spark)
+    both = evaluate.exact_curve_areas(df, "label", "score", partitions=3).first()
+    assert math.isclose(both.auc, evaluate.exact_auc(df, "label", "score").first().auc, rel_tol=1e-12)
+    assert math.isclose(both.auc_pr, evaluate.exact_pr_auc(df, "label", "score").first().auc_pr,
+                        rel_tol=1e-12)
