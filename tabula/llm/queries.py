@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import mixing, packing, secret_scan
+from . import minmax, mixing, packing, secret_scan, substring
 from .common import table
 
 
@@ -18,9 +18,17 @@ def op2_markov_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.report(docs, secret_scan.model_for(docs))
 
 
+def op3_window_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring.report(table(spark, sf_dir, "documents"))
+
+
+def op7_minmax_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minmax.near_duplicates(table(spark, sf_dir, "documents"), n=3, percent=85)
+
+
 def op10_swap_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(packing.pieces(table(spark, sf_dir, "documents")))
 
 
-QUERIES = {f.__name__: f for f in (op1_cube_mixing, op2_markov_secrets, op10_swap_packing)}
+QUERIES = {f.__name__: f for f in (op1_cube_mixing, op2_markov_secrets, op3_window_dedup, op7_minmax_dedup, op10_swap_packing)}
 ORACLES: dict[str, str] = {}
