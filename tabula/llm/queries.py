@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import minmax, mixing, packing, secret_scan, substring
+from . import langid, minmax, mixing, packing, secret_scan, substring
 from .common import table
 
 
@@ -26,9 +26,16 @@ def op7_minmax_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minmax.near_duplicates(table(spark, sf_dir, "documents"), n=3, percent=85)
 
 
+def op8_bitmask_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = langid.train(docs.filter(~langid.held_out()).select("doc_id", "text", "lang"))
+    found = langid.identify(docs.select("doc_id", "text"), model)
+    return found.select("doc_id", langid.held_out().alias("held_out"), "lang_pred", "score", "margin")
+
+
 def op10_swap_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(packing.pieces(table(spark, sf_dir, "documents")))
 
 
-QUERIES = {f.__name__: f for f in (op1_cube_mixing, op2_markov_secrets, op3_window_dedup, op7_minmax_dedup, op10_swap_packing)}
+QUERIES = {f.__name__: f for f in (op1_cube_mixing, op2_markov_secrets, op3_window_dedup, op7_minmax_dedup, op8_bitmask_langid, op10_swap_packing)}
 ORACLES: dict[str, str] = {}
