@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import langid, minmax, mixing, packing, secret_scan, substring
+from . import langid, minmax, mixing, packing, quality, rules, secret_scan, substring
 from .common import table
 
 
@@ -22,6 +23,10 @@ def op3_window_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring.report(table(spark, sf_dir, "documents"))
 
 
+def op4_forest_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rules.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op7_minmax_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minmax.near_duplicates(table(spark, sf_dir, "documents"), n=3, percent=85)
 
@@ -33,9 +38,17 @@ def op8_bitmask_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", langid.held_out().alias("held_out"), "lang_pred", "score", "margin")
 
 
+def op9_indexing_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    model = quality.train(docs, labels.filter(~langid.held_out()))
+    predicted = F.when(F.col("score") >= 0.5, 1).otherwise(0).alias("predicted")
+    return quality.score(docs, model).select("doc_id", langid.held_out().alias("held_out"), "score", predicted)
+
+
 def op10_swap_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(packing.pieces(table(spark, sf_dir, "documents")))
 
 
-QUERIES = {f.__name__: f for f in (op1_cube_mixing, op2_markov_secrets, op3_window_dedup, op7_minmax_dedup, op8_bitmask_langid, op10_swap_packing)}
+QUERIES = {f.__name__: f for f in (op1_cube_mixing, op2_markov_secrets, op3_window_dedup, op4_forest_rules, op7_minmax_dedup,
+                                op8_bitmask_langid, op9_indexing_quality, op10_swap_packing)}
 ORACLES: dict[str, str] = {}
