@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import langid, minmax, mixing, packing, quality, rules, secret_scan, substring
+from . import embed_join, langid, minmax, mixing, packing, quality, rules, secret_scan, substring
 from .common import table
 
 
@@ -27,6 +27,10 @@ def op4_forest_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rules.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op6_pivot_range_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embed_join.range_join(table(spark, sf_dir, "embeddings"), 0.98)
+
+
 def op7_minmax_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minmax.near_duplicates(table(spark, sf_dir, "documents"), n=3, percent=85)
 
@@ -49,6 +53,6 @@ def op10_swap_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(packing.pieces(table(spark, sf_dir, "documents")))
 
 
-QUERIES = {f.__name__: f for f in (op1_cube_mixing, op2_markov_secrets, op3_window_dedup, op4_forest_rules, op7_minmax_dedup,
+QUERIES = {f.__name__: f for f in (op1_cube_mixing, op2_markov_secrets, op3_window_dedup, op4_forest_rules, op6_pivot_range_join, op7_minmax_dedup,
                                 op8_bitmask_langid, op9_indexing_quality, op10_swap_packing)}
 ORACLES: dict[str, str] = {}
