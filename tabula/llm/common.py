@@ -145,3 +145,28 @@ def word_spans(text: pa.Array, hashes: bool = True, lower: bool = False) -> Word
 def count_words(text: pa.Array) -> np.ndarray:
     """Words in every row, int64."""
     return np.diff(word_spans(text, hashes=False).first)
+
+
+def chunked(docs: DataFrame, chunk_bytes: int) -> tuple[DataFrame, int]:
+    """Deal documents into chunks of consecutive integer ids with about ``chunk_bytes`` of text each.
+
+    Returns (chunk, doc_id, text) and the size of all text.  Chunks are
+    numbered in the order of the ids; rows without an id are in the first.
+    The borders are quantiles of the ids: a few numbers a chunk on the driver.
+    """
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    rows, size = docs.agg(F.count("doc_id"), F.sum(F.octet_length("text"))).first()
+    chunks = max(1, -(-(size or 0) // chunk_bytes))
+    ends: list[int] = []
+    if chunks > 1 and rows:
+        at = F.array(*[F.lit(i / chunks) for i in range(1, chunks)])
+        ends = sorted(set(docs.select(F.percentile_approx("doc_id", at, 100 * chunks)).first()[0]))
+
+    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ids = batch.column("doc_id")
+            known = ids.cast(pa.int64()).fill_null(np.iinfo(np.int64).min).to_numpy(zero_copy_only=False)
+            chunk = np.searchsorted(np.array(ends, np.int64), known, "right")
+            yield pa.RecordBatch.from_arrays([pa.array(chunk.astype(np.int64)), ids, batch.column("text")], ["chunk", "doc_id", "text"])
+
+    return docs.select("doc_id", "text").mapInArrow(place, f"chunk long, doc_id {kind}, text string"), size or 0

@@ -28,7 +28,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import U64, mix64, powers, slices, word_spans
+from .common import U64, chunked, mix64, powers, slices, word_spans
 
 _WINDOW_BASE = 0xC2B2AE3D27D4EB4F
 _WINDOW_INVERSE = pow(_WINDOW_BASE, -1, 1 << 64)
@@ -86,19 +86,8 @@ def _text(rows: pa.Table) -> pa.Array:
 def remove_repeats(docs: DataFrame, width: int = 50, chunk_bytes: int = CHUNK_BYTES, bucket_windows: int = BUCKET_WINDOWS) -> DataFrame:
     """(doc_id, n_words, n_removed, kept_text) of every row: words that no repeated window covers."""
     kind = docs.schema["doc_id"].dataType.simpleString()
-    rows, size = docs.agg(F.count("doc_id"), F.sum(F.octet_length("text"))).first()
-    chunks, buckets = max(1, -(-(size or 0) // chunk_bytes)), max(1, -(-(size or 0) // (6 * bucket_windows)))
-    # ids that part the documents evenly; a few numbers a chunk
-    ends = docs.select(F.percentile_approx("doc_id", F.array(*[F.lit(i / chunks) for i in range(1, chunks)]), 100 * chunks)).first()[0] if chunks > 1 and rows else []
-    ends = sorted(set(ends or []))
-
-    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            ids = batch.column("doc_id")
-            chunk = np.searchsorted(np.array(ends, np.int64), ids.fill_null(0).to_numpy(zero_copy_only=False), "right") if ends else np.zeros(len(ids), np.int64)
-            yield pa.RecordBatch.from_arrays([pa.array(chunk.astype(np.int64)), ids, batch.column("text")], ["chunk", "doc_id", "text"])
-
-    placed = docs.select("doc_id", "text").mapInArrow(place, f"chunk long, doc_id {kind}, text string")
+    placed, size = chunked(docs, chunk_bytes)
+    buckets = max(1, -(-size // (6 * bucket_windows)))
 
     def send(rows: pa.Table) -> pa.Table:
         chunk = rows.column("chunk")[0].as_py()

@@ -19,19 +19,35 @@ def default_vocabulary() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+def _byte_signs() -> dict[int, str]:
+    """The characters that byte-level vocabularies write bytes as: printable Latin-1 as itself, the others from 256 on."""
+    plain = [b for b in range(256) if 33 <= b < 127 or b >= 161 and b != 173]
+    others = [b for b in range(256) if b not in plain]
+    return {b: chr(b) for b in plain} | {b: chr(256 + n) for n, b in enumerate(others)}
+
+
+_SIGNS = _byte_signs()
+
+
 class _Chunks(dict):
     """Chunk of UTF-8 bytes -> its ids as bytes; asks the tokenizer for unknown chunks."""
 
     def __init__(self, tokenizer, dtype):
         super().__init__()
-        self.tokenizer, self.dtype = tokenizer, dtype
+        self.tokenizer, self.dtype, self.model = tokenizer, dtype, tokenizer.model
+        self.lowered = type(tokenizer.normalizer).__name__ == "Sequence" and tokenizer.normalizer.normalize_str("AÉß") == "aéß"
 
     def __missing__(self, chunk: bytes) -> bytes:
         # a stop or comma after an ASCII letter is always a piece of its own
         if chunk[-1:] in (b".", b",") and chunk[-2:-1].isalpha():
             ids = self[chunk[:-1]] + self[chunk[-1:]]
         else:
-            found = self.tokenizer.encode(chunk.decode("utf-8", "replace"), add_special_tokens=False).ids
+            text = chunk.decode("utf-8", "replace")
+            if self.lowered and text.isalpha() and _plain(text):
+                # letters are one piece: the merges alone, on the bytes' signs
+                found = [t.id for t in self.model.tokenize(text.lower().encode().decode("latin-1").translate(_SIGNS))]
+            else:
+                found = self.tokenizer.encode(text, add_special_tokens=False).ids
             ids = np.array(found, self.dtype).tobytes()
         self[chunk] = ids
         return ids
