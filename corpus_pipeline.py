@@ -73,9 +73,11 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     Rows that share id and source are one unit of the mix and appear equally often.
     """
     units = mixing.sized(docs).groupBy("doc_id", "source").agg(F.sum("size").alias("size"))
-    taken = mixing.mix(units).filter("copies > 0").select(F.col("doc_id").alias("_id"), F.col("source").alias("_source"), "copies")
-    both = docs.join(taken, docs["doc_id"].eqNullSafe(F.col("_id")) & docs["source"].eqNullSafe(F.col("_source")))
-    return both.withColumn("_turn", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))).select(*_columns(docs))
+    taken = mixing.mix(units).filter("copies > 0").select("doc_id", "source", "copies").alias("t")
+    rows = docs.select("doc_id", "source", F.struct("*").alias("row")).alias("d")
+    same = F.col("d.doc_id").eqNullSafe(F.col("t.doc_id")) & F.col("d.source").eqNullSafe(F.col("t.source"))
+    turns = F.sequence(F.lit(1), F.col("copies").cast("int"))
+    return rows.join(taken, same).select("row", F.explode(turns)).select("row.*")
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -7,8 +7,8 @@ of all languages that contain it, one look-up for all.  A text's languages
 are counted over its n-grams, and each count is corrected for the language's
 false-positive rate, which its filled slots give.
 
-The model is fitted on a bounded sample: at most ``max_docs`` labelled rows a
-language, the first by hash of their id.  Every document is then classified
+The model is fitted on a bounded sample: about ``max_docs`` labelled rows a
+language, drawn by hash of their id.  Every document is then classified
 over its whole text.
 
 Defined results: null texts and texts without a letter are ``und`` with score
@@ -37,7 +37,6 @@ TOP = 4000
 LEAST_SHARE = 0.3
 SLOT_BITS = 16
 HASHES = 3
-BROADCAST_ROWS = 1_000_000
 _GRAM_BASE = 0x9FB21C651E98DF25
 _LETTERS: list[np.ndarray] = []
 
@@ -99,13 +98,11 @@ def train(rows: DataFrame, max_docs: int = MAX_DOCS, top: int = TOP) -> Model:
     Only the chosen n-grams, ``top`` a language, reach the driver.
     """
     rows = rows.filter("text is not null and lang is not null")
-    first = Window.partitionBy("lang_").orderBy(unit_hash("doc_id"), "doc_id")
-    ids = rows.select("doc_id", F.col("lang").alias("lang_"))
-    chosen = ids.withColumn("place", F.row_number().over(first)).filter(F.col("place") <= max_docs).select("doc_id", "lang_")
-    sizes = {r["lang_"]: r["count"] for r in chosen.groupBy("lang_").count().collect()}
-    if sum(sizes.values()) <= BROADCAST_ROWS:  # else an ordinary join
-        chosen = F.broadcast(chosen)
-    sample = rows.join(chosen, (rows["doc_id"] == chosen["doc_id"]) & (rows["lang"] == chosen["lang_"]), "left_semi")
+    sizes = {r["lang"]: r["count"] for r in rows.groupBy("lang").count().collect()}
+    # a share of each language's rows by a hash of the id: no shuffle, and no task that gathers a language
+    shares = F.create_map(*[x for lang, n in sizes.items() for x in (F.lit(lang), F.lit(min(1.0, max_docs / n)))]) if sizes else None
+    drawn = F.pmod(unit_hash("doc_id"), F.lit(1 << 30)) < F.element_at(shares, F.col("lang")) * (1 << 30) if sizes else F.lit(False)
+    sample = rows.filter(drawn)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -83,68 +83,73 @@ def best_fit(lengths: np.ndarray, capacity: int) -> list[list[int]]:
 
 
 def improve(bins: list[list[int]], lengths: np.ndarray, capacity: int) -> list[list[int]]:
-    """Local search over the underfull bins; every step raises the sum of squared fills."""
+    """Local search over the underfull bins; every step raises the sum of squared fills, so it ends.
+
+    Bins give in turn, the emptiest first; one that runs empty is gone.
+    """
     least = -(-int(lengths.sum()) // capacity)
-    full = [b for b in bins if int(lengths[b].sum()) == capacity]
-    open_ = [list(b) for b in bins if int(lengths[b].sum()) != capacity]
-    while len(full) + len(open_) > least and len(open_) > 1:
+    fill = [int(lengths[b].sum()) for b in bins]
+    full = [b for b, f in zip(bins, fill, strict=True) if f == capacity]
+    open_ = [list(b) for b, f in zip(bins, fill, strict=True) if f != capacity]
+    moved = True
+    while moved and len(full) + len(open_) > least and len(open_) > 1:
+        moved = False
         open_.sort(key=lambda b: (int(lengths[b].sum()), b))
-        if not _drain(open_, lengths, capacity):
-            break
+        for donor in open_:
+            if _give(donor, [b for b in open_ if b is not donor], lengths, capacity):
+                moved = True
+                if not donor:
+                    break
         open_ = [b for b in open_ if b]
     return full + open_
 
 
-def _drain(open_: list[list[int]], lengths: np.ndarray, capacity: int) -> bool:
-    """Empty the first bin into the others; True if it is empty afterwards."""
-    donor, others = open_[0], open_[1:]
+def _give(donor: list[int], others: list[list[int]], lengths: np.ndarray, capacity: int) -> bool:
+    """Exchange items of ``donor`` with the others as long as that helps; True if anything moved."""
     room = np.array([capacity - int(lengths[b].sum()) for b in others])
     items = np.array([i for b in others for i in b], np.int64)
     owner = np.repeat(np.arange(len(others)), [len(b) for b in others])
-    size = lengths[items]
-
-    def fill_() -> int:
-        return int(lengths[donor].sum())
-
-    while donor:
-        step = _step(donor, lengths, room, owner, size)
-        if step is None:
-            return False
-        out, at, bin_ = step
-        gained = sum(int(lengths[i]) for i in out) - (int(size[at]) if at is not None else 0)
-        filled = capacity - int(room[bin_])
-        if filled + gained <= fill_():  # the squares would not grow
-            return False
+    moved = False
+    while donor and (step := _step(donor, lengths, room, items, owner, capacity)) is not None:
+        out, at, to = step
+        moved = True
         for i in out:
             donor.remove(i)
-            others[bin_].append(i)
+            others[to].append(i)
         if at is not None:
             back = int(items[at])
-            others[bin_].remove(back)
+            others[to].remove(back)
             donor.append(back)
-            items[at], size[at] = out[0], lengths[out[0]]
-            out = out[1:]
-        if out:
-            items, owner = np.append(items, out), np.append(owner, [bin_] * len(out))
-            size = np.append(size, lengths[list(out)])
-        room[bin_] -= gained
-    return True
+            items, owner = np.delete(items, at), np.delete(owner, at)
+            room[to] += lengths[back]
+        room[to] -= int(lengths[list(out)].sum())
+        items, owner = np.append(items, out), np.append(owner, [to] * len(out))
+    return moved
 
 
-def _step(donor: list[int], lengths: np.ndarray, room: np.ndarray, owner: np.ndarray, size: np.ndarray):
-    """The best exchange: (items that leave the donor, place of the item that comes back or None, bin)."""
+def _step(donor: list[int], lengths: np.ndarray, room: np.ndarray, items: np.ndarray, owner: np.ndarray, capacity: int):
+    """The exchange that fills most: (items that leave the donor, place of the item that comes back or None, bin).
+
+    The squares of the two fills grow if the other bin ends up fuller than the donor began.
+    """
+    own = int(lengths[donor].sum())
+    one_of = {int(lengths[i]): i for i in donor}  # equal lengths are alike
+    sizes = sorted(one_of, reverse=True)
+    for x in sizes:  # a move, the longest that fits
+        able = (room >= x) & (capacity - room + x > own)
+        if able.any():
+            return (one_of[x],), None, int(np.where(able, room, capacity + 1).argmin())
+    size, space = lengths[items], room[owner] + lengths[items]
+    before = capacity - room[owner]
+    choices = [((one_of[x],), x) for x in sizes]
+    for n, x in enumerate(sizes):
+        for y in sizes[n:]:
+            pair = (one_of[x], one_of[y]) if x != y else tuple(i for i in donor if lengths[i] == x)[:2]
+            if len(pair) == 2:
+                choices.append((pair, x + y))
     best, most = None, 0
-    widest = int(room.max())
-    for i in donor:  # a move
-        if (x := int(lengths[i])) <= widest and x > most:
-            best, most = ((i,), None, int(np.where(room >= x, room, 1 << 30).argmin())), x
-    if best is not None:
-        return best
-    space = room[owner] + size  # what fits in place of each item
-    singles = [((i,), int(lengths[i])) for i in donor]
-    doubles = [((i, j), int(lengths[i] + lengths[j])) for a, i in enumerate(donor) for j in donor[a + 1:]]
-    for out, x in singles + doubles:  # one for one, two for one
-        gain = np.where((space >= x) & (size < x), x - size, 0)
+    for out, x in choices:  # one for one, two for one
+        gain = np.where((space >= x) & (before + x - size > own), x - size, 0)
         at = int(gain.argmax()) if len(gain) else 0
         if len(gain) and gain[at] > most:
             best, most = (out, at, int(owner[at])), int(gain[at])

@@ -34,7 +34,7 @@ _CONTEXT = _I((1 << CONTEXT_BITS) - 1)
 _LEAST = _I(1 << 32)
 _LOW32 = _I((1 << 32) - 1)
 _HEAD = struct.Struct("<4sBBIIQ")
-_PART = struct.Struct("<III")
+_PART = struct.Struct("<IIII")
 MAGIC = b"TIDX"
 
 
@@ -255,7 +255,7 @@ def decode_blocks(parts: list[bytes], counts: list[int], prior: Prior) -> np.nda
 
 
 def write_file(ids: np.ndarray, block: int = BLOCK_IDS) -> bytes:
-    """Ids as a file: header, checksummed frequencies, then blocks of (ids, bytes, checksum of the ids, code)."""
+    """Ids as a file: header, checksummed frequencies, then blocks of (ids, bytes, checksums of ids and code, code)."""
     if len(ids) and int(ids.max()) < 1 << 24:
         times = np.bincount(ids)
         found = np.flatnonzero(times)
@@ -268,7 +268,7 @@ def write_file(ids: np.ndarray, block: int = BLOCK_IDS) -> bytes:
     out = [_HEAD.pack(MAGIC, 1, prior.bits, len(table), zlib.crc32(table), len(ids)), table]
     for n, part in enumerate(parts):
         own = ids[n * block: (n + 1) * block]
-        out += [_PART.pack(len(own), len(part), zlib.crc32(own.astype("<u4").tobytes())), part]
+        out += [_PART.pack(len(own), len(part), zlib.crc32(own.astype("<u4").tobytes()), zlib.crc32(part, len(own))), part]
     return b"".join(out)
 
 
@@ -286,9 +286,13 @@ def read_file(raw: bytes) -> np.ndarray:
     at += table_size
     parts, counts, sums = [], [], []
     while at < len(raw):
-        count, size, crc = _PART.unpack_from(raw, at)
+        if at + _PART.size > len(raw):
+            raise ValueError("a block is cut off")
+        count, size, crc, code_crc = _PART.unpack_from(raw, at)
         at += _PART.size
         parts.append(raw[at: at + size])
+        if zlib.crc32(parts[-1], count) != code_crc:
+            raise ValueError(f"block {len(parts) - 1} is damaged")
         counts.append(count)
         sums.append(crc)
         at += size
