@@ -7,12 +7,15 @@ none of its bands with a chance of about 1e-9.
 
 * Documents with equal shingle sets collapse to one representative first, so
   a group of copies costs one row from then on.
+* A document with too many shingles that no other candidate has can't reach
+  the similarity with any, and leaves the search.
 * A band's bucket never emits its pairs.  In the first round each document is
-  confirmed against the smallest member of its buckets alone; the links make
-  components.
+  confirmed against one hub alone, the member of its buckets that has fewest
+  such shingles, which is the centre of a group of edited copies; the links
+  make components.
 * Whatever buckets then hold of different components is compared completely
-  (signature sketches first, shingle sets for the rest), so that no link
-  between components is lost.
+  (sizes, shared shingles and signature sketches first, shingle sets for the
+  rest), so that no link between components is lost.
 
 Defined results: null and empty texts have no shingles and link with nothing;
 a text of fewer words than a shingle has its whole sequence as one; rows that
@@ -145,20 +148,51 @@ def _alike(percent: int) -> float:
 
 
 def _hopeful(x: Column, y: Column, percent: int) -> Column:
-    """Sizes allow the similarity, and the sketches don't rule it out."""
+    """Sizes and shared shingles allow the similarity, and the sketches don't rule it out."""
     words = VALUES // 64
     apart = sum((F.bit_count(x["sketch"][i].bitwiseXOR(y["sketch"][i])) for i in range(1, words)), F.bit_count(x["sketch"][0].bitwiseXOR(y["sketch"][0])))
     sizes = F.least(x["n"], y["n"]) * 100 >= F.greatest(x["n"], y["n"]) * percent
-    return sizes & (F.lit(VALUES) - apart >= F.lit(_alike(percent)))
+    shared = F.least(x["n"] - x["own"], y["n"] - y["own"]) * (100 + percent) >= (x["n"] + y["n"]) * percent
+    return sizes & shared & (F.lit(VALUES) - apart >= F.lit(_alike(percent)))
 
 
-def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Pairs (a, b) whose full sets reach the similarity."""
+def _facts(reps: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """(doc_id, x) of the members that can have a link: size, sketch, and how many shingles are theirs alone.
+
+    A shingle that no other member has is in no intersection; a document with
+    too many of them has no partner at all, however alike the rest of it is.
+    """
+    single = sets.select("doc_id", F.explode("shingles").alias("s")).groupBy("s").agg(F.count(F.lit(1)).alias("n"), F.min("doc_id").alias("doc_id")).filter("n = 1")
+    own = single.groupBy("doc_id").agg(F.count(F.lit(1)).alias("own"))
+    known = sets.groupBy("doc_id").agg(F.count(F.lit(1)).alias("rows"))
+    # an id with several sets: its own shingles can't be told apart
+    own = known.join(own, "doc_id", "left").select("doc_id", F.when(F.col("rows") > 1, 0).otherwise(F.coalesce("own", F.lit(0))).alias("own"))
+    facts = reps.select("doc_id", "n", "sketch").join(own, "doc_id").filter((F.col("n") - F.col("own")) * 100 >= F.col("n") * percent)
+    return facts.select("doc_id", F.struct("own", "n", "sketch").alias("x"))
+
+
+def _same_hub(x: Column, y: Column, percent: int) -> Column:
+    """What the distances to a common hub leave possible.
+
+    With d the size of a set's difference from the hub, two sets differ by
+    d_x + d_y - 2 * (what the differences share), and they share at most what
+    is not a document's own.
+    """
+    shared = F.least(x["far"] - x["own"], y["far"] - y["own"])
+    able = (shared * 2 - x["far"] - y["far"]) * (100 + percent) + (x["n"] + y["n"]) * (100 - percent) >= 0
+    return (x["hub"] != y["hub"]) | able
+
+
+def _shared(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """Pairs (a, b) with the sizes of their full sets and of the intersection."""
     one = sets.select(F.col("doc_id").alias("b"), F.col("shingles").alias("sb"))
     other = sets.select(F.col("doc_id").alias("a"), F.col("shingles").alias("sa"))
     both = pairs.join(one, "b").join(other, "a")
-    shared = F.size(F.array_intersect("sa", "sb"))
-    return both.filter(shared * 100 >= (F.size("sa") + F.size("sb") - shared) * percent).select("a", "b")
+    return both.select("a", "b", F.size("sa").alias("na"), F.size("sb").alias("nb"), F.size(F.array_intersect("sa", "sb")).alias("both"))
+
+
+def _linked(percent: int) -> Column:
+    return F.col("both") * 100 >= (F.col("na") + F.col("nb") - F.col("both")) * percent
 
 
 def near_duplicates(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
@@ -170,28 +204,37 @@ def near_duplicates(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame
     linkable = signed.filter("n_shingles > 0 and doc_id is not null")
     reps = linkable.groupBy("f1", "f2").agg(F.min(F.struct("doc_id", F.col("n_shingles").alias("n"), "sketch", "bands")).alias("r")).select("f1", "f2", "r.*")
     reps = write_scratch(reps, "minmax-reps")
-    facts = reps.select("doc_id", F.struct("n", "sketch").alias("x"))
-
     buckets = reps.select("doc_id", F.explode("bands").alias("key"))
-    hubs = buckets.groupBy("key").agg(F.min("doc_id").alias("hub"), F.max("doc_id").alias("top")).filter("hub <> top").select("key", "hub")
-    shared = write_scratch(buckets.join(hubs, "key"), "minmax-buckets")
+    full = buckets.groupBy("key").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("top")).filter("low <> top").select("key")
+    shared = write_scratch(buckets.join(full, "key"), "minmax-buckets")
     members = shared.select("doc_id").distinct()
     sets = write_scratch(shingle_sets(docs.select("doc_id", "text").join(members, "doc_id", "left_semi"), n), "minmax-sets")
-
-    # first round: each document against the smallest hub of its buckets
-    first = shared.filter("doc_id <> hub").groupBy("doc_id").agg(F.min("hub").alias("a")).withColumnRenamed("doc_id", "b")
-    links = write_scratch(_confirmed(_checked(first, facts, percent), sets, percent), "minmax-links")
+    facts = write_scratch(_facts(reps, sets, percent), "minmax-facts")
+
+    # first round: each document against the hub of its buckets that has least of its own
+    able = shared.join(facts.select("doc_id", F.struct("x.own", "doc_id").alias("h")), "doc_id")
+    hubs = able.groupBy("key").agg(F.min("h").alias("hub"))
+    first = able.join(hubs, "key").groupBy("doc_id").agg(F.min("hub").alias("hub")).select(F.col("doc_id").alias("b"), F.col("hub.doc_id").alias("a"))
+    near = write_scratch(_shared(first.filter("a <> b"), sets), "minmax-near")
+    links = near.filter(_linked(percent)).select("a", "b")
     found = components(links)
 
     # second round: what buckets hold of different components
     label = F.coalesce("component", "doc_id")
-    placed = shared.select("key", "doc_id").join(found, F.col("doc_id") == F.col("node"), "left").select("key", "doc_id", label.alias("component"))
+    placed = able.select("key", "doc_id").join(found, F.col("doc_id") == F.col("node"), "left").select("key", "doc_id", label.alias("component"))
     mixed = placed.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter("low <> high").select("key")
-    rest = write_scratch(placed.join(mixed, "key", "left_semi").join(facts, "doc_id").select("key", "doc_id", "component", "x"), "minmax-mixed")
+    # an id with several sets has several distances; the pair of hub and distance must come from one row of it
+    far = near.select(F.col("b").alias("doc_id"), F.col("a").alias("hub"), (F.col("na") + F.col("nb") - 2 * F.col("both")).alias("far"))
+    far = far.unionAll(first.filter("a = b").select(F.col("b").alias("doc_id"), F.col("a").alias("hub"), F.lit(0).alias("far")))
+    far = far.groupBy("doc_id").agg(F.min("hub").alias("hub"), F.max("far").alias("far"), F.count(F.lit(1)).alias("rows"))
+    hub, away = F.when(F.col("rows") == 1, F.col("hub")), F.when(F.col("rows") == 1, F.col("far"))
+    placing = facts.join(far, "doc_id", "left").select("doc_id", F.struct("x.*", hub.alias("hub"), away.alias("far")).alias("x"))
+    rest = write_scratch(placed.join(mixed, "key", "left_semi").join(placing, "doc_id").select("key", "doc_id", "component", "x"), "minmax-mixed")
     left, right = rest.alias("l"), rest.alias("r")
-    cross = (left.join(right, (F.col("l.key") == F.col("r.key")) & (F.col("l.component") < F.col("r.component")) & _hopeful(F.col("l.x"), F.col("r.x"), percent))
+    cross = (left.join(right, (F.col("l.key") == F.col("r.key")) & (F.col("l.component") < F.col("r.component"))
+                       & _hopeful(F.col("l.x"), F.col("r.x"), percent) & F.coalesce(_same_hub(F.col("l.x"), F.col("r.x"), percent), F.lit(True)))
              .select(F.col("l.doc_id").alias("a"), F.col("r.doc_id").alias("b")).distinct())
-    more = write_scratch(_confirmed(cross, sets, percent), "minmax-more")
+    more = write_scratch(_shared(cross, sets).filter(_linked(percent)).select("a", "b"), "minmax-more")
     found = components(links.unionAll(more)) if more.take(1) else found
 
     classes = reps.select("f1", "f2", F.col("doc_id").alias("node_")).join(found, F.col("node_") == F.col("node"), "left").select("f1", "f2", F.coalesce("component", "node_").alias("component"))
@@ -200,8 +243,3 @@ def near_duplicates(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame
     out = whole.select("doc_id", "n_shingles", F.coalesce(linked, F.col("doc_id")).alias("component_id"))
     return out.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
 
-
-def _checked(pairs: DataFrame, facts: DataFrame, percent: int) -> DataFrame:
-    one = facts.select(F.col("doc_id").alias("a"), F.col("x").alias("xa"))
-    other = facts.select(F.col("doc_id").alias("b"), F.col("x").alias("xb"))
-    return pairs.join(other, "b").join(one, "a").filter(_hopeful(F.col("xa"), F.col("xb"), percent)).select("a", "b")
