@@ -1,4 +1,4 @@
-"""Deterministic per-row hash units for sampling, splitting and folds.
+r"""Deterministic per-row hash units for sampling, splitting and folds.
 
 ``Dataset.sample``/``randomSplit`` draw from a per-partition generator, so the
 same seed picks different rows after a repartition.  These helpers make the
@@ -7,6 +7,8 @@ shuffle, identical on any cluster layout and on re-execution after a lost
 executor.
 
 Unit: ``h = first 32 bits of md5("<key>:<seed>")`` as a bigint in [0, 2^32).
+A NULL key part counts as the text ``\N``, alone and among several parts alike,
+so a row always has a unit and no draw loses it.
 A row falls below fraction ``w`` when ``h < round(w * 2^32)``.  The same
 number is ``('0x' || substr(md5(key || ':' || seed), 1, 8))::BIGINT`` in DuckDB.
 """
@@ -17,13 +19,15 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 SPACE = 1 << 32
+#: What a NULL key part counts as.
+NULL_KEY = r"\N"
 
 
 def _key_string(keys) -> Column:
     if isinstance(keys, (str, Column)):
         keys = [keys]
     parts = [F.col(k) if isinstance(k, str) else k for k in keys]
-    cols = [p.cast("string") for p in parts]
+    cols = [F.coalesce(p.cast("string"), F.lit(NULL_KEY)) for p in parts]
     return cols[0] if len(cols) == 1 else F.concat_ws("|", *cols)
 
 
@@ -52,7 +56,3 @@ def cumulative_thresholds(weights) -> list[int]:
     cuts[-1] = SPACE
     return cuts
 
-
-def sql_hash_unit(key_sql: str, seed: int) -> str:
-    """DuckDB text of ``hash_unit`` for a single key expression (oracles, docs)."""
-    return f"('0x' || substr(md5(CAST({key_sql} AS VARCHAR) || ':{seed}'), 1, 8))::BIGINT"

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.hashing import hash_unit, threshold
+from ..functions.hashing import hash_unit
 from .profile import _stack
 
 
@@ -40,25 +40,14 @@ def long_stats(df: DataFrame, cols, fn: str = "sum") -> DataFrame:
     return wide.selectExpr(f"{_stack(cols, '__v')} AS (column_name, value)")
 
 
-def scatter_data(df: DataFrame, cols, n: int, key, seed: int = 42,
-                 oversample: float = 4.0) -> DataFrame:
+def scatter_data(df: DataFrame, cols, n: int, key, seed: int = 42) -> DataFrame:
     """A bounded, repeatable sample of ``n`` rows: the n smallest hash units.
 
-    A plain top-n sends n rows per input partition to one task.  Instead the
-    rows are first cut at a hash threshold that keeps about ``oversample`` × n
-    rows in expectation (one count pass sizes it), and the top-n runs on those
-    survivors.  If fewer than n survive, the exact top-n over all rows is used,
-    so the result never depends on the cut.
+    One pass over the key and value columns: every task keeps its own n
+    smallest, and one task merges those (n rows per input partition).
     """
     keys = [key] if isinstance(key, str) else list(key)
-    h = hash_unit(keys, seed)
-    base = df.select(*keys, *[c for c in cols if c not in keys], h.alias("__h"))
-    total = df.count()
-    if total > 0 and oversample * n < total:
-        cut = threshold(oversample * n / total)
-        survivors = base.filter(F.col("__h") < F.lit(cut))
-        if survivors.count() >= n:
-            base = survivors
+    base = df.select(*keys, *[c for c in cols if c not in keys], hash_unit(keys, seed).alias("__h"))
     return base.orderBy("__h", *keys).limit(n).drop("__h")
 
 

@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .profile import _stack
+
 
 def _string_columns(df: DataFrame, cols=None) -> list[str]:
     names = [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
@@ -36,10 +38,10 @@ def null_report(df: DataFrame, cols=None) -> DataFrame:
     """column, nulls, rows, any_null — one scan for all columns, then unpivot."""
     cols = list(cols or df.columns)
     aggs = [F.count(F.lit(1)).alias("__rows")]
-    aggs += [F.sum(F.col(c).isNull().cast("long")).alias(f"__n{i}") for i, c in enumerate(cols)]
+    # names are taken literally, dots and quotes included
+    aggs += [F.sum(df[f"`{c.replace('`', '``')}`"].isNull().cast("long")).alias(f"__n{i}") for i, c in enumerate(cols)]
     wide = df.agg(*aggs)
-    stack = ", ".join(f"'{c}', __n{i}" for i, c in enumerate(cols))
-    long = wide.selectExpr("__rows", f"stack({len(cols)}, {stack}) AS (column_name, nulls)")
+    long = wide.selectExpr("__rows", f"{_stack(cols, '__n')} AS (column_name, nulls)")
     return long.select(
         "column_name",
         F.coalesce(F.col("nulls"), F.lit(0)).cast("long").alias("nulls"),

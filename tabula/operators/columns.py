@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 from ..functions.codes import code_label
+from .profile import high_cardinality
 
 _NUMERIC = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType,
             T.DoubleType, T.DecimalType)
@@ -56,11 +57,13 @@ class Roles:
 
 def infer_roles(df: DataFrame, cat_prefix: str | None = None, cont_prefix: str | None = None,
                 label: str | None = None, exclude: Iterable[str] = (),
-                ids: Iterable[str] = ()) -> Roles:
+                ids: Iterable[str] = (), max_distinct: int | None = None) -> Roles:
     """Roles by name prefix when prefixes are given, otherwise by data type.
 
     Strings/booleans are categorical, numbers numeric; label, ids and
-    ``exclude`` are never features.
+    ``exclude`` are never features.  ``max_distinct`` leaves out categorical
+    columns with more values (one scan): an indexer collects every distinct
+    value of its columns, so free text must not become a category.
     """
     skip = set(exclude) | set(ids) | ({label} if label else set())
     cats, nums = [], []
@@ -76,6 +79,9 @@ def infer_roles(df: DataFrame, cat_prefix: str | None = None, cont_prefix: str |
             cats.append(f.name)
         elif isinstance(f.dataType, _NUMERIC):
             nums.append(f.name)
+    if max_distinct is not None and cats:
+        wide = {r["column_name"] for r in high_cardinality(df, cats, max_distinct).collect()}
+        cats = [c for c in cats if c not in wide]
     return Roles(tuple(cats), tuple(nums), label, tuple(ids))
 
 

@@ -10,8 +10,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
-from ..session import cut_lineage
-
 
 def _c(x):
     return F.col(x) if isinstance(x, str) else x
@@ -176,28 +174,28 @@ def score_ladder(df: DataFrame, label: str, score, positive: float = 1.0,
     ``P``/``N`` are the class totals.  Every threshold curve (ROC, PR) is a
     function of these columns, so each metric is one aggregate over them.
 
-    1. aggregate positives/negatives per distinct score (partial agg; a score
-       shared by a third of all rows is one row after this step);
-    2. range-partition the distinct scores, sort inside partitions, tag each
-       row with its partition and write the result to the checkpoint folder so
-       later steps see one fixed layout even if tasks are re-run;
-    3. per-partition totals (one row per partition: a bounded table) give each
-       partition's offset; the running count inside a partition is a window
-       over that partition only.  No window ever spans all rows.
+    1. a scan of the scores gives quantiles that part them into ``partitions``
+       buckets (default: the session's shuffle partitions);
+    2. positives/negatives are aggregated per distinct score (a score shared by
+       a third of all rows is one row from here on) and hashed by bucket, which
+       is a pure function of the score: re-run tasks see the same layout;
+    3. per-bucket totals (one row per bucket: a bounded table) give each
+       bucket's offset; the running count inside a bucket is a window over that
+       bucket only.  No window ever spans all rows.
     """
     s = _c(score).cast("double")
     y = _c(label).cast("double") == F.lit(float(positive))
-    g = (df.select(s.alias("s"), y.alias("y")).filter(F.col("s").isNotNull())
-         .groupBy("s").agg(F.sum(F.col("y").cast("long")).alias("pos"),
-                           F.sum((~F.col("y")).cast("long")).alias("neg")))
+    rows = df.select(s.alias("s"), y.alias("y")).filter(F.col("s").isNotNull())
     n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ranged = (g.repartitionByRange(n, "s").sortWithinPartitions("s")
-              .withColumn("pid", F.spark_partition_id()))
-    ranged = cut_lineage(ranged)
-    totals = ranged.groupBy("pid").agg(F.sum("pos").alias("ppos"), F.sum("neg").alias("pneg"))
+    cuts = rows.agg(F.percentile_approx("s", F.array(*[F.lit(i / n) for i in range(1, n)]), 100 * n)).first()[0] if n > 1 else None
+    cuts = sorted({c for c in cuts or [] if c == c})
+    bucket = F.size(F.filter(F.array(*[F.lit(c) for c in cuts]), lambda c: c < F.col("s"))) if cuts else F.lit(0)
+    g = rows.groupBy("s").agg(F.sum(F.col("y").cast("long")).alias("pos"), F.sum((~F.col("y")).cast("long")).alias("neg"))
+    parted = g.withColumn("pid", bucket).repartition(len(cuts) + 1, "pid")
+    totals = parted.groupBy("pid").agg(F.sum("pos").alias("ppos"), F.sum("neg").alias("pneg"))
     before = Window.orderBy("pid").rowsBetween(Window.unboundedPreceding, -1)
     everything = Window.orderBy("pid").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    # One row per partition id: bounded by the partition count, safe to broadcast.
+    # One row per bucket: bounded by the bucket count, safe to broadcast.
     offsets = totals.select(
         "pid",
         F.coalesce(F.sum("ppos").over(before), F.lit(0)).alias("off_pos"),
@@ -205,7 +203,7 @@ def score_ladder(df: DataFrame, label: str, score, positive: float = 1.0,
         F.sum("ppos").over(everything).alias("P"),
         F.sum("pneg").over(everything).alias("N"))
     w = Window.partitionBy("pid").orderBy("s").rowsBetween(Window.unboundedPreceding, -1)
-    within = ranged.select(
+    within = parted.select(
         "pid", "s", "pos", "neg",
         F.coalesce(F.sum("pos").over(w), F.lit(0)).alias("in_pos"),
         F.coalesce(F.sum("neg").over(w), F.lit(0)).alias("in_neg"))
@@ -288,6 +286,6 @@ def auc(df: DataFrame, label: str = "label", score: str = "rawPrediction",
             return exact_auc(df, label, sc)
         if metric == "areaUnderPR":
             return exact_pr_auc(df, label, sc)
-    ev = BinaryClassificationEvaluator(rawPredictionCol=score, labelCol=label, metricName=metric)
+    ev = BinaryClassificationEvaluator(rawPredictionCol=score, labelCol=label, metricName=metric, numBins=1000)
     value = float(ev.evaluate(df))
     return df.sparkSession.createDataFrame([(metric, value)], "metric string, value double")

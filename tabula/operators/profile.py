@@ -3,15 +3,16 @@ Spark allows it, and returns a DataFrame; long-form outputs use ``stack``."""
 
 from __future__ import annotations
 
+from functools import reduce
 from itertools import combinations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
 def _quote(name: str) -> str:
-    return name.replace("'", "\\'")
+    return name.replace("\\", "\\\\").replace("'", "\\'")
 
 
 def _stack(cols: list[str], prefix: str) -> str:
@@ -62,9 +63,16 @@ def skewness(df: DataFrame, cols) -> DataFrame:
     return wide.selectExpr(f"{_stack(cols, '__s')} AS (column_name, skewness)")
 
 
+def _pearson(a: str, b: str):
+    """r from the moments of the rows where both are known; NULL where one is constant
+    (Spark's ``corr`` raises there under ANSI mode)."""
+    x, y = F.when(F.col(b).isNotNull(), F.col(a)), F.when(F.col(a).isNotNull(), F.col(b))
+    return F.try_divide(F.covar_pop(a, b), F.stddev_pop(x) * F.stddev_pop(y))
+
+
 def corr(df: DataFrame, a: str, b: str) -> DataFrame:
-    """Pearson correlation of a pair, one row."""
-    return df.agg(F.corr(a, b).alias("corr"))
+    """Pearson correlation of a pair, one row; NULL if either is constant."""
+    return df.agg(_pearson(a, b).alias("corr"))
 
 
 def cov(df: DataFrame, a: str, b: str) -> DataFrame:
@@ -76,14 +84,15 @@ def corr_matrix(df: DataFrame, cols=None) -> DataFrame:
     """Long form (a, b, r) for every pair a < b (input order), one scan.
 
     k columns give k(k-1)/2 correlation aggregates evaluated together in one
-    hash-free global aggregate (partial per task, merged once).
+    hash-free global aggregate (partial per task, merged once).  ``r`` is NULL
+    where a column is constant; such pairs never count as correlated.
     """
     cols = list(cols) if cols is not None else numeric_columns(df)
     pairs = list(combinations(cols, 2))
     if not pairs:
         schema = "a string, b string, r double"
         return df.sparkSession.createDataFrame([], schema)
-    wide = df.agg(*[F.corr(a, b).alias(f"__r{i}") for i, (a, b) in enumerate(pairs)])
+    wide = df.agg(*[_pearson(a, b).alias(f"__r{i}") for i, (a, b) in enumerate(pairs)])
     triples = ", ".join(f"'{_quote(a)}', '{_quote(b)}', `__r{i}`" for i, (a, b) in enumerate(pairs))
     return wide.selectExpr(f"stack({len(pairs)}, {triples}) AS (a, b, r)")
 
@@ -109,32 +118,47 @@ def drop_correlated(df: DataFrame, cols=None, threshold: float = 0.9):
 
 
 def cardinality(df: DataFrame, cols, exact: bool = True, rsd: float = 0.01) -> DataFrame:
-    """column_name, distinct_count.  ``exact=False`` uses HyperLogLog++ (no Expand)."""
+    """column_name, distinct_count.
+
+    Exact: one narrow aggregate per column, each scanning that column only, so
+    the file is read once in total and no row is multiplied by the number of
+    columns.  ``exact=False``: HyperLogLog++ for all columns in one scan.
+    """
     cols = list(cols)
-    fn = (lambda c: F.countDistinct(c)) if exact else (lambda c: F.approx_count_distinct(c, rsd))
-    wide = df.agg(*[fn(c).alias(f"__d{i}") for i, c in enumerate(cols)])
-    return (wide.selectExpr(f"{_stack(cols, '__d')} AS (column_name, distinct_count)")
-            .withColumn("distinct_count", F.col("distinct_count").cast("long")))
+    if not exact:
+        wide = df.agg(*[F.approx_count_distinct(c, rsd).alias(f"__d{i}") for i, c in enumerate(cols)])
+        return (wide.selectExpr(f"{_stack(cols, '__d')} AS (column_name, distinct_count)")
+                .withColumn("distinct_count", F.col("distinct_count").cast("long")))
+    parts = [df.agg(F.countDistinct(c).alias("distinct_count")).select(F.lit(c).alias("column_name"), "distinct_count")
+             for c in cols]
+    return reduce(DataFrame.unionByName, parts)
 
 
-def high_cardinality(df: DataFrame, cols, max_distinct: int, exact: bool = True) -> DataFrame:
-    """Columns with more than ``max_distinct`` values (candidates to leave out)."""
-    return cardinality(df, cols, exact).filter(F.col("distinct_count") > max_distinct)
+def high_cardinality(df: DataFrame, cols, max_distinct: int, exact: bool = True, rsd: float = 0.01) -> DataFrame:
+    """Columns with more than ``max_distinct`` values (candidates to leave out).
+
+    Exact: a sketch of all columns in one scan first rules out those clearly
+    below the limit (by ten times its error); only the others are counted.
+    """
+    cols = list(cols)
+    if exact and len(cols) > 1:
+        sketched = cardinality(df, cols, exact=False, rsd=rsd).collect()
+        cols = [r["column_name"] for r in sketched if r["distinct_count"] > max_distinct * (1 - 10 * rsd)] or cols[:1]
+    return cardinality(df, cols, exact, rsd).filter(F.col("distinct_count") > max_distinct)
 
 
 def class_balance(df: DataFrame, label: str) -> DataFrame:
     """class, n, share, fraction — fraction = n_min / n, the down-sampling rate that
     balances every class to the smallest one.
 
-    Class counts are aggregated on the executors; only two scalars (total and
-    smallest count) come back to the driver to be inlined as literals.
+    One lazy plan: the counts are aggregated on the executors, and a window over
+    the class table (one row per class) adds the totals.
     """
     counts = df.groupBy(F.col(label).alias("class")).agg(F.count(F.lit(1)).alias("n"))
-    tot = counts.agg(F.sum("n").alias("t"), F.min("n").alias("m")).first()
-    total, smallest = (tot.t or 0), (tot.m or 0)
+    every = Window.partitionBy()
     return counts.select(
         "class",
         F.col("n").cast("long").alias("n"),
-        (F.col("n") / F.lit(float(total) if total else None)).alias("share"),
-        (F.lit(float(smallest)) / F.col("n")).alias("fraction"),
+        (F.col("n") / F.sum("n").over(every)).alias("share"),
+        (F.min("n").over(every) / F.col("n")).alias("fraction"),
     )

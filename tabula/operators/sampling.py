@@ -75,11 +75,6 @@ def stratified_sample(df: DataFrame, label: str, fractions: dict, keys, seed: in
     return df.filter(hash_unit(keys, seed) < cut.otherwise(F.lit(-1)))
 
 
-def spark_stratified_sample(df: DataFrame, label: str, fractions: dict, seed: int = 12345) -> DataFrame:
-    """Spark's ``sampleBy`` (per-partition random draw, not repeatable across layouts)."""
-    return df.stat.sampleBy(label, fractions, seed)
-
-
 def fold_index(keys, k: int, seed: int = 42) -> Column:
     """int fold 0..k-1, uniform over keys."""
     return ((hash_unit(keys, seed) * F.lit(k)) / F.lit(SPACE)).cast("long").cast("int")

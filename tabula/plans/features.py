@@ -3,8 +3,6 @@
 from __future__ import annotations
 
 from pyspark.ml.feature import OneHotEncoder, StandardScaler, StringIndexer, VectorAssembler
-from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from ..operators.columns import Roles
 
@@ -57,11 +55,3 @@ def feature_columns(roles: Roles, encode: str = "onehot") -> list[str]:
         cats = []
     return cats + list(roles.numeric)
 
-
-def index_table(df: DataFrame, col: str, order: str = "frequencyDesc") -> DataFrame:
-    """value, index, n for the labels an indexer learns (fit once, read its labels)."""
-    model = string_index(col, ["__i"], order=order).fit(df)
-    labels = model.labelsArray[0]
-    counts = df.groupBy(F.col(col).cast("string").alias("value")).agg(F.count(F.lit(1)).alias("n"))
-    lookup = df.sparkSession.createDataFrame(list(enumerate(labels)), "index long, value string")
-    return lookup.join(counts, "value", "left").select("value", "index", F.col("n").cast("long").alias("n"))

@@ -12,9 +12,11 @@ from pyspark.ml.classification import (DecisionTreeClassifier, LinearSVC, Logist
                                        RandomForestClassifier)
 from pyspark.ml.evaluation import (BinaryClassificationEvaluator, MulticlassClassificationEvaluator,
                                    RegressionEvaluator)
+from pyspark.ml.feature import Imputer
 from pyspark.ml.regression import LinearRegression, RandomForestRegressor
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators.columns import Roles
@@ -45,30 +47,33 @@ WORKLOAD_GRIDS = {
                "numTrees": [10, 30, 100]},
 }
 
-# Small grids of the same shape for routine runs (a handful of fits each).
-QUICK_GRIDS = {
-    "linear": {"regParam": [0.1, 0.01], "elasticNetParam": [0.001, 0.01]},
+# Stated reductions of the two forest searches (226 and 46 fits of up to 100 trees of
+# depth 30): what one machine finishes in minutes.  All other searches run whole.
+FOREST_GRIDS = {
     "rf_reg": {"maxDepth": [3, 5], "numTrees": [5, 10]},
-    "logistic": {"regParam": [0.1, 0.01], "elasticNetParam": [0.0, 0.5]},
-    "svc": {"regParam": [0.1, 0.01]},
-    "tree": {"maxDepth": [2, 5], "maxBins": [32, 64]},
     "rf_cls": {"maxDepth": [3, 5], "numTrees": [5, 10]},
 }
 
 
-def nominal_bins(df: DataFrame, cols) -> int:
-    """Smallest ``maxBins`` a tree needs for these indexed (nominal) columns:
-    the largest number of index values recorded in their ML attributes."""
-    need = 2
-    for c in cols:
-        meta = df.schema[c].metadata.get("ml_attr", {})
-        vals = meta.get("vals")
-        if vals:
-            need = max(need, len(vals))
-    return need
+def nominal_bins(df: DataFrame, roles: Roles) -> int:
+    """Smallest ``maxBins`` a tree accepts for the roles' categories: the largest number of
+    values of one column, and one for unseen values.  One scan, one number per column."""
+    if not roles.categorical:
+        return 2
+    row = df.agg(*[F.countDistinct(c).alias(f"c{i}") for i, c in enumerate(roles.categorical)]).first()
+    return max(2, *(n + 1 for n in row))
+
+
+def at_least_bins(params: dict, least: int) -> dict:
+    """The grid with every ``maxBins`` raised to what the categories need, without repeats."""
+    if "maxBins" not in params:
+        return params
+    return params | {"maxBins": sorted({max(b, least) for b in params["maxBins"]})}
 
 
 TREE_KINDS = {"rf_reg", "tree", "rf_cls"}
+#: PySpark's own default seed is a per-process string hash; this one repeats.
+SEED = 27
 
 
 def estimator(kind: str, features: str = "features", label: str = "label", **params):
@@ -78,12 +83,12 @@ def estimator(kind: str, features: str = "features", label: str = "label", **par
     instead of shipping the growing trees to every task at each level; the
     cache is checkpointed every ``checkpointInterval`` levels into the shared
     checkpoint folder.  Same trees; it matters for the deep workload grids
-    (depth up to 30) and measured neutral at depth 5.
+    (depth up to 30) and measured neutral at depth 5.  Their seed is fixed.
     """
     cls = _ESTIMATORS[kind]
     est = cls(featuresCol=features, labelCol=label)
     if kind in TREE_KINDS:
-        est = est.setCacheNodeIds(True)
+        est = est.setCacheNodeIds(True).setSeed(SEED)
     if params:
         est = est.setParams(**params)
     return est
@@ -128,13 +133,6 @@ class _ModelsByIndex:
         return index, self._fit_one(index)
 
 
-# Hold each fold's encoded rows for the grid's fits (an extra copy of the fold,
-# MEMORY_AND_DISK).  Off by default: Spark ML estimators already cache their own
-# per-fit form of the rows (binned tree points, optimizer instances), so the
-# extra copy cost memory and measured no faster (claims and tree searches, sf0.1).
-HOLD_ENCODED_ROWS = False
-
-
 class SharedPrefixPipeline(Pipeline):
     """A ``Pipeline`` whose grid search fits the encoding stages once per training frame.
 
@@ -159,43 +157,34 @@ class SharedPrefixPipeline(Pipeline):
             whole = self.copy()
             return _ModelsByIndex(spark, lambda i: whole.fit(dataset, paramMaps[i]), len(paramMaps))
         lock = threading.Lock()
-        shared: dict = {"done": 0}
+        shared: dict = {}
 
         def head():
             with lock:  # concurrent fits wait for the one prefix fit
                 if "model" not in shared:
                     model = Pipeline(stages=stages[:-1]).fit(dataset)
                     shared["model"] = model
-                    rows = model.transform(dataset)
-                    if HOLD_ENCODED_ROWS:
-                        # every map's fit makes its passes over the same encoded rows
-                        rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
-                        rows.count()  # filled once here, not by each concurrent fit
-                    shared["rows"] = rows
+                    shared["rows"] = model.transform(dataset)
                 return shared["model"], shared["rows"]
 
         def fit_one(index: int) -> PipelineModel:
             prefix, rows = head()
-            try:
-                model = last.fit(rows, paramMaps[index])
-            finally:
-                with lock:
-                    shared["done"] += 1
-                    if shared["done"] == len(paramMaps):
-                        rows.unpersist()
-            return PipelineModel(stages=list(prefix.stages) + [model])
+            return PipelineModel(stages=list(prefix.stages) + [last.fit(rows, paramMaps[index])])
 
         return _ModelsByIndex(spark, fit_one, len(paramMaps))
 
 
 def build_pipeline(roles: Roles, est, encode: str = "onehot", scale_features: bool = False,
                    label_source: str | None = None, label_order: str = "alphabetAsc",
-                   invalid: str = "keep") -> Pipeline:
+                   invalid: str = "keep", missing: str = "error") -> Pipeline:
     """index → (one-hot) → assemble → (scale) → estimator, all inside one pipeline so
     cross-validation refits the encoders on each training fold.
 
     ``label_source``: a string label column to index into ``label`` with a fixed
     (alphabetical) order, so the class that becomes 1.0 never depends on a sample.
+    ``invalid``: NULL and unseen categories (``keep``: a category of their own).
+    ``missing``: rows with a NULL numeric feature: ``error`` (clean them first),
+    ``skip`` (left out) or ``mean`` (the training rows' mean).
     """
     stages = []
     if roles.categorical:
@@ -209,18 +198,23 @@ def build_pipeline(roles: Roles, est, encode: str = "onehot", scale_features: bo
         stages.append(string_index(label_source, [est.getLabelCol()], order=label_order,
                                    invalid="error"))
     inputs = feature_columns(roles, encode)
+    if missing == "mean" and roles.numeric:
+        filled = [f"{c}_filled" for c in roles.numeric]
+        stages.append(Imputer(inputCols=list(roles.numeric), outputCols=filled, strategy="mean"))
+        inputs = inputs[: len(inputs) - len(filled)] + filled
+    invalid_rows = "skip" if missing == "skip" else "error"
     if scale_features:
-        stages.append(assemble(inputs, "features_assembler", invalid="keep"))
+        stages.append(assemble(inputs, "features_assembler", invalid=invalid_rows))
         stages.append(scale("features_assembler", est.getFeaturesCol()))
     else:
-        stages.append(assemble(inputs, est.getFeaturesCol(), invalid="keep"))
+        stages.append(assemble(inputs, est.getFeaturesCol(), invalid=invalid_rows))
     stages.append(est)
     return SharedPrefixPipeline(stages=stages)
 
 
-def fit(pipeline: Pipeline, train: DataFrame) -> PipelineModel:
-    """Fit every stage; the training rows are held once for the stages' passes."""
-    with reused(train) as frame:
+def fit(pipeline: Pipeline, train: DataFrame, partitions: int | None = None, keys=None) -> PipelineModel:
+    """Fit every stage; the training rows are held once for the stages' passes (``reused``)."""
+    with reused(train, partitions, keys) as frame:
         return pipeline.fit(frame)
 
 
@@ -237,40 +231,22 @@ def grid(est, params: dict) -> list:
     return b.build()
 
 
-_GRID_SCHEMA = T.StructType([
-    T.StructField("combo", T.LongType(), False),
-    T.StructField("param", T.StringType(), False),
-    T.StructField("value", T.StringType(), True),
-])
-
-
-def grid_table(spark: SparkSession, param_maps: list) -> DataFrame:
-    rows = [(i, p.name, str(v)) for i, m in enumerate(param_maps) for p, v in m.items()]
-    return spark.createDataFrame(rows, _GRID_SCHEMA)
-
-
-def evaluator(kind: str, label: str = "label", metric: str | None = None):
+def evaluator(kind: str, label: str = "label", metric: str | None = None, column: str | None = None):
+    """What a search maximises or minimises: RMSE for regressors, else the exact area under
+    the curve (no binning of the thresholds) of ``column``: ``rawPrediction``, or
+    ``prediction`` for the area of the hard decision."""
     if kind in ("linear", "rf_reg"):
         return RegressionEvaluator(labelCol=label, predictionCol="prediction",
                                    metricName=metric or "rmse")
     if metric in (None, "areaUnderROC", "areaUnderPR"):
-        return BinaryClassificationEvaluator(labelCol=label, rawPredictionCol="rawPrediction",
-                                             metricName=metric or "areaUnderROC")
+        return BinaryClassificationEvaluator(labelCol=label, rawPredictionCol=column or "rawPrediction",
+                                             metricName=metric or "areaUnderROC", numBins=0)
     return MulticlassClassificationEvaluator(labelCol=label, predictionCol="prediction",
                                              metricName=metric)
 
 
-# Below this many rows per task an optimizer pass costs less than scheduling the
-# task, so small frames are not spread (each iteration is one job over them).
-MIN_ROWS_PER_TASK = 10_000
-
-
-def _cores(spark: SparkSession) -> int:
-    return spark.sparkContext.defaultParallelism
-
-
 @contextmanager
-def reused(df: DataFrame, spread_out: bool = True):
+def reused(df: DataFrame, partitions: int | None = None, keys=None):
     """Hold a frame that many jobs will read (fold filters, every fit, the refit).
 
     Without this each of those jobs re-runs the scan, the hash columns and any
@@ -279,35 +255,35 @@ def reused(df: DataFrame, spread_out: bool = True):
     recomputed from lineage.  A frame the caller already persisted is used as
     is and left persisted.
 
-    ``spread_out``: iterative estimators make many passes over the held rows,
-    so a frame with fewer partitions than the cluster has cores (a few large
-    files of one row group each) is spread once over up to all cores, keeping
-    at least ``MIN_ROWS_PER_TASK`` rows per partition.  The count is
-    read from the filled cache, so finding it runs nothing twice; frames that
-    already have enough partitions — the normal case at scale — are held as
-    they are, with no shuffle added.
+    The frame keeps its partitions, unless ``partitions`` and ``keys`` ask for
+    a layout: that many parts by hash of the keys, each sorted by them.  Spark
+    draws a forest's rows per partition and position, so the same layout, on
+    any cluster and whatever the files, gives the same forest.  Choose the
+    number by the size of the data, not by the cores at hand.
     """
     if df.storageLevel != StorageLevel.NONE:
         yield df
         return
+    if partitions:
+        keys = [keys] if isinstance(keys, str) else list(keys or df.columns)
+        df = df.repartition(partitions, *keys).sortWithinPartitions(*keys)
     held = df.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        rows = held.count()  # fill once, before concurrent fits race to compute it
-        want = min(_cores(df.sparkSession), rows // MIN_ROWS_PER_TASK)
-        if spread_out and held.rdd.getNumPartitions() < want:
-            wide = held.repartition(want).persist(StorageLevel.MEMORY_AND_DISK)
-            wide.count()
-            held.unpersist()
-            held = wide
+        held.count()  # fill once, before concurrent fits race to compute it
         yield held
     finally:
         held.unpersist()
 
 
 def tune(pipeline: Pipeline, param_maps: list, ev, train: DataFrame, folds: int = 3,
-         parallelism: int = 1, fold_col: str | None = None, seed: int = 42):
+         parallelism: int = 1, fold_col: str | None = None, seed: int = 42,
+         columns=None, partitions: int | None = None, keys=None):
     """k-fold grid search and refit of the best map on all rows.
 
+    ``columns``: what the pipeline reads; only those (and the fold) are held,
+    since the search keeps copies of every fold.  ``partitions``, ``keys``: a
+    layout for fits that must repeat (``reused``).
+
     With ``fold_col`` (see ``with_folds``) fold membership is a pure function
     of the row key, so results repeat on any layout.
     """
@@ -315,7 +291,9 @@ def tune(pipeline: Pipeline, param_maps: list, ev, train: DataFrame, folds: int
                         numFolds=folds, parallelism=parallelism, seed=seed)
     if fold_col:
         cv = cv.setFoldCol(fold_col)
-    with reused(train) as frame:
+    if columns is not None:
+        train = train.select(*dict.fromkeys([*columns, *([fold_col] if fold_col else []), *([keys] if isinstance(keys, str) else keys or [])]))
+    with reused(train, partitions, keys) as frame:
         return cv.fit(frame)
 
 

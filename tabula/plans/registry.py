@@ -8,6 +8,7 @@ integers are BIGINT on both sides; timestamps travel as strings.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -94,12 +95,12 @@ def pred_frame(spark, sf_dir):
 
 
 def hsql(key_sql: str, seed: int) -> str:
-    return f"('0x' || substr(md5(CAST({key_sql} AS VARCHAR) || ':{seed}'), 1, 8))::BIGINT"
+    return f"('0x' || substr(md5(coalesce(CAST({key_sql} AS VARCHAR), '\\N') || ':{seed}'), 1, 8))::BIGINT"
 
 
 def hsql2(k1: str, k2: str, seed: int) -> str:
-    return (f"('0x' || substr(md5(concat_ws('|', CAST({k1} AS VARCHAR), CAST({k2} AS VARCHAR))"
-            f" || ':{seed}'), 1, 8))::BIGINT")
+    parts = ", ".join(f"coalesce(CAST({k} AS VARCHAR), '\\N')" for k in (k1, k2))
+    return f"('0x' || substr(md5(concat_ws('|', {parts}) || ':{seed}'), 1, 8))::BIGINT"
 
 
 ORDERS_COLS_SQL = """o_orderkey, o_custkey, o_orderstatus, o_totalprice,
@@ -132,8 +133,7 @@ FROM customer""")
 def s2(spark, sf_dir):
     path = scratch_path(spark, "s2-customer-csv")
     T(spark, sf_dir, "customer").write.option("header", True).csv(path)
-    df = (spark.read.format("com.databricks.spark.csv").option("header", True)
-          .option("inferSchema", True).load(path))
+    df = readers.read_table(spark, path, "com.databricks.spark.csv", header=True, inferSchema=True)
     return df.select(F.col("c_custkey").cast("long").alias("c_custkey"), "c_name",
                      F.col("c_nationkey").cast("long").alias("c_nationkey"),
                      F.col("c_acctbal").cast("double").alias("c_acctbal"), "c_mktsegment")
@@ -156,16 +156,22 @@ def s3(spark, sf_dir):
     return readers.read_csv(spark, path, schema=schema, null_value="NA")
 
 
-@query("s5_orc_roundtrip", """
-SELECT l_orderkey, l_linenumber::BIGINT AS l_linenumber, l_quantity, l_extendedprice, l_returnflag
-FROM lineitem""")
+LINEITEM_SQL = """l_orderkey, l_partkey, l_suppkey, l_linenumber::BIGINT AS l_linenumber, l_quantity,
+       l_extendedprice, l_discount, l_tax, l_returnflag, l_linestatus,
+       strftime(l_shipdate, '%Y-%m-%d %H:%M:%S') AS l_shipdate"""
+
+
+def _lineitem_out(df):
+    return df.select(*[c for c in df.columns if c not in ("l_linenumber", "l_shipdate")],
+                     F.col("l_linenumber").cast("long").alias("l_linenumber"),
+                     F.date_format("l_shipdate", "yyyy-MM-dd HH:mm:ss").alias("l_shipdate"))
+
+
+@query("s5_orc_roundtrip", f"SELECT {LINEITEM_SQL} FROM lineitem")
 def s5_orc(spark, sf_dir):
     path = scratch_path(spark, "s5-lineitem-orc")
-    (T(spark, sf_dir, "lineitem")
-     .select("l_orderkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_returnflag")
-     .write.orc(path))
-    df = readers.read_table(spark, path, "orc")
-    return df.withColumn("l_linenumber", F.col("l_linenumber").cast("long"))
+    _lineitem_out(T(spark, sf_dir, "lineitem")).write.orc(path)
+    return readers.read_table(spark, path, "orc")
 
 
 @query("s5_json_roundtrip", f"SELECT {ORDERS_COLS_SQL} FROM orders")
@@ -203,46 +209,42 @@ def s4(spark, sf_dir):
 
 
 @query("s5_text_roundtrip", """
-SELECT CAST(o_orderkey AS VARCHAR) || '|' || o_orderstatus || '|' || o_orderpriority AS value,
+SELECT concat_ws('|', CAST(o_orderkey AS VARCHAR), CAST(o_custkey AS VARCHAR), o_orderstatus,
+                 CAST(CAST(round(o_totalprice * 100) AS BIGINT) AS VARCHAR),
+                 strftime(o_orderdate, '%Y-%m-%d %H:%M:%S'), o_orderpriority) AS value,
        o_orderkey, o_orderpriority FROM orders""")
 def s5_text(spark, sf_dir):
     path = scratch_path(spark, "s5-orders-text")
     o = T(spark, sf_dir, "orders")
-    o.select(F.concat_ws("|", F.col("o_orderkey").cast("string"), "o_orderstatus",
-                         "o_orderpriority").alias("value")).write.text(path)
+    cents = F.round(F.col("o_totalprice") * 100).cast("long").cast("string")
+    o.select(F.concat_ws("|", F.col("o_orderkey").cast("string"), F.col("o_custkey").cast("string"), "o_orderstatus", cents,
+                         F.date_format("o_orderdate", "yyyy-MM-dd HH:mm:ss"), "o_orderpriority").alias("value")).write.text(path)
     lines = readers.read_table(spark, path, "text")
     parts = F.split("value", r"\|")
-    return lines.select("value", parts[0].cast("long").alias("o_orderkey"),
-                        parts[2].alias("o_orderpriority"))
+    return lines.select("value", parts[0].cast("long").alias("o_orderkey"), parts[5].alias("o_orderpriority"))
+
 
+_LINEITEM_NUMBERS = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice",
+                     "l_discount", "l_tax"]
 
-@query("s5_libsvm_roundtrip", """
-SELECT CASE WHEN l_returnflag = 'R' THEN 1.0 ELSE 0.0 END::DOUBLE AS label,
-       l_quantity AS f0, l_discount AS f1, l_tax AS f2 FROM lineitem""")
+
+@query("s5_libsvm_roundtrip", "SELECT CASE WHEN l_returnflag = 'R' THEN 1.0 ELSE 0.0 END::DOUBLE AS label, "
+       + ", ".join(f"{c}::DOUBLE AS f{i}" for i, c in enumerate(_LINEITEM_NUMBERS)) + " FROM lineitem")
 def s5_libsvm(spark, sf_dir):
     from pyspark.ml.functions import vector_to_array
     path = scratch_path(spark, "s5-lineitem-libsvm")
-    li = T(spark, sf_dir, "lineitem").select(
-        F.when(F.col("l_returnflag") == "R", 1.0).otherwise(0.0).alias("label"),
-        "l_quantity", "l_discount", "l_tax")
-    features.assemble(["l_quantity", "l_discount", "l_tax"], "features").transform(li) \
+    li = T(spark, sf_dir, "lineitem").withColumn("label", F.when(F.col("l_returnflag") == "R", 1.0).otherwise(0.0))
+    features.assemble(_LINEITEM_NUMBERS, "features").transform(li) \
         .select("label", "features").write.format("libsvm").save(path)
     # numFeatures given: no extra pass to find the widest row
-    back = readers.read_table(spark, path, "libsvm", numFeatures=3)
+    back = readers.read_table(spark, path, "libsvm", numFeatures=len(_LINEITEM_NUMBERS))
     a = vector_to_array("features")
-    return back.select("label", a[0].alias("f0"), a[1].alias("f1"), a[2].alias("f2"))
+    return back.select("label", *[a[i].alias(f"f{i}") for i in range(len(_LINEITEM_NUMBERS))])
 
 
-@query("s6_materialize", """
-SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber::BIGINT AS l_linenumber, l_quantity,
-       l_extendedprice, l_discount, l_tax, l_returnflag, l_linestatus,
-       strftime(l_shipdate, '%Y-%m-%d %H:%M:%S') AS l_shipdate
-FROM lineitem""")
+@query("s6_materialize", f"SELECT {LINEITEM_SQL} FROM lineitem")
 def s6(spark, sf_dir):
-    df = cat.materialize(T(spark, sf_dir, "lineitem"))
-    return df.select(*[c for c in df.columns if c not in ("l_linenumber", "l_shipdate")],
-                     F.col("l_linenumber").cast("long").alias("l_linenumber"),
-                     F.date_format("l_shipdate", "yyyy-MM-dd HH:mm:ss").alias("l_shipdate"))
+    return _lineitem_out(cat.materialize(T(spark, sf_dir, "lineitem")))
 
 
 @query("s8_cache_view", """
@@ -276,7 +278,7 @@ def s10(spark, sf_dir):
     return back.select("run", "model", "metric", r("value").alias("value"))
 
 
-@query("s11_model_save_load")
+@query("s11_model_save_load", "SELECT o_orderkey, true AS same FROM orders")
 def s11(spark, sf_dir):
     df = standins.churn_orders_frame(spark, sf_dir)
     est = models.estimator("tree", maxDepth=4)
@@ -284,20 +286,25 @@ def s11(spark, sf_dir):
                                              label_source="churn"), df)
     path = scratch_path(spark, "s11-model")
     sinks.save_model(model, path)
-    again = sinks.load_model(path)
-    a = model.transform(df).select("o_orderkey", F.col("prediction").alias("p1"))
-    b = again.transform(df).select("o_orderkey", F.col("prediction").alias("p2"))
-    return a.join(b, "o_orderkey").select("o_orderkey", "p1", "p2",
-                                          (F.col("p1") == F.col("p2")).alias("same"))
-
-
-@query("s12_schema_table", """
-SELECT ordinal_position::BIGINT AS position, column_name,
-       CASE lower(data_type) WHEN 'integer' THEN 'int' WHEN 'varchar' THEN 'string'
-            WHEN 'timestamp' THEN 'timestamp_ntz' ELSE lower(data_type) END AS data_type
-FROM information_schema.columns WHERE table_name = 'lineitem'""")
+    # the rows scored once are scored again by the reloaded model: one scan, no join
+    once = model.transform(df).select(*df.columns, F.col("prediction").alias("first"))
+    twice = sinks.load_model(path).transform(once)
+    return twice.select("o_orderkey", (F.col("first") == F.col("prediction")).alias("same"))
+
+
+_S12_TYPES = {"l_orderkey": "bigint", "l_partkey": "bigint", "l_suppkey": "bigint", "l_linenumber": "int",
+              "l_quantity": "double", "l_extendedprice": "double", "l_discount": "double", "l_tax": "double",
+              "l_returnflag": "string", "l_linestatus": "string", "l_shipdate": "timestamp_ntz"}
+
+
+@query("s12_schema_table", "\nUNION ALL ".join(
+    f"SELECT {i + 1}::BIGINT AS position, '{c}' AS column_name, '{t}' AS data_type, count(*) - count({c}) AS nulls,"
+    f" count(*) AS rows FROM lineitem" for i, (c, t) in enumerate(_S12_TYPES.items())))
 def s12(spark, sf_dir):
-    return cat.schema_table(T(spark, sf_dir, "lineitem")).drop("nullable")
+    # the declared schema beside what the rows hold
+    df = T(spark, sf_dir, "lineitem")
+    return (cat.schema_table(df).join(cleaning.null_report(df), "column_name")
+            .select("position", "column_name", "data_type", "nulls", "rows"))
 
 
 # ================================================================ 2.2 projections
@@ -327,19 +334,13 @@ def p4(spark, sf_dir):
 
 
 @query("p5_infer_roles", """
-SELECT ordinal_position::BIGINT AS position, column_name,
-  CASE WHEN column_name = 'l_extendedprice' THEN 'label'
-       WHEN column_name IN ('l_orderkey', 'l_linenumber') THEN 'id'
-       WHEN data_type = 'VARCHAR' THEN 'categorical'
-       WHEN data_type IN ('BIGINT', 'INTEGER', 'DOUBLE') THEN 'numeric'
-       ELSE 'ignored' END AS role,
-  CASE WHEN data_type = 'VARCHAR' THEN 'idx_' || column_name END AS index_column,
-  CASE WHEN data_type = 'VARCHAR' THEN column_name || '_Vector' END AS vector_column
-FROM information_schema.columns WHERE table_name = 'lineitem'""")
+SELECT l_returnflag, l_linestatus, l_partkey, l_suppkey, l_quantity, l_discount, l_tax,
+       l_extendedprice AS label, l_orderkey, l_linenumber::BIGINT AS l_linenumber FROM lineitem""")
 def p5(spark, sf_dir):
+    # the roles found in the table, applied to it: features, label, ids
     df = T(spark, sf_dir, "lineitem")
-    roles = columns.infer_roles(df, label="l_extendedprice", ids=["l_orderkey", "l_linenumber"])
-    return columns.roles_table(df, roles)
+    roles = columns.infer_roles(df, label="l_extendedprice", ids=["l_orderkey", "l_linenumber"], max_distinct=100)
+    return df.select(*roles.features, F.col(roles.label).alias("label"), *[F.col(c).cast("long").alias(c) for c in roles.ids])
 
 
 _P6_SQL = f"""
@@ -487,16 +488,14 @@ def c4(spark, sf_dir):
     return cleaning.drop_nulls(standins.bike_frame(spark, sf_dir).drop("dteday"))
 
 
-@query("c5_null_report", f"""
-WITH {BIKE_CTE.strip()}
-SELECT column_name, nulls::BIGINT AS nulls, rows::BIGINT AS rows, nulls > 0 AS any_null FROM (
-  SELECT 'instant' AS column_name, count(*) - count(instant) AS nulls, count(*) AS rows FROM bike
-  UNION ALL SELECT 'weathersit', count(*) - count(weathersit), count(*) FROM bike
-  UNION ALL SELECT 'hum', count(*) - count(hum), count(*) FROM bike
-  UNION ALL SELECT 'cnt', count(*) - count(cnt), count(*) FROM bike)""")
+_C5_COLS = ["instant", "season", "yr", "mnth", "hr", "weekday", "workingday", "weathersit", "atemp", "hum", "windspeed", "cnt"]
+
+
+@query("c5_null_report", f"WITH {BIKE_CTE.strip()}\n" + "\nUNION ALL ".join(
+    f"SELECT '{c}' AS column_name, (count(*) - count({c}))::BIGINT AS nulls, count(*)::BIGINT AS rows,"
+    f" count(*) > count({c}) AS any_null FROM bike" for c in _C5_COLS))
 def c5(spark, sf_dir):
-    return cleaning.null_report(standins.bike_frame(spark, sf_dir),
-                                ["instant", "weathersit", "hum", "cnt"])
+    return cleaning.null_report(standins.bike_frame(spark, sf_dir).drop("dteday"))
 
 
 # ================================================================ 2.4 aggregations
@@ -635,14 +634,14 @@ def _pairs_sql(cols, table, where=""):
     parts = []
     for i, a in enumerate(cols):
         for b in cols[i + 1:]:
-            parts.append(f"SELECT '{a}' AS a, '{b}' AS b, round(corr({a}, {b}), 6) AS r FROM {table}")
+            parts.append(f"SELECT '{a}' AS a, '{b}' AS b, round(corr({a}, {b}), 6) + 0.0 AS r FROM {table}")
     body = "\nUNION ALL ".join(parts)
     return f"SELECT * FROM ({body}) {where}"
 
 
-@query("a14_corr_matrix", _pairs_sql(_A9_COLS, "lineitem"))
+@query("a14_corr_matrix", _pairs_sql(_LINEITEM_NUMBERS, "lineitem"))
 def a14(spark, sf_dir):
-    return profile.corr_matrix(T(spark, sf_dir, "lineitem"), _A9_COLS).withColumn("r", r("r"))
+    return profile.corr_matrix(T(spark, sf_dir, "lineitem")).withColumn("r", r("r") + 0.0)
 
 
 _A15_SQL_COLS = """l_quantity, l_extendedprice, l_extendedprice * (1 - l_discount) AS net_price, l_tax"""
@@ -660,7 +659,7 @@ def _a15_frame(spark, sf_dir):
                                           "WHERE abs(r) >= 0.9"))
 def a15(spark, sf_dir):
     return (profile.correlated_pairs(_a15_frame(spark, sf_dir), _A15_COLS, 0.9)
-            .withColumn("r", r("r")))
+            .withColumn("r", r("r") + 0.0))
 
 
 @query("a15_drop_correlated", """
@@ -823,6 +822,44 @@ def m5(spark, sf_dir):
     return sampling.with_folds(T(spark, sf_dir, "orders").select("o_orderkey"), "o_orderkey", 3, seed=42)
 
 
+_NULLED = "(SELECT CASE WHEN o_orderkey % 3 <> 0 THEN o_orderkey END AS k, o_custkey, o_orderstatus, o_orderkey FROM orders)"
+
+
+def _nulled(spark, sf_dir):
+    """Orders with a key that is NULL in every third row."""
+    return T(spark, sf_dir, "orders").select(F.when(F.col("o_orderkey") % 3 != 0, F.col("o_orderkey")).alias("k"), "o_custkey", "o_orderstatus", "o_orderkey")
+
+
+@query("m2_hash_sample_null_keys", f"SELECT o_orderkey FROM {_NULLED} WHERE {hsql('k', 42)} < {threshold(0.6)}")
+def m2n(spark, sf_dir):
+    return sampling.hash_sample(_nulled(spark, sf_dir), "k", 0.6, seed=42).select("o_orderkey")
+
+
+@query("m3_hash_split_null_keys", f"""
+SELECT o_orderkey, CASE WHEN {hsql2('k', 'o_custkey', 42)} < {threshold(0.7)} THEN 0 ELSE 1 END AS split FROM {_NULLED}""")
+def m3n(spark, sf_dir):
+    parts = sampling.hash_split(_nulled(spark, sf_dir), ["k", "o_custkey"], [0.7, 0.3], seed=42)
+    return reduce(DataFrame.unionByName, [p.select("o_orderkey", F.lit(i).alias("split")) for i, p in enumerate(parts)])
+
+
+@query("m4_stratified_null_keys", f"""
+SELECT o_orderkey, o_orderstatus FROM {_NULLED}
+WHERE {hsql2('k', 'o_custkey', 7)} < CASE o_orderstatus WHEN 'F' THEN {threshold(0.5)} WHEN 'O' THEN {threshold(0.25)} ELSE -1 END""")
+def m4n(spark, sf_dir):
+    out = sampling.stratified_sample(_nulled(spark, sf_dir), "o_orderstatus", {"F": 0.5, "O": 0.25}, ["k", "o_custkey"], seed=7)
+    return out.select("o_orderkey", "o_orderstatus")
+
+
+@query("m5_folds_null_keys", f"SELECT o_orderkey, (({hsql('k', 42)}) * 3 // 4294967296)::INTEGER AS fold FROM {_NULLED}")
+def m5n(spark, sf_dir):
+    return sampling.with_folds(_nulled(spark, sf_dir), "k", 3, seed=42).select("o_orderkey", "fold")
+
+
+@query("m1_whole_sample", "SELECT o_orderkey FROM orders")
+def m1w(spark, sf_dir):
+    return sampling.sample(T(spark, sf_dir, "orders").select("o_orderkey"), 1.0, seed=42)
+
+
 # ================================================================ 2.8 features
 
 _BRAND_RANK = """
@@ -918,18 +955,20 @@ def f5(spark, sf_dir):
     return out.select("l_orderkey", "l_linenumber", r(a[0]).alias("s0"), r(a[1]).alias("s1"))
 
 
-@query("f6_feature_columns", """
-SELECT (row_number() OVER (ORDER BY CASE WHEN data_type = 'VARCHAR' THEN 0 ELSE 1 END, ordinal_position))::BIGINT
-         AS position,
-       CASE WHEN data_type = 'VARCHAR' THEN column_name || '_Vector' ELSE column_name END AS feature
-FROM information_schema.columns
-WHERE table_name = 'lineitem' AND column_name NOT IN ('l_extendedprice', 'l_orderkey', 'l_linenumber')
-  AND data_type IN ('VARCHAR', 'BIGINT', 'INTEGER', 'DOUBLE')""")
+_F6 = ["l_partkey", "l_suppkey", "l_quantity", "l_discount", "l_tax"]
+
+
+@query("f6_feature_columns", "SELECT l_orderkey, l_linenumber::BIGINT AS l_linenumber, "
+       + ", ".join(f"{c}::DOUBLE AS f{i}" for i, c in enumerate(_F6)) + " FROM lineitem")
 def f6(spark, sf_dir):
+    # the feature list of the roles, assembled over the rows
+    from pyspark.ml.functions import vector_to_array
     df = T(spark, sf_dir, "lineitem")
-    roles = columns.infer_roles(df, label="l_extendedprice", ids=["l_orderkey", "l_linenumber"])
-    names = features.feature_columns(roles, "onehot")
-    return spark.createDataFrame([(i + 1, n) for i, n in enumerate(names)], "position long, feature string")
+    roles = columns.infer_roles(df, label="l_extendedprice", ids=["l_orderkey", "l_linenumber"], max_distinct=100)
+    names = features.feature_columns(roles, "none")
+    a = vector_to_array("features")
+    return features.assemble(names, "features").transform(df).select(
+        "l_orderkey", F.col("l_linenumber").cast("long").alias("l_linenumber"), *[a[i].alias(f"f{i}") for i in range(len(names))])
 
 
 # ================================================================ 2.11 evaluation
@@ -1086,7 +1125,72 @@ def l2cv(spark, sf_dir):
 
 @query("l2_rf_regressor_demand")
 def l2(spark, sf_dir):
-    return jobs.demand_regression(spark, sf_dir, trees=10, depth=5)
+    # a stated reduction: the job's own default is the workload's 100 trees of depth 20
+    return jobs.demand_regression(spark, sf_dir, trees=20, depth=8)
+
+
+# Closed forms of the estimators: settings under which SQL gives the same model.
+
+def _split_frame(spark, sf_dir):
+    """Line items with one binary feature: is the price above 40 000?"""
+    li = T(spark, sf_dir, "lineitem").select(
+        "l_orderkey", F.col("l_linenumber").cast("long").alias("l_linenumber"), "l_extendedprice",
+        (F.col("l_extendedprice") > 40000).cast("double").alias("x"),
+        F.when(F.col("l_quantity") > 25, 1.0).otherwise(0.0).alias("y"))
+    return features.assemble(["x"], "features").transform(li)
+
+
+_SPLIT_CTE = """
+t AS (SELECT l_orderkey, l_linenumber::BIGINT AS l_linenumber, l_extendedprice,
+             CASE WHEN l_extendedprice > 40000 THEN 1.0 ELSE 0.0 END::DOUBLE AS x,
+             CASE WHEN l_quantity > 25 THEN 1.0 ELSE 0.0 END::DOUBLE AS y FROM lineitem)"""
+_ONE_TREE = {"numTrees": 1, "bootstrap": False, "featureSubsetStrategy": "all", "maxDepth": 1}
+_MAJORITY_SQL = f"""
+WITH {_SPLIT_CTE.strip()}, g AS (SELECT x, CASE WHEN avg(y) > 0.5 THEN 1.0 ELSE 0.0 END::DOUBLE AS prediction FROM t GROUP BY x)
+SELECT l_orderkey, l_linenumber, prediction FROM t JOIN g USING (x)"""
+
+
+@query("l2_one_split_means", f"""
+WITH {_SPLIT_CTE.strip()}, g AS (SELECT x, avg(l_extendedprice) AS m FROM t GROUP BY x)
+SELECT l_orderkey, l_linenumber, round(m, 4) AS prediction FROM t JOIN g USING (x)""")
+def l2s(spark, sf_dir):
+    df = _split_frame(spark, sf_dir)
+    model = models.estimator("rf_reg", label="l_extendedprice", **_ONE_TREE).fit(df)
+    return models.score(model, df).select("l_orderkey", "l_linenumber", r("prediction", 4).alias("prediction"))
+
+
+@query("l3_class_rates", f"""
+WITH {_SPLIT_CTE.strip()}, g AS (SELECT x, avg(y) AS m FROM t GROUP BY x)
+SELECT l_orderkey, l_linenumber, round(m, 3) AS chance FROM t JOIN g USING (x)""")
+def l3r(spark, sf_dir):
+    df = _split_frame(spark, sf_dir)
+    model = models.estimator("logistic", label="y", regParam=0.0, maxIter=200, tol=1e-12).fit(df)
+    return models.score(model, df).select("l_orderkey", "l_linenumber", r(evaluate.score_of("probability"), 3).alias("chance"))
+
+
+@query("l4_separable_classes", """
+SELECT l_orderkey, l_linenumber::BIGINT AS l_linenumber, CASE WHEN l_returnflag = 'R' THEN 1.0 ELSE 0.0 END::DOUBLE AS prediction
+FROM lineitem""")
+def l4s(spark, sf_dir):
+    li = T(spark, sf_dir, "lineitem").select("l_orderkey", F.col("l_linenumber").cast("long").alias("l_linenumber"),
+                                             (F.col("l_returnflag") == "R").cast("double").alias("x"))
+    df = features.assemble(["x"], "features").transform(li)
+    model = models.estimator("svc", label="x", maxIter=100, regParam=0.0001).fit(df)
+    return models.score(model, df).select("l_orderkey", "l_linenumber", "prediction")
+
+
+@query("l5_one_split_majority", _MAJORITY_SQL)
+def l5s(spark, sf_dir):
+    df = _split_frame(spark, sf_dir)
+    model = models.estimator("tree", label="y", maxDepth=1).fit(df)
+    return models.score(model, df).select("l_orderkey", "l_linenumber", "prediction")
+
+
+@query("l6_one_split_majority", _MAJORITY_SQL)
+def l6s(spark, sf_dir):
+    df = _split_frame(spark, sf_dir)
+    model = models.estimator("rf_cls", label="y", **_ONE_TREE).fit(df)
+    return models.score(model, df).select("l_orderkey", "l_linenumber", "prediction")
 
 
 @query("l3_logistic_churn")
@@ -1106,16 +1210,44 @@ def l5(spark, sf_dir):
 
 @query("l6_rf_classifier_churn")
 def l6(spark, sf_dir):
-    return jobs.churn_classification(spark, sf_dir, "rf_cls", frame="orders",
-                                     params={"maxDepth": [3, 5], "numTrees": [5]})
+    return jobs.churn_classification(spark, sf_dir, "rf_cls", frame="orders")
 
 
-@query("l7_l9_pipeline_fit_score")
+@query("l7_l9_pipeline_fit_score", f"""
+SELECT o_orderkey, CASE WHEN o_orderstatus = 'F' THEN 1.0 ELSE 0.0 END::DOUBLE AS label, true AS scored
+FROM orders WHERE {hsql('o_orderkey', 42)} >= {threshold(0.8)}""")
 def l9(spark, sf_dir):
     df = standins.churn_orders_frame(spark, sf_dir)
+    train, test = sampling.hash_split(df, "o_orderkey", [0.8, 0.2], seed=42)
     est = models.estimator("logistic", maxIter=20)
-    model = models.fit(models.build_pipeline(standins.CHURN_ORDERS_ROLES, est, label_source="churn"), df)
-    return models.score(model, df).select("o_orderkey", "label", "prediction")
+    model = models.fit(models.build_pipeline(standins.CHURN_ORDERS_ROLES, est, label_source="churn"), train)
+    return models.score(model, test).select("o_orderkey", "label", F.col("prediction").isin(0.0, 1.0).alias("scored"))
+
+
+def _fold_rmse(fold: int, where: str, slope: str, intercept: str) -> str:
+    return (f"SELECT sqrt(avg(power(v.y - (m.a + m.b * v.x), 2))) AS rmse FROM f v, "
+            f"(SELECT {slope} AS b, {intercept} AS a FROM f WHERE fold <> {fold}) m WHERE v.fold = {fold}{where}")
+
+
+_CV_SQL = f"""
+WITH f AS (SELECT l_quantity AS x, l_extendedprice AS y,
+                  (({hsql2('l_orderkey', 'l_linenumber', 7)}) * 3 // 4294967296)::INTEGER AS fold FROM lineitem),
+w AS ({' UNION ALL '.join(_fold_rmse(k, '', 'regr_slope(y, x)', 'regr_intercept(y, x)') for k in range(3))}),
+z AS ({' UNION ALL '.join(_fold_rmse(k, '', 'sum(x * y) / sum(x * x)', '0') for k in range(3))}),
+b AS (SELECT 0::BIGINT AS combo, avg(rmse) AS m FROM z UNION ALL SELECT 1, avg(rmse) FROM w)
+SELECT combo, round(m, 3) AS avg_metric, m = (SELECT min(m) FROM b) AS is_best FROM b"""
+
+
+@query("l10_l12_cv_closed_form", _CV_SQL)
+def l11c(spark, sf_dir):
+    # one feature, no penalty: every fold's fit and error have closed forms
+    li = T(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity", F.col("l_extendedprice").alias("label"))
+    df = sampling.with_folds(li, ["l_orderkey", "l_linenumber"], 3, seed=7)
+    est = models.estimator("linear", solver="normal", regParam=0.0, standardization=False)
+    pipe = models.build_pipeline(columns.Roles(numeric=("l_quantity",)), est, encode="none")
+    cv = models.tune(pipe, models.grid(est, {"fitIntercept": [False, True]}), models.evaluator("linear"), df, folds=3,
+                     parallelism=2, fold_col="fold", columns=["l_quantity", "label"])
+    return models.cv_table(cv).select("combo", r("avg_metric", 3).alias("avg_metric"), "is_best")
 
 
 @query("l10_l12_grid_search_table")
@@ -1139,28 +1271,38 @@ def l12(spark, sf_dir):
     return models.best_params(cv, ["regParam", "fitIntercept", "elasticNetParam", "maxIter", "tol"])
 
 
+def _importances(spark, sf_dir):
+    df = cleaning.drop_nulls(standins.bike_frame(spark, sf_dir), [*standins.BIKE_ROLES.numeric, "cnt"])
+    train, test = sampling.hash_split(df, "instant", [0.7, 0.3], seed=42)
+    est = models.estimator("rf_reg", label="cnt", numTrees=10, maxDepth=5)
+    model = models.fit(models.build_pipeline(standins.BIKE_ROLES, est, scale_features=True), train, jobs.LAYOUT, "instant")
+    return models.feature_importances(model, model.transform(test))
+
+
 @query("l13_feature_importances")
 def l13(spark, sf_dir):
-    df = standins.bike_frame(spark, sf_dir)
-    est = models.estimator("rf_reg", label="cnt", numTrees=10, maxDepth=5, seed=27)
-    model = models.fit(models.build_pipeline(standins.BIKE_ROLES, est, scale_features=True), df)
-    return models.feature_importances(model, model.transform(df))
+    return _importances(spark, sf_dir)
+
+
+@query("l13_importance_slots", f"""
+WITH {BIKE_CTE.strip()},
+tr AS (SELECT * FROM bike WHERE hum IS NOT NULL AND cnt IS NOT NULL AND {hsql('instant', 42)} < {threshold(0.7)})
+SELECT (count(DISTINCT season) + count(DISTINCT yr) + count(DISTINCT workingday) + count(DISTINCT weathersit) + 4 + 5)::BIGINT AS slots,
+       1.0::DOUBLE AS total FROM tr""")
+def l13s(spark, sf_dir):
+    # a slot for every category of the training part, one a column for unseen ones, and every number
+    return _importances(spark, sf_dir).agg(F.count(F.lit(1)).alias("slots"), r(F.sum("importance")).alias("total"))
 
 
 @query("l14_leaderboard")
 def l14(spark, sf_dir):
-    from functools import reduce
     df = standins.churn_orders_frame(spark, sf_dir)
     train, test = sampling.hash_split(df, "o_orderkey", [0.8, 0.2], seed=42)
-    rows = []
-    with models.reused(train) as held:  # one held training split for all four fits
-        for kind, params in [("logistic", {"maxIter": 20}), ("svc", {"maxIter": 20}),
-                             ("tree", {"maxDepth": 4}), ("rf_cls", {"numTrees": 5, "maxDepth": 4})]:
-            est = models.estimator(kind, **params)
-            encode = "index" if kind in ("tree", "rf_cls") else "onehot"
-            m = models.fit(models.build_pipeline(standins.CHURN_ORDERS_ROLES, est, encode=encode,
-                                                 label_source="churn"), held)
-            scored = m.transform(test)
-            rows.append(jobs.metrics_long("leaderboard", kind, evaluate.classification_summary(scored)))
-    board = reduce(DataFrame.unionByName, rows)
-    return board.orderBy("metric", F.desc("value"), "model")
+    fitted = {}
+    with models.reused(train, jobs.LAYOUT, "o_orderkey") as held:  # one held training split for all fits
+        for kind in ("logistic", "svc", "tree"):
+            encode = "index" if kind in models.TREE_KINDS else "onehot"
+            fitted[kind] = models.fit(models.build_pipeline(standins.CHURN_ORDERS_ROLES, models.estimator(kind), encode=encode, label_source="churn"), held)
+        est = models.estimator("rf_cls", numTrees=5)
+        fitted["rf_cls"] = models.fit(models.build_pipeline(standins.CHURN_ORDERS_ROLES, est, encode="index", label_source="churn"), held)
+    return jobs.leaderboard(fitted, test)

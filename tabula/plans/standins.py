@@ -51,6 +51,11 @@ BIKE_ROLES = Roles(categorical=("season", "yr", "workingday", "weathersit"),
                    numeric=("mnth", "hr", "atemp", "hum", "windspeed"),
                    label="cnt", ids=("instant",))
 
+# the same with the codes mapped to their labels
+BIKE_LABEL_ROLES = Roles(categorical=("season_label", "yr", "workingday", "weather_label"),
+                         numeric=("mnth", "hr", "atemp", "hum", "windspeed"),
+                         label="cnt", ids=("instant",))
+
 
 def claims_frame(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Claim cost from ``lineitem``: ``cat*`` strings, ``cont*`` doubles, ``loss``."""

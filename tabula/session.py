@@ -4,8 +4,8 @@ Everything that writes intermediate data (CSV round trips, saved models,
 metric sinks, lineage cuts) goes below the folder the cluster names in
 ``spark.checkpoint.dir``.  On a cluster that folder is shared storage, so a
 lost executor never loses the only copy of an intermediate result.  A
-private folder is created only when the setting is absent (local runs and
-tests).
+private folder is made only in local mode when the setting is absent; any
+other master without it is an error.
 """
 
 from __future__ import annotations
@@ -62,7 +62,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         except Exception:  # noqa: BLE001 - unset key
             conf_dir = None
     if not conf_dir:
-        # Only reached in local runs/tests: nothing configured a shared folder.
+        if not sc.master.split("[")[0] == "local":
+            # a private folder would scatter the parts over the machines' own disks
+            raise ValueError("set spark.checkpoint.dir to a folder that all machines share")
         conf_dir = tempfile.mkdtemp(prefix="tabula-ckpt-")
     sc.setCheckpointDir(conf_dir)
     return sc.getCheckpointDir() or conf_dir
@@ -83,10 +85,5 @@ def ship_library(spark: SparkSession) -> None:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique path under the shared checkpoint folder."""
     base = ensure_checkpoint_dir(spark)
-    return os.path.join(base, "scratch", f"{name}-{uuid.uuid4().hex[:12]}")
+    return os.path.join(base, "scratch", spark.sparkContext.applicationId, f"{name}-{uuid.uuid4().hex[:12]}")
 
-
-def cut_lineage(df):
-    """Reliable checkpoint (written to the shared folder, survives executor loss)."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)

@@ -54,3 +54,16 @@ def test_roles_by_prefix_and_type(spark):
     r2 = columns.infer_roles(df, label="loss", ids=["id"])
     assert r2.categorical == ("cat1", "cat2") and r2.numeric == ("cont1", "cont2")
     assert columns.select_where(df, lambda c: c.startswith("cont")).columns == ["cont1", "cont2"]
+
+
+def test_null_report_takes_names_literally(spark):
+    df = spark.createDataFrame([(1, None), (None, None)], "`it's a.b` int, `back\\slash` int")
+    got = {r.column_name: r.nulls for r in cleaning.null_report(df).collect()}
+    assert got == {"it's a.b": 1, "back\\slash": 2}
+
+
+def test_free_text_is_no_category(spark):
+    from pyspark.sql import functions as F
+    df = spark.range(500).select(F.concat(F.lit("text "), F.col("id")).alias("t"), F.when(F.col("id") % 2 == 0, "a").otherwise("b").alias("g"), "id")
+    assert columns.infer_roles(df).categorical == ("t", "g")
+    assert columns.infer_roles(df, max_distinct=50).categorical == ("g",)

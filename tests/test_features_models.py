@@ -86,23 +86,17 @@ def test_cv_with_fold_column(spark):
     assert bp["maxDepth"] in ("2", "3")
 
 
-def test_reused_spreads_only_when_under_partitioned(spark):
+def test_reused_keeps_the_layout_unless_one_is_asked_for(spark):
     from pyspark import StorageLevel
-    cores = spark.sparkContext.defaultParallelism
-    many = spark.range(models.MIN_ROWS_PER_TASK * cores).coalesce(1)
-    with models.reused(many) as held:
-        assert held.rdd.getNumPartitions() == cores
-        assert held.storageLevel != StorageLevel.NONE
+    one = spark.range(50_000).coalesce(1)
+    with models.reused(one) as held:  # whatever the cores and the rows
+        assert held.rdd.getNumPartitions() == 1 and held.storageLevel != StorageLevel.NONE
     assert held.storageLevel == StorageLevel.NONE  # released afterwards
-    some = spark.range(models.MIN_ROWS_PER_TASK * 3).coalesce(1)  # as many tasks as the rows fill
-    with models.reused(some) as held:
-        assert held.rdd.getNumPartitions() == min(3, cores)
-    few = spark.range(10).coalesce(1)  # too few rows to be worth more tasks
-    with models.reused(few) as held:
-        assert held.rdd.getNumPartitions() == 1 and held.count() == 10
-    wide = spark.range(100).repartition(cores * 2)
-    with models.reused(wide) as held:
-        assert held.rdd.getNumPartitions() == cores * 2
+    with models.reused(one, partitions=5, keys="id") as held:
+        parts = held.rdd.glom().map(lambda rows: [r.id for r in rows]).collect()
+    with models.reused(one.repartition(7), partitions=5, keys="id") as held:
+        again = held.rdd.glom().map(lambda rows: [r.id for r in rows]).collect()
+    assert parts == again and len(parts) == 5 and all(p == sorted(p) for p in parts)
     kept = spark.range(5).persist()
     with models.reused(kept) as held:
         assert held is kept
@@ -110,6 +104,54 @@ def test_reused_spreads_only_when_under_partitioned(spark):
     kept.unpersist()
 
 
+def test_forests_repeat_on_any_input_layout(spark):
+    df = standins.churn_orders_frame(spark, SF_SMALL)
+    out = []
+    for frame in (df, df.repartition(6)):
+        est = models.estimator("rf_cls", numTrees=5, maxDepth=4)
+        pipe = models.build_pipeline(standins.CHURN_ORDERS_ROLES, est, encode="index", label_source="churn")
+        out.append(models.fit(pipe, frame, 4, "o_orderkey").stages[-1].featureImportances.toArray().tolist())
+    assert out[0] == out[1]
+    assert models.estimator("tree").getSeed() == models.estimator("rf_reg").getSeed() == models.SEED
+
+
+def test_missing_numbers_fail_skip_or_fill_in_every_kind(spark):
+    import pytest
+    from pyspark.sql import functions as F
+    df = standins.churn_orders_frame(spark, SF_SMALL).withColumn("totalprice", F.when(F.col("o_orderkey") % 5 != 0, F.col("totalprice")))
+    df = df.withColumn("y", (F.col("churn") == "True").cast("double"))
+    whole = df.filter("totalprice is not null").count()
+    for kind in models._ESTIMATORS:
+        params = {"numTrees": 2, "maxDepth": 2} if kind.startswith("rf") else {"maxDepth": 2} if kind == "tree" else {"maxIter": 3}
+        roles = standins.CHURN_ORDERS_ROLES
+        made = {m: models.build_pipeline(roles, models.estimator(kind, label="y", **params), encode="index", missing=m) for m in ("error", "skip", "mean")}
+        with pytest.raises(Exception, match="null|Null"):
+            models.fit(made["error"], df)
+        assert models.fit(made["skip"], df).transform(df).count() == whole
+        assert models.fit(made["mean"], df).transform(df).count() == df.count()
+
+
+def test_selection_is_exact_on_many_scores_and_by_either_column(spark):
+    from pyspark.sql import functions as F
+    from pyspark.ml.functions import array_to_vector
+    from tabula.operators import evaluate
+    df = spark.range(6000).select((F.xxhash64("id") % 2 == 0).cast("double").alias("label"), (F.pmod(F.xxhash64("id", F.lit(1)), F.lit(100003)) / 100003).alias("s"))
+    df = df.withColumn("s", F.col("s") + 0.1 * F.col("label")).withColumn("prediction", (F.col("s") > 0.5).cast("double"))
+    df = df.withColumn("rawPrediction", array_to_vector(F.array(-F.col("s"), F.col("s"))))
+    exact = evaluate.exact_curve_areas(df, "label", "s").first()
+    assert math.isclose(models.evaluator("logistic").evaluate(df), exact.auc, rel_tol=1e-9)
+    assert math.isclose(models.evaluator("logistic", metric="areaUnderPR").evaluate(df), exact.auc_pr, rel_tol=1e-6)
+    hard = evaluate.auc_hard(df).first()[0]
+    assert math.isclose(models.evaluator("logistic", column="prediction").evaluate(df), hard, rel_tol=1e-9)
+
+
+def test_bins_are_raised_to_what_the_categories_need(spark):
+    df = standins.churn_frame(spark, SF_SMALL)
+    least = models.nominal_bins(df, standins.CHURN_ROLES)
+    assert least == 1 + max(df.select("lang").distinct().count(), df.select("source").distinct().count())
+    assert models.at_least_bins({"maxBins": [2, 3, 100], "maxDepth": [2]}, least) == {"maxBins": sorted({least, 100}), "maxDepth": [2]}
+
+
 def test_shared_prefix_grid_search_equals_plain_pipeline(spark):
     from pyspark.ml import Pipeline
     df = sampling.with_folds(standins.churn_orders_frame(spark, SF_SMALL), "o_orderkey", 3, seed=7)
@@ -160,17 +202,6 @@ def test_grid_search_workers_get_private_local_properties(spark):
     assert len({s1, o1, o2}) == 3  # ... and each worker continues on its own copy
 
 
-def test_shared_prefix_can_hold_encoded_rows(spark, monkeypatch):
-    monkeypatch.setattr(models, "HOLD_ENCODED_ROWS", True)
-    spark.catalog.clearCache()
-    df = standins.churn_orders_frame(spark, SF_SMALL)
-    est = models.estimator("logistic", maxIter=5)
-    pipe = models.build_pipeline(standins.CHURN_ORDERS_ROLES, est, label_source="churn")
-    fitted = [m for _, m in pipe.fitMultiple(df, models.grid(est, {"regParam": [0.1, 0.01]}))]
-    assert sorted(m.stages[-1].getRegParam() for m in fitted) == [0.01, 0.1]
-    assert spark._jsparkSession.sharedState().cacheManager().isEmpty()  # released after the last fit
-
-
 def test_tree_estimators_cache_node_ids():
     for kind in ("tree", "rf_cls", "rf_reg"):
         assert models.estimator(kind).getCacheNodeIds()

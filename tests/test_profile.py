@@ -66,3 +66,21 @@ def test_peak_keys_order(spark):
     df = spark.createDataFrame([(1, 5.0), (2, 7.0), (3, 7.0), (4, 1.0)], "k int, v double")
     assert [r.k for r in charts.peak_keys(df, "k", "v", 2).collect()] == [2, 3]
     assert [r.k for r in charts.peak_keys(df, "k", "v", 1, desc=False).collect()] == [4]
+
+
+def test_constant_columns_have_no_correlation(spark):
+    from pyspark.sql import functions as F
+    df = spark.range(20).select(F.col("id").cast("double").alias("a"), F.lit(3.0).alias("c"), (F.col("id") * -2.0).alias("b"),
+                                F.when(F.col("id") < 10, F.col("id") * 1.0).alias("h"))
+    assert profile.corr(df, "a", "c").first()[0] is None
+    got = {(r.a, r.b): r.r for r in profile.corr_matrix(df).collect()}
+    assert got[("a", "c")] is None and abs(got[("a", "b")] + 1) < 1e-12 and abs(got[("a", "h")] - 1) < 1e-12
+    assert profile.drop_correlated(df)[1] == ["b", "h"]
+
+
+def test_high_cardinality_counts_only_what_the_sketch_leaves(spark):
+    from pyspark.sql import functions as F
+    df = spark.range(5000).select((F.col("id") % 7).alias("few"), (F.col("id") % 100).alias("edge"), F.col("id").alias("many"), F.lit(None).cast("int").alias("none"))
+    got = {r.column_name: r.distinct_count for r in profile.high_cardinality(df, df.columns, 99).collect()}
+    assert got == {"edge": 100, "many": 5000}
+    assert {r.column_name: r.distinct_count for r in profile.cardinality(df, df.columns).collect()} == {"few": 7, "edge": 100, "many": 5000, "none": 0}

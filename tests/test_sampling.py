@@ -55,3 +55,16 @@ def test_no_shuffle_in_split(spark):
     df = orders(spark)
     plan = sampling.hash_split(df, "o_orderkey", [0.5, 0.5])[0]._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in plan
+
+
+def test_null_keys_are_drawn_like_others(spark):
+    from pyspark.sql import functions as F
+    df = spark.range(300).select(F.when(F.col("id") % 3 != 0, F.col("id")).alias("k"), F.col("id").alias("n"), F.lit(None).cast("string").alias("z"))
+    for keys in ("k", ["k", "n"], ["k", "z"], "z"):
+        parts = sampling.hash_split(df, keys, [0.7, 0.3])
+        assert sum(p.count() for p in parts) == 300
+        marked = {r.split: r["count"] for r in sampling.with_split(df, keys, [0.7, 0.3]).groupBy("split").count().collect()}
+        assert [marked.get(i, 0) for i in range(2)] == [p.count() for p in parts]
+        assert sampling.with_folds(df, keys, 3).filter("fold is null").count() == 0
+    # a NULL key draws as one key: its rows move together
+    assert len({r.split for r in sampling.with_split(df, "k", [0.5, 0.5]).filter("k is null").collect()}) == 1
