@@ -7,11 +7,13 @@ the regular expression does on the text.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -23,7 +25,7 @@ WORD = r"[^\x20\x09-\x0D]+"
 U64 = np.uint64
 _WORD_BASE = U64(0x9E3779B97F4A7C15)
 #: Text bytes handled at once inside a task; bounds the numpy temporaries.
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 1 << 20
 
 _BLANK = np.zeros(256, bool)
 _BLANK[[0x20, *range(0x09, 0x0E)]] = True
@@ -154,7 +156,6 @@ def chunked(docs: DataFrame, chunk_bytes: int) -> tuple[DataFrame, int]:
     numbered in the order of the ids; rows without an id are in the first.
     The borders are quantiles of the ids: a few numbers a chunk on the driver.
     """
-    kind = docs.schema["doc_id"].dataType.simpleString()
     rows, size = docs.agg(F.count("doc_id"), F.sum(F.octet_length("text"))).first()
     chunks = max(1, -(-(size or 0) // chunk_bytes))
     ends: list[int] = []
@@ -162,11 +163,8 @@ def chunked(docs: DataFrame, chunk_bytes: int) -> tuple[DataFrame, int]:
         at = F.array(*[F.lit(i / chunks) for i in range(1, chunks)])
         ends = sorted(set(docs.select(F.percentile_approx("doc_id", at, 100 * chunks)).first()[0]))
 
-    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            ids = batch.column("doc_id")
-            known = ids.cast(pa.int64()).fill_null(np.iinfo(np.int64).min).to_numpy(zero_copy_only=False)
-            chunk = np.searchsorted(np.array(ends, np.int64), known, "right")
-            yield pa.RecordBatch.from_arrays([pa.array(chunk.astype(np.int64)), ids, batch.column("text")], ["chunk", "doc_id", "text"])
-
-    return docs.select("doc_id", "text").mapInArrow(place, f"chunk long, doc_id {kind}, text string"), size or 0
+    # a binary search in the JVM; ids as doubles keep their order
+    splits = sorted({-math.inf, *map(float, ends), math.inf})
+    known = F.coalesce(F.col("doc_id").cast("double"), F.lit(-math.inf))
+    placed = Bucketizer(splits=splits, inputCol="_id", outputCol="_chunk").transform(docs.select("doc_id", "text", known.alias("_id"))) if len(splits) > 2 else docs.withColumn("_chunk", F.lit(0))
+    return placed.select(F.col("_chunk").cast("long").alias("chunk"), "doc_id", "text"), size or 0

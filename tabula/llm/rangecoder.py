@@ -57,6 +57,10 @@ class Prior:
         out.bits, out.ids, out.share = (16 if len(ids) <= 1 << 15 else 20), ids, share.astype(_I)
         return out
 
+    def kind(self) -> type:
+        """The smallest type that holds a place in ``ids``."""
+        return np.uint16 if len(self.ids) <= 1 << 16 else np.int32
+
     def tables(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Share and cumulative share by place in ``ids``, and the place of every slot."""
         return self.share, np.concatenate([[0], np.cumsum(self.share)[:-1]]).astype(_I), np.repeat(np.arange(len(self.ids)), self.share)
@@ -99,12 +103,13 @@ def _columns(symbols: np.ndarray, block: int) -> np.ndarray:
     return np.ascontiguousarray(whole.reshape(lanes, block).T)
 
 
-def _guesses(steps: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def _guesses(steps: np.ndarray, kind: type) -> tuple[np.ndarray, np.ndarray]:
     """What orders 1 and 2 guess at every step of every block."""
     rows, lanes = steps.shape
     base = np.arange(lanes, dtype=_I) << CONTEXT_BITS
-    tables = np.zeros((2, lanes << CONTEXT_BITS), np.int32)
-    out = np.empty((2, rows, lanes), np.int32)
+    # small tables: every step looks up and writes one entry a block, and caches hold them
+    tables = np.zeros((2, lanes << CONTEXT_BITS), kind)
+    out = np.empty((2, rows, lanes), kind)
     before = last = np.zeros(lanes, _I)
     slot1, slot2 = base, base
     for step in range(rows):
@@ -123,7 +128,7 @@ def encode_blocks(symbols: np.ndarray, prior: Prior, block: int) -> list[bytes]:
     steps = _columns(symbols, block)
     lanes, tail = steps.shape[1], len(symbols) - (steps.shape[1] - 1) * block
     share, below, _ = prior.tables()
-    all1, all2 = _guesses(steps)
+    all1, all2 = _guesses(steps, prior.kind())
     weights = _Weights(lanes, prior)
     low, span = np.zeros(lanes, _I), np.full(lanes, (1 << 48) - 1, _I)
     width = block * 2 + 8
@@ -180,13 +185,12 @@ def encode_blocks(symbols: np.ndarray, prior: Prior, block: int) -> list[bytes]:
     return [row[:n].tobytes() for row, n in zip(words, used.tolist(), strict=True)]
 
 
-def _quotient(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """a // b for 0 <= a < 2**48 and quotients under 2**25, where division of doubles can't round up to an integer."""
-    return (a / b).astype(_I)
-
-
 def decode_blocks(parts: list[bytes], counts: list[int], prior: Prior) -> np.ndarray:
-    """Symbols of the blocks, end to end.  All blocks but the last have equal counts."""
+    """Symbols of the blocks, end to end.  All blocks but the last have equal counts.
+
+    Quotients are taken in doubles: numerators stay under 2**48 and quotients
+    under 2**25, so rounding can't lift one to the next integer.
+    """
     if not parts:
         return np.zeros(0, _I)
     share, below, place = prior.tables()
@@ -202,10 +206,10 @@ def decode_blocks(parts: list[bytes], counts: list[int], prior: Prior) -> np.nda
     span = np.full(lanes, (1 << 48) - 1, _I)
     weights = _Weights(lanes, prior)
     base = np.arange(lanes, dtype=_I) << CONTEXT_BITS
-    tables = np.zeros((2, lanes << CONTEXT_BITS), np.int32)
+    one_of, two_of = np.zeros((2, lanes << CONTEXT_BITS), prior.kind())
     before = last = np.zeros(lanes, _I)
     slot1, slot2 = base, base
-    out = np.zeros((block, lanes), np.int32)
+    out = np.zeros((block, lanes), prior.kind())
     hits = np.zeros((2, TURN, lanes), bool)
     most, end = _I((1 << MIX_BITS) - 1), len(place) - 1
     for turn in range(0, block, TURN):
@@ -217,18 +221,22 @@ def decode_blocks(parts: list[bytes], counts: list[int], prior: Prior) -> np.nda
                 hits, code, span, at, base, before, last, slot1, slot2 = (m[..., :lanes] for m in (hits, code, span, at, base, before, last, slot1, slot2))
             if not lanes:
                 break
-            w0, w1, w2 = weights.w0, weights.w1, weights.w2
-            one, two = tables[0][slot1], tables[1][slot2]
+            if step == turn or step == tail:
+                w0, w1, w2, w0_float = weights.w0, weights.w1, weights.w2, weights.w0.astype(float)
+            one, two = one_of[slot1].astype(_I), two_of[slot2].astype(_I)
             scale = span >> MIX_BITS
-            target = np.minimum(_quotient(code, scale), most)
-            same = one == two
-            from1 = w0 * below[one] + w2 * (two < one)
-            from2 = w0 * below[two] + w1 * (one < two)
-            past1 = target >= from1 + w0 * share[one] + w1 + w2 * same
-            past2 = target >= from2 + w0 * share[two] + w2 + w1 * same
+            target = np.minimum((code / scale).astype(_I), most)
+            from1, from2 = w0 * below[one] + w2 * (two < one), w0 * below[two] + w1 * (one < two)
+            both = (one == two) * (w1 + w2)
+            past1 = target - from1 - w0 * share[one] - np.maximum(w1, both)
+            past2 = target - from2 - w0 * share[two] - np.maximum(w2, both)
             # outside the guesses' own stretches, the ids' shares are all that is left
-            x = place[np.minimum(_quotient(target - w1 * past1 - w2 * past2, w0), end)]
-            x = np.where((target >= from1) & ~past1, one, np.where((target >= from2) & ~past2, two, x))
+            rest = target - w1 * (past1 >= 0) - w2 * (past2 >= 0)
+            x = place[np.minimum((rest / w0_float).astype(_I), end)]
+            # a target inside a guess's own stretch is that guess
+            for guess, start, past in ((two, from2, past2), (one, from1, past1)):
+                inside = np.flatnonzero((target >= start) & (past < 0))
+                x[inside] = guess[inside]
             out[step, :lanes] = x
             hit1, hit2 = one == x, two == x
             hits[0, step - turn], hits[1, step - turn] = hit1, hit2
@@ -244,8 +252,8 @@ def decode_blocks(parts: list[bytes], counts: list[int], prior: Prior) -> np.nda
                 code[few] = code[few] << 16 | words[at[few]]
                 at[few] += 1
                 span[few] <<= 16
-            tables[0][slot1] = x
-            tables[1][slot2] = x
+            one_of[slot1] = x
+            two_of[slot2] = x
             before, last = last, x
             slot1, slot2 = _slots(last, before, base)
         if not lanes:

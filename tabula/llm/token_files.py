@@ -28,7 +28,7 @@ from . import rangecoder
 from .common import chunked, slices
 from .tokens import default_vocabulary, tokenizer
 
-FILE_BYTES = 12 << 20
+FILE_BYTES = 16 << 20
 
 
 def tokenized(placed: DataFrame, vocabulary: str, end_id: int) -> DataFrame:

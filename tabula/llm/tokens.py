@@ -8,6 +8,8 @@ the tokenizer library; results are those of encoding the whole text.
 
 from __future__ import annotations
 
+import struct
+
 import numpy as np
 
 _LOADED: dict[str, "ChunkTokenizer"] = {}
@@ -34,21 +36,24 @@ class _Chunks(dict):
 
     def __init__(self, tokenizer, dtype):
         super().__init__()
-        self.tokenizer, self.dtype, self.model = tokenizer, dtype, tokenizer.model
+        self.tokenizer, self.model, self.letter = tokenizer, tokenizer.model, dtype.char
         self.lowered = type(tokenizer.normalizer).__name__ == "Sequence" and tokenizer.normalizer.normalize_str("AÉß") == "aéß"
 
+    def packed(self, *ids: int) -> bytes:
+        return struct.pack(f"<{len(ids)}{self.letter}", *ids)
+
     def __missing__(self, chunk: bytes) -> bytes:
         # a stop or comma after an ASCII letter is always a piece of its own
         if chunk[-1:] in (b".", b",") and chunk[-2:-1].isalpha():
             ids = self[chunk[:-1]] + self[chunk[-1:]]
         else:
             text = chunk.decode("utf-8", "replace")
-            if self.lowered and text.isalpha() and _plain(text):
+            if self.lowered and text.isalpha() and max(text) < "\u0100":
                 # letters are one piece: the merges alone, on the bytes' signs
                 found = [t.id for t in self.model.tokenize(text.lower().encode().decode("latin-1").translate(_SIGNS))]
             else:
                 found = self.tokenizer.encode(text, add_special_tokens=False).ids
-            ids = np.array(found, self.dtype).tobytes()
+            ids = self.packed(*found)
         self[chunk] = ids
         return ids
 
