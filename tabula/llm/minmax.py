@@ -228,11 +228,13 @@ def near_duplicates(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame
     far = far.unionAll(first.filter("a = b").select(F.col("b").alias("doc_id"), F.col("a").alias("hub"), F.lit(0).alias("far")))
     far = far.groupBy("doc_id").agg(F.min("hub").alias("hub"), F.max("far").alias("far"), F.count(F.lit(1)).alias("rows"))
     hub, away = F.when(F.col("rows") == 1, F.col("hub")), F.when(F.col("rows") == 1, F.col("far"))
-    placing = facts.join(far, "doc_id", "left").select("doc_id", F.struct("x.*", hub.alias("hub"), away.alias("far")).alias("x"))
+    placing = facts.join(reps.select("doc_id", "bands"), "doc_id").join(far, "doc_id", "left").select("doc_id", F.struct("x.*", "bands", hub.alias("hub"), away.alias("far")).alias("x"))
     rest = write_scratch(placed.join(mixed, "key", "left_semi").join(placing, "doc_id").select("key", "doc_id", "component", "x"), "minmax-mixed")
     left, right = rest.alias("l"), rest.alias("r")
     cross = (left.join(right, (F.col("l.key") == F.col("r.key")) & (F.col("l.component") < F.col("r.component"))
-                       & _hopeful(F.col("l.x"), F.col("r.x"), percent) & F.coalesce(_same_hub(F.col("l.x"), F.col("r.x"), percent), F.lit(True)))
+                       & _hopeful(F.col("l.x"), F.col("r.x"), percent) & F.coalesce(_same_hub(F.col("l.x"), F.col("r.x"), percent), F.lit(True))
+                       # a pair comes out of the first bucket it shares only
+                       & (F.get(F.array_intersect("l.x.bands", "r.x.bands"), F.lit(0)) == F.col("l.key")))
              .select(F.col("l.doc_id").alias("a"), F.col("r.doc_id").alias("b")).distinct())
     more = write_scratch(_shared(cross, sets).filter(_linked(percent)).select("a", "b"), "minmax-more")
     found = components(links.unionAll(more)) if more.take(1) else found
