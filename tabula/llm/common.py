@@ -68,6 +68,20 @@ def unit_hash(*cols: str | Column, seed: int = 0) -> Column:
     return F.xxhash64(F.lit(seed), *[F.col(c) if isinstance(c, str) else c for c in cols])
 
 
+def drawn(df: DataFrame, wanted: int, *keys: str) -> DataFrame:
+    """About ``wanted`` rows of ``df`` (all, if it has no more), by a hash of ``keys``.
+
+    A filter by a share of the hash space: the same rows on any layout, no
+    sort, and no task or driver that gathers candidates.  Rows whose first key
+    is NULL are left out, as they would be drawn together.
+    """
+    known = df.filter(F.col(keys[0]).isNotNull())
+    rows = known.count()
+    if rows <= wanted:
+        return known
+    return known.filter(F.pmod(unit_hash(*keys), F.lit(1 << 30)) < F.lit(int(wanted / rows * (1 << 30))))
+
+
 def slices(batch: pa.RecordBatch, column: str, limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """Cut a batch into runs of rows with about ``limit`` bytes of ``column`` each."""
     n = batch.num_rows

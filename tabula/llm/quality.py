@@ -8,8 +8,8 @@ text's features are its mean word vector and the mean product of neighbouring
 ones; a two-layer numpy network turns them into a logit, which a temperature
 fitted on rows kept from training makes a calibrated chance.
 
-Vectors and network are fitted on at most ``max_docs`` labelled rows, the
-first by hash of their id.  Every document is scored over its whole text.
+Vectors and network are fitted on about ``max_docs`` labelled rows, drawn by
+hash of their id.  Every document is scored over its whole text.
 
 Defined results: null and empty texts have zero features, and the score that
 the network gives those; equal texts get equal scores; labelled rows without
@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType, FloatType, StructField, StructType
 
-from .common import U64, mix64, slices, text_bytes, unit_hash, write_scratch
+from .common import U64, drawn, mix64, slices, text_bytes, write_scratch
 
 UNIT_BITS = 15
 UNITS = 1 << UNIT_BITS
@@ -191,8 +191,8 @@ def _features(rows: DataFrame, vectors: np.ndarray, carry: list[str]) -> DataFra
 def train(docs: DataFrame, labels: DataFrame, max_docs: int = MAX_DOCS) -> Model:
     """Fit on documents (doc_id, text) and labels (doc_id, quality)."""
     known = labels.filter("doc_id is not null and quality is not null").groupBy("doc_id").agg(F.max("quality").alias("quality"))
-    chosen = known.orderBy(unit_hash("doc_id"), "doc_id").limit(max_docs)
-    # at most max_docs rows of two numbers: a proven bound
+    chosen = drawn(known, max_docs, "doc_id")
+    # about max_docs rows of two numbers: the draw bounds the size
     sample = write_scratch(docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("doc_id", "quality", "text").repartition(_TRAIN_TASKS, "doc_id"), "quality-sample")
     vectors = word_vectors(sample)
     rows = _features(sample, vectors, ["doc_id", "quality"]).orderBy("doc_id").collect()

@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, LongType, StructField, StructType
 
-from .common import slices, unit_hash, word_spans, write_scratch
+from .common import drawn, slices, word_spans, write_scratch
 from .substring import window_hashes
 
 MIN_WORDS = 20
@@ -185,9 +185,9 @@ def _failed_base():
 
 
 def fit(counted: DataFrame, sample_rows: int = SAMPLE_ROWS) -> Forest | None:
-    """Grow the forest on the first ``sample_rows`` rows by hash that pass the base rules; None without any."""
+    """Grow the forest on about ``sample_rows`` rows, by hash, that pass the base rules; None without any."""
     passed = counted.filter(~_failed_base())
-    rows = passed.orderBy(unit_hash("doc_id"), *COUNTS).limit(sample_rows).select(*COUNTS, *MORE).collect()
+    rows = sorted(drawn(passed, sample_rows, "doc_id", *COUNTS).select(*COUNTS, *MORE).collect())
     return grow(features(np.array(rows, np.int64))) if rows else None
 
 

@@ -19,7 +19,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import unit_hash
+from .common import drawn
 
 #: Names that announce a value, and the patterns of the three kinds.
 NAMES = ["password", "passwd", "secret", "token"]
@@ -70,8 +70,8 @@ def labelled_samples(docs: DataFrame, max_docs: int = SAMPLE_DOCS, strings: int
     """(text, is_random) training samples.
 
     Random: digests in hexadecimal, base64 and upper-case letters and digits.
-    Ordinary: words of at most ``max_docs`` documents (those first by hash of
-    their id), alone and joined as identifiers are.
+    Ordinary: words of about ``max_docs`` documents, drawn by hash of their id,
+    alone and joined as identifiers are.
     """
     spark = docs.sparkSession
     digest = F.sha2(F.concat(F.lit("sample-"), F.col("id").cast("string")), 256)
@@ -79,11 +79,9 @@ def labelled_samples(docs: DataFrame, max_docs: int = SAMPLE_DOCS, strings: int
     random_ = spark.range(strings).select(F.explode(F.array(
         F.substring(digest, 1, 40), F.regexp_replace(code, "=", ""),
         F.regexp_replace(F.upper(code), "[^A-Z0-9]", ""))).alias("text"), F.lit(True).alias("is_random"))
-    # by id alone first, so that no text goes through the one task that ends a top-n
-    chosen = docs.select("doc_id").orderBy(unit_hash("doc_id"), "doc_id").limit(max_docs).distinct()
     words = F.regexp_extract_all(F.col("text"), F.lit(r"[A-Za-z]{3,}"), F.lit(0))
     joined = F.zip_with(words, F.slice(words, 2, F.greatest(F.size(words) - 1, F.lit(0))), lambda a, b: F.concat_ws("_", a, b))
-    ordinary = docs.join(F.broadcast(chosen), "doc_id", "left_semi").select(F.explode(F.concat(words, F.filter(joined, lambda x: x.isNotNull()))).alias("text"), F.lit(False).alias("is_random"))
+    ordinary = drawn(docs, max_docs, "doc_id").select(F.explode(F.concat(words, F.filter(joined, lambda x: x.isNotNull()))).alias("text"), F.lit(False).alias("is_random"))
     return random_.unionAll(ordinary)
 
 
