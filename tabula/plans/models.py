@@ -47,16 +47,6 @@ WORKLOAD_GRIDS = {
                "numTrees": [10, 30, 100]},
 }
 
-# Stated reductions of the tree and forest searches (76, 46 and 226 fits of depth up to 30 and
-# up to 100 trees) and of the SVM's 1000 iterations: what one machine finishes in about a
-# minute.  The linear and logistic searches run whole.
-REDUCED_GRIDS = {
-    "rf_reg": {"maxDepth": [3, 5], "numTrees": [5, 10]},
-    "tree": {"maxDepth": [2, 5], "maxBins": [32, 64]},
-    "rf_cls": {"maxDepth": [3, 5], "numTrees": [5, 10]},
-    "svc": {"regParam": [0.1, 0.01]},
-}
-
 
 def nominal_bins(df: DataFrame, roles: Roles) -> int:
     """Smallest ``maxBins`` a tree accepts for the roles' categories: the largest number of

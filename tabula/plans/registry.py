@@ -1125,8 +1125,7 @@ def l2cv(spark, sf_dir):
 
 @query("l2_rf_regressor_demand")
 def l2(spark, sf_dir):
-    # a stated reduction: the job's own default is the workload's 100 trees of depth 20
-    return jobs.demand_regression(spark, sf_dir, trees=10, depth=5)
+    return jobs.demand_regression(spark, sf_dir)
 
 
 # Closed forms of the estimators: settings under which SQL gives the same model.
