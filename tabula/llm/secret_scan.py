@@ -4,8 +4,13 @@ Three patterns find assignments, access keys and long hexadecimal runs.  Two
 first-order character models, one of random strings and one of ordinary
 identifiers, add what the patterns miss: a long run of key characters with
 both letters and digits is a secret if its log-likelihood ratio per
-transition exceeds a margin.  Both models are trained in Spark from labelled
-samples; a model is a table over the alphabet, so its size is fixed.
+transition exceeds a margin.  The ordinary model counts the transitions of
+every run of key characters that no pattern covers, in all documents, and of
+identifiers made of their words with digits and separators; the random one
+those of digests.  Chances are smoothed by a share of the count, so the ratio
+does not drift with the number of documents.  A fifth of the distinct
+identifiers and digests is kept aside and places the margin.  A model is a
+table over the alphabet, so its size is fixed.
 
 Defined results: null and empty texts have no spans; equal rows get equal
 results; spans count code points, end exclusive; an empty table gives no
@@ -19,7 +24,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import drawn
+from .common import unit_hash, write_scratch
 
 #: Names that announce a value, and the patterns of the three kinds.
 NAMES = ["password", "passwd", "secret", "token"]
@@ -35,14 +40,20 @@ ASSIGN = ("(" + "|".join([*map(_either_case, NAMES), _either_case("api") + "_?"
 ACCESS = r"AKIA[A-Z0-9]{16,}"
 HEX = r"(?<![0-9a-f])[0-9a-f]{24,}"
 KEYLIKE = r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{20,}"
+#: All that the three patterns take; an assigned value under six characters is no secret.
+COVERED = f"{ASSIGN[:-2]}{{6,}})|{ACCESS}|{HEX}"
+RUN = r"[A-Za-z0-9+/_-]{2,}"
 KINDS = ["assign", "access", "hex", "markov"]
 
 ALPHABET = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789+/_-"
 _SIDE = len(ALPHABET) + 1  # place 0: any other character
 
-SAMPLE_DOCS = 2000
 RANDOM_STRINGS = 1500
 MARGIN = 0.4
+#: Share of a row's chances that all transitions have alike, and the least count for it.
+FLOOR = 0.02
+ASIDE = 5
+_BUCKETS = 50
 
 
 def _found(text: Column, pattern: str, kind: str) -> Column:
@@ -66,45 +77,101 @@ def _found(text: Column, pattern: str, kind: str) -> Column:
     return F.when(text.rlike(pattern), walked).otherwise(empty)
 
 
-def labelled_samples(docs: DataFrame, max_docs: int = SAMPLE_DOCS, strings: int = RANDOM_STRINGS) -> DataFrame:
-    """(text, is_random) training samples.
+def ordinary_runs(docs: DataFrame) -> DataFrame:
+    """(text, n): the distinct runs of key characters in all documents that no pattern covers, and how often each is there."""
+    runs = F.regexp_extract_all(F.regexp_replace("text", COVERED, " "), F.lit(RUN), F.lit(0))
+    return docs.select(F.explode(runs).alias("text")).groupBy("text").agg(F.count(F.lit(1)).alias("n"))
+
+
+def _made(word: Column) -> Column:
+    """An identifier as names, versions, dates and paths are made of a word; the word's hash picks the form and the digits."""
+    digits = F.lpad(F.pmod(unit_hash(word, seed=2), F.lit(10 ** 12)).cast("string"), 12, "0")
+
+    def some(at: int, n: int) -> Column:
+        return F.substring(digits, at, n)
+
+    low, high = F.lower(word), F.upper(word)
+    forms = [F.concat(low, some(1, 1), F.lit("_"), low, some(2, 1), F.lit("_"), low),
+             F.concat(low, F.lit("_v"), some(1, 1), F.lit("_"), low, F.lit("_20"), some(2, 2)),
+             F.concat(high, F.lit("_20"), some(1, 6), F.lit("_"), some(7, 6), F.lit("_"), high),
+             F.concat(low, F.lit("-20"), some(1, 2), F.lit("-"), some(3, 2), F.lit("-"), some(5, 2), F.lit("-"), low),
+             F.concat(F.lit("/"), low, F.lit("/20"), some(1, 2), F.lit("/"), low, F.lit("-"), some(3, 2)),
+             F.concat(low, F.initcap(low), some(1, 2), F.initcap(low))]
+    return F.element_at(F.array(*forms), (F.pmod(unit_hash(word, seed=3), F.lit(len(forms))) + 1).cast("int"))
+
+
+def labelled_samples(docs: DataFrame, strings: int = RANDOM_STRINGS) -> DataFrame:
+    """(text, n, is_random, aside) training samples.
 
     Random: digests in hexadecimal, base64 and upper-case letters and digits.
-    Ordinary: words of about ``max_docs`` documents, drawn by hash of their id,
-    alone and joined as identifiers are.
+    Ordinary: the runs of all documents, and for each that is a word an
+    identifier made of it.  ``aside`` marks a fifth of the distinct strings with
+    letters and digits.
     """
     spark = docs.sparkSession
     digest = F.sha2(F.concat(F.lit("sample-"), F.col("id").cast("string")), 256)
     code = F.base64(F.unhex(digest))
     random_ = spark.range(strings).select(F.explode(F.array(
         F.substring(digest, 1, 40), F.regexp_replace(code, "=", ""),
-        F.regexp_replace(F.upper(code), "[^A-Z0-9]", ""))).alias("text"), F.lit(True).alias("is_random"))
-    words = F.regexp_extract_all(F.col("text"), F.lit(r"[A-Za-z]{3,}"), F.lit(0))
-    joined = F.zip_with(words, F.slice(words, 2, F.greatest(F.size(words) - 1, F.lit(0))), lambda a, b: F.concat_ws("_", a, b))
-    ordinary = drawn(docs, max_docs, "doc_id").select(F.explode(F.concat(words, F.filter(joined, lambda x: x.isNotNull()))).alias("text"), F.lit(False).alias("is_random"))
-    return random_.unionAll(ordinary)
+        F.regexp_replace(F.upper(code), "[^A-Z0-9]", ""))).alias("text"), F.lit(1).cast("long").alias("n"), F.lit(True).alias("is_random"))
+    runs = ordinary_runs(docs)
+    made = F.when(F.col("text").rlike("^[A-Za-z]{3,}$"), F.array("text", _made(F.col("text")))).otherwise(F.array("text"))
+    ordinary = runs.select(F.explode(made).alias("text"), "n", F.lit(False).alias("is_random"))
+    mixed = F.col("text").rlike("[0-9]") & F.col("text").rlike("[A-Za-z]")
+    return random_.unionAll(ordinary).withColumn("aside", mixed & (F.pmod(unit_hash("text", seed=1), F.lit(ASIDE)) == 0))
+
+
+def _log_ratio(counts: dict[bool, list[float]], smoothing: float) -> list[float]:
+    out = []
+    for a in range(_SIDE):
+        chances = []
+        for kind in (True, False):
+            row = counts[kind][a * _SIDE: (a + 1) * _SIDE]
+            spread = max(smoothing * _SIDE, FLOOR * sum(row))
+            chances.append([(x + spread / _SIDE) / (sum(row) + spread) for x in row])
+        out += [math.log(x) - math.log(y) for x, y in zip(*chances, strict=True)]
+    return out
 
 
 def train(samples: DataFrame, smoothing: float = 1.0) -> list[float] | None:
     """Log ratio of the two models' transition chances, row by row; None without samples of either label.
 
-    Only the counts of the alphabet's transitions, a fixed number, reach the driver.
+    Only the counts of the alphabet's transitions and a histogram, fixed numbers, reach the driver.
     """
-    chars = F.split(F.col("text"), "")
-    places = F.transform(chars, lambda c: F.instr(F.lit(ALPHABET), c))
-    steps = F.zip_with(F.slice(places, 1, F.greatest(F.size(places) - 1, F.lit(0))), F.slice(places, 2, F.greatest(F.size(places) - 1, F.lit(0))), lambda a, b: a * _SIDE + b)
-    counted = (samples.filter(F.length("text") > 1).select("is_random", F.explode(steps).alias("step"))
-               .groupBy("is_random", "step").count().collect())
-    tables = {True: [smoothing] * _SIDE ** 2, False: [smoothing] * _SIDE ** 2}
-    for row in counted:
-        tables[row["is_random"]][row["step"]] += row["count"]
+    places = F.transform(F.split(F.col("text"), ""), lambda c: F.instr(F.lit(ALPHABET), c))
+    placed = samples.filter(F.length("text") > 1).select("is_random", "aside", "n", places.alias("places"))
+    after = F.slice("places", 2, F.size("places") - 1)
+    # the last place has no follower, so its pair is null
+    steps = F.zip_with("places", after, lambda a, b: a * _SIDE + b)
+    counted = (placed.select("is_random", "aside", "n", F.explode(steps).alias("step")).filter("step is not null")
+               .groupBy("is_random", "aside", "step").agg(F.sum("n").alias("n")).collect())
     if len({row["is_random"] for row in counted}) < 2:
         return None
-    out = []
-    for a in range(_SIDE):
-        rows = [tables[kind][a * _SIDE: (a + 1) * _SIDE] for kind in (True, False)]
-        out += [math.log(x / sum(rows[0])) - math.log(y / sum(rows[1])) for x, y in zip(*rows, strict=True)]
-    return out
+    kept, whole = ({kind: [0.0] * _SIDE ** 2 for kind in (True, False)} for _ in range(2))
+    for row in counted:
+        whole[row["is_random"]][row["step"]] += row["n"]
+        if not row["aside"]:
+            kept[row["is_random"]][row["step"]] += row["n"]
+    lift = MARGIN - calibrated(samples, _log_ratio(kept, smoothing))
+    return [x + lift for x in _log_ratio(whole, smoothing)]
+
+
+def calibrated(samples: DataFrame, model: list[float]) -> float:
+    """The ratio that best parts the ordinary and the random strings kept aside: least sum of both
+    shares on the wrong side, the middle of equals; the fixed margin without strings of either.
+
+    Secrets among the ordinary ones are a share that no ratio under theirs changes.
+    """
+    bucket = F.floor(ratio(F.col("text"), model) * _BUCKETS).cast("int").alias("bucket")
+    judged = samples.filter(F.col("aside") & (F.length("text") >= 20))
+    found = judged.select("is_random", bucket).groupBy("is_random", "bucket").count().collect()
+    total = {kind: sum(r["count"] for r in found if r["is_random"] == kind) for kind in (True, False)}
+    if not all(total.values()):
+        return MARGIN
+    low, high = min(r["bucket"] for r in found), max(r["bucket"] for r in found)
+    wrong = {at: sum(r["count"] / total[r["is_random"]] for r in found if (r["bucket"] < at) == r["is_random"]) for at in range(low, high + 2)}
+    least = [at for at, x in wrong.items() if x <= min(wrong.values()) + 1e-9]
+    return (least[0] + least[-1]) / 2 / _BUCKETS
 
 
 def ratio(string: Column, model: list[float]) -> Column:
@@ -152,7 +219,7 @@ def redact(text: Column, spans: Column, mark: str = "[SECRET]") -> Column:
 
 
 def model_for(docs: DataFrame) -> list[float] | None:
-    return train(labelled_samples(docs))
+    return train(write_scratch(labelled_samples(docs), "secret-samples"))
 
 
 def report(docs: DataFrame, model: list[float] | None) -> DataFrame:
