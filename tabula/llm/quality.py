@@ -1,15 +1,15 @@
 """Quality classifier: random-indexing word vectors, pooled, into a two-layer network.
 
 Words are cut into runs of letters, digits and marks; a run's *unit* is its
-spelling, or the ending of a long one, hashed into a fixed number of places.
-Random indexing gives every unit a sparse random index vector and sums, over
-the training texts, the index vectors of its neighbours: its word vector.  A
+whole spelling, hashed into a fixed number of places.  Random indexing gives
+every unit a sparse random index vector and sums, over all documents, the
+index vectors of its neighbours: its word vector, which needs no labels.  A
 text's features are its mean word vector and the mean product of neighbouring
 ones; a two-layer numpy network turns them into a logit, which a temperature
 fitted on rows kept from training makes a calibrated chance.
 
-Vectors and network are fitted on about ``max_docs`` labelled rows, drawn by
-hash of their id.  Every document is scored over its whole text.
+The network is fitted on about ``max_docs`` labelled rows, drawn by hash of
+their id.  Every document is scored over its whole text.
 
 Defined results: null and empty texts have zero features, and the score that
 the network gives those; equal texts get equal scores; labelled rows without
@@ -28,9 +28,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType, FloatType, StructField, StructType
 
-from .common import U64, drawn, mix64, slices, text_bytes, write_scratch
+from .common import U64, drawn, mix64, powers, slices, text_bytes, write_scratch
 
-UNIT_BITS = 15
+UNIT_BITS = 16
 UNITS = 1 << UNIT_BITS
 WIDTH = 32
 NONZERO = 4
@@ -38,7 +38,8 @@ WINDOW = 2
 MAX_DOCS = 6000
 HIDDEN = 32
 EPOCHS = 200
-_BLOCK = 1024
+_BLOCK = 256
+_BASE = 0x9E3779B97F4A7C15
 _TRAIN_TASKS = 8
 
 _KIND = np.zeros(256, np.uint8)  # 0 blank, 1 letter, 2 digit, 3 mark
@@ -61,12 +62,9 @@ def units(text: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     start, end = at[:-1], at[1:]
     real = kind[start] > 0
     start, end = start[real], end[real]
-    length, sort = end - start, kind[start]
-    key = np.minimum(length, 5).astype(U64) << U64(32) | sort.astype(U64) << U64(36)
-    spelled = np.where(length > 4, 3, length)
-    for back in range(4):
-        use = (spelled > back) & (sort != 2)
-        key |= np.where(use, data[np.maximum(end - 1 - back, 0)], 0).astype(U64) << U64(8 * back)
+    place = np.arange(len(data)) - np.repeat(at[:-1], np.diff(at))
+    with np.errstate(over="ignore"):
+        key = np.add.reduceat((data.astype(U64) + U64(1)) * powers(_BASE, int(place.max()) + 1)[place], at[:-1])[real]
     return (mix64(key) >> U64(64 - UNIT_BITS)).astype(np.int64), np.searchsorted(start, docs)
 
 
@@ -80,7 +78,7 @@ def word_vectors(texts: DataFrame, seed: int = 42) -> np.ndarray:
     """(UNITS, WIDTH) unit-length vectors; the table has a fixed size whatever the texts."""
     def index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         places, signs = _index_vectors(seed)
-        total = np.zeros(UNITS * WIDTH)
+        total = np.zeros(UNITS * WIDTH, np.int64)
         for batch in batches:
             for part in slices(batch, "text"):
                 found, first = units(part.column("text"))
@@ -89,17 +87,20 @@ def word_vectors(texts: DataFrame, seed: int = 42) -> np.ndarray:
                     same = owner[apart:] == owner[:-apart]
                     one, other = found[:-apart][same], found[apart:][same]
                     for word, near in ((one, other), (other, one)):
-                        for k in range(NONZERO):
-                            total += np.bincount(word * WIDTH + places[near, k], signs[near, k], UNITS * WIDTH)
-        blocks = total.reshape(UNITS // _BLOCK, -1)
-        used = np.flatnonzero(blocks.any(1))
-        yield pa.RecordBatch.from_arrays([pa.array(used.astype(np.int32)), pa.array([blocks[b].tobytes() for b in used], pa.binary())], ["block", "sums"])
+                        at = (word * WIDTH)[:, None] + places[near]
+                        total += np.bincount(at.ravel(), signs[near].ravel(), UNITS * WIDTH).astype(np.int64)
+        blocks = total.reshape(UNITS // _BLOCK, _BLOCK, WIDTH)
+        for b in np.flatnonzero(blocks.any((1, 2))):  # only the units that this task has
+            used = np.flatnonzero(blocks[b].any(1))
+            yield pa.RecordBatch.from_arrays([pa.array([b], pa.int32()), pa.array([used.astype(np.int32).tobytes()], pa.binary()), pa.array([blocks[b][used].astype(np.int32).tobytes()], pa.binary())], ["block", "used", "sums"])
 
     def add(rows: pa.Table) -> pa.Table:
-        whole = sum(np.frombuffer(x) for x in rows.column("sums").to_pylist())
+        whole = np.zeros((_BLOCK, WIDTH))
+        for used, sums in zip(rows.column("used"), rows.column("sums"), strict=True):
+            whole[np.frombuffer(used.as_py(), np.int32)] += np.frombuffer(sums.as_py(), np.int32).reshape(-1, WIDTH)
         return pa.table({"block": rows.column("block").combine_chunks()[:1], "sums": pa.array([whole.tobytes()], pa.binary())})
 
-    summed = texts.select("text").mapInArrow(index, "block int, sums binary").groupBy("block").applyInArrow(add, "block int, sums binary")
+    summed = texts.select("text").mapInArrow(index, "block int, used binary, sums binary").groupBy("block").applyInArrow(add, "block int, sums binary")
     out = np.zeros((UNITS // _BLOCK, _BLOCK * WIDTH))
     for row in summed.collect():
         out[row["block"]] = np.frombuffer(row["sums"])
@@ -194,7 +195,7 @@ def train(docs: DataFrame, labels: DataFrame, max_docs: int = MAX_DOCS) -> Model
     chosen = drawn(known, max_docs, "doc_id")
     # about max_docs rows of two numbers: the draw bounds the size
     sample = write_scratch(docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("doc_id", "quality", "text").repartition(_TRAIN_TASKS, "doc_id"), "quality-sample")
-    vectors = word_vectors(sample)
+    vectors = word_vectors(docs)
     rows = _features(sample, vectors, ["doc_id", "quality"]).orderBy("doc_id").collect()
     y = np.array([float(r["quality"]) for r in rows])
     if not len(y) or y.min() == y.max():
