@@ -1218,7 +1218,7 @@ FROM orders WHERE {hsql('o_orderkey', 42)} >= {threshold(0.8)}""")
 def l9(spark, sf_dir):
     df = standins.churn_orders_frame(spark, sf_dir)
     train, test = sampling.hash_split(df, "o_orderkey", [0.8, 0.2], seed=42)
-    est = models.estimator("logistic", maxIter=20)
+    est = models.estimator("logistic")
     model = models.fit(models.build_pipeline(standins.CHURN_ORDERS_ROLES, est, label_source="churn"), train)
     return models.score(model, test).select("o_orderkey", "label", F.col("prediction").isin(0.0, 1.0).alias("scored"))
 
@@ -1254,7 +1254,8 @@ def l11(spark, sf_dir):
     df = sampling.with_folds(standins.churn_orders_frame(spark, sf_dir), "o_orderkey", 3, seed=7)
     est = models.estimator("tree")
     pipe = models.build_pipeline(standins.CHURN_ORDERS_ROLES, est, encode="index", label_source="churn")
-    cv = models.tune(pipe, models.grid(est, {"maxDepth": [2, 4], "maxBins": [16, 32]}),
+    space = models.at_least_bins(models.WORKLOAD_GRIDS["tree"], models.nominal_bins(df, standins.CHURN_ORDERS_ROLES))
+    cv = models.tune(pipe, models.grid(est, space),
                      models.evaluator("tree"), df, folds=3, parallelism=2, fold_col="fold")
     return models.cv_table(cv)
 
@@ -1273,7 +1274,7 @@ def l12(spark, sf_dir):
 def _importances(spark, sf_dir):
     df = cleaning.drop_nulls(standins.bike_frame(spark, sf_dir), [*standins.BIKE_ROLES.numeric, "cnt"])
     train, test = sampling.hash_split(df, "instant", [0.7, 0.3], seed=42)
-    est = models.estimator("rf_reg", label="cnt", numTrees=10, maxDepth=5)
+    est = models.estimator("rf_reg", label="cnt", numTrees=100, maxDepth=20)
     model = models.fit(models.build_pipeline(standins.BIKE_ROLES, est, scale_features=True), train, jobs.LAYOUT, "instant")
     return models.feature_importances(model, model.transform(test))
 
@@ -1302,6 +1303,6 @@ def l14(spark, sf_dir):
         for kind in ("logistic", "svc", "tree"):
             encode = "index" if kind in models.TREE_KINDS else "onehot"
             fitted[kind] = models.fit(models.build_pipeline(standins.CHURN_ORDERS_ROLES, models.estimator(kind), encode=encode, label_source="churn"), held)
-        est = models.estimator("rf_cls", numTrees=5)
+        est = models.estimator("rf_cls")
         fitted["rf_cls"] = models.fit(models.build_pipeline(standins.CHURN_ORDERS_ROLES, est, encode="index", label_source="churn"), held)
     return jobs.leaderboard(fitted, test)

@@ -43,3 +43,24 @@ def test_demand_forest_has_the_workloads_size(spark, monkeypatch):
     with pytest.raises(_Stop):
         registry.QUERIES["l2_rf_regressor_demand"](spark, SF_SMALL)
     assert (seen[0].getNumTrees(), seen[0].getMaxDepth()) == (100, 20)
+
+
+def test_grid_table_importances_and_fits_use_the_workloads_settings(spark, monkeypatch):
+    maps, stages = [], []
+
+    def searched(pipeline, param_maps, *args, **kwargs):
+        maps.extend({p.name: v for p, v in m.items()} for m in param_maps)
+        raise _Stop
+
+    def fitted(pipeline, *args, **kwargs):
+        stages.append(pipeline.getStages()[-1])
+        raise _Stop
+
+    monkeypatch.setattr(models, "tune", searched)
+    monkeypatch.setattr(models, "fit", fitted)
+    for name in ("l10_l12_grid_search_table", "l13_feature_importances", "l7_l9_pipeline_fit_score"):
+        with pytest.raises(_Stop):
+            registry.QUERIES[name](spark, SF_SMALL)
+    assert {m["maxDepth"] for m in maps} == set(models.WORKLOAD_GRIDS["tree"]["maxDepth"]) and 100 in {m["maxBins"] for m in maps}
+    assert (stages[0].getNumTrees(), stages[0].getMaxDepth()) == (100, 20)
+    assert stages[1].getMaxIter() == 100
