@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import embed_join, langid, minmax, mixing, packing, quality, rules, secret_scan, substring, token_files
+from . import embed_join, importance, langid, minmax, mixing, packing, quality, rules, secret_scan, substring, token_counts, token_files, variants
 from ..session import scratch_path
 from .common import table
 
@@ -60,8 +60,71 @@ def op10_swap_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(packing.pieces(table(spark, sf_dir, "documents")))
 
 
+def op11_sorted_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return variants.group(variants.vocabulary(table(spark, sf_dir, "documents")))
+
+
+def op12_sliced_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return importance.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op13_cached_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # a cache of this run's own: nothing an earlier run counted is taken from it
+    return token_counts.count_tokens(table(spark, sf_dir, "documents"), scratch_path(spark, "token-cache"))
+
+
 _ALL = (op1_cube_mixing, op2_markov_secrets, op3_window_dedup, op4_forest_rules, op5_range_coded_tokens,
-        op6_pivot_range_join, op7_minmax_dedup, op8_bitmask_langid, op9_indexing_quality, op10_swap_packing)
+        op6_pivot_range_join, op7_minmax_dedup, op8_bitmask_langid, op9_indexing_quality, op10_swap_packing,
+        op11_sorted_variants, op12_sliced_resampling, op13_cached_counts)
 QUERIES = {f.__name__: f for f in _ALL}
-#: None of the operators' decisions is SQL; tests/llm holds them against brute force, round trips and held-out rows.
-ORACLES: dict[str, str] = {}
+
+#: SQL has no CRC-32: its table of 256 values by the shift rule, then one look-up a byte of ``{text}``.
+_CRC_TABLE = "SELECT list(list_reduce(list_prepend(i, range(8)), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) ORDER BY i) AS crc FROM range(256) AS t(i)"
+_CRC = ("xor(list_reduce(list_prepend(4294967295, list_transform(range(octet_length(encode({text}))),"
+        " lambda i: CAST('0x' || substr(hex(encode({text})), 2 * i + 1, 2) AS BIGINT))),"
+        " lambda c, b: xor(c >> 8, crc[(xor(c, b) & 255) + 1])), 4294967295)")
+_FOLD = "translate({text}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+_VARIANTS = f"""
+WITH RECURSIVE crcs AS MATERIALIZED ({_CRC_TABLE}),
+runs AS (SELECT doc_id, unnest(regexp_extract_all(text, '[A-Za-z\u00C0-\u00FF]+')) AS run FROM documents),
+folded AS (SELECT doc_id, {_FOLD.format(text="run")} AS run, count(*) AS n FROM runs GROUP BY ALL),
+keyed AS (SELECT run, n, coalesce(CAST(doc_id AS VARCHAR), '') || ':' || run AS key FROM folded WHERE length(run) >= 6),
+hashed AS (SELECT run, n, {_CRC.format(text="key")} AS h FROM keyed, crcs),
+slipped AS (SELECT CASE WHEN h % 199 = 0 THEN substr(run, 1, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word, n FROM hashed),
+words AS MATERIALIZED (SELECT word, CAST(sum(n) AS BIGINT) AS n FROM slipped WHERE length(word) >= 6 GROUP BY word HAVING sum(n) >= 5),
+cuts AS (SELECT word, n, length(word) AS size, unnest(range(1, length(word) + 1)) AS place FROM words),
+holes AS MATERIALIZED (SELECT word, n, size, place, substr(word, 1, place - 1) AS front, substr(word, place + 1) AS back FROM cuts),
+replaced AS (SELECT a.word, b.word AS near, b.n AS near_n FROM holes a JOIN holes b ON a.size = b.size AND a.place = b.place AND a.front = b.front AND a.back = b.back AND a.word <> b.word),
+deleted AS (SELECT DISTINCT h.word, h.n, w.word AS shorter, w.n AS shorter_n FROM holes h JOIN words w ON h.front || h.back = w.word),
+pairs AS (SELECT * FROM replaced UNION ALL SELECT word, shorter, shorter_n FROM deleted UNION ALL SELECT shorter, word, n FROM deleted),
+placed AS (SELECT word, near, near_n, count(*) OVER (PARTITION BY word) AS n_near, row_number() OVER (PARTITION BY word ORDER BY near_n DESC, encode(near)) AS place FROM pairs),
+forms AS MATERIALIZED (SELECT w.word, w.n, coalesce(p.n_near, 0) AS n_near, CASE WHEN p.near_n >= 5 * w.n THEN p.near END AS form, CASE WHEN p.near_n >= 5 * w.n THEN p.near_n END AS form_n
+  FROM words w LEFT JOIN placed p ON p.word = w.word AND p.place = 1),
+chains(word, root, step) AS (SELECT word, word, 0 FROM forms UNION ALL SELECT c.word, f.form, c.step + 1 FROM chains c JOIN forms f ON f.word = c.root WHERE f.form IS NOT NULL)
+SELECT f.word, f.form, arg_max(c.root, c.step) AS root, f.n, f.n_near, f.form_n FROM forms f JOIN chains c ON c.word = f.word GROUP BY ALL
+"""
+
+_WORDS = "regexp_extract_all(" + _FOLD.format(text="text") + ", '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+_RESAMPLING = f"""
+WITH crcs AS MATERIALIZED ({_CRC_TABLE}),
+docs AS (SELECT doc_id, row_number() OVER () AS row, text FROM documents),
+seen AS MATERIALIZED (SELECT row, unnest({_WORDS}) AS word FROM docs),
+wanted AS MATERIALIZED (SELECT unnest({_WORDS}) AS word FROM benchmark),
+named AS (SELECT word FROM seen UNION SELECT word FROM wanted),
+buckets AS MATERIALIZED (SELECT word, {_CRC.format(text="word")} % 10000 AS bucket FROM named, crcs),
+corpus AS (SELECT bucket, count(*) AS s FROM seen JOIN buckets USING (word) GROUP BY bucket),
+target AS (SELECT bucket, count(*) AS t FROM wanted JOIN buckets USING (word) GROUP BY bucket),
+sums AS (SELECT (SELECT count(*) FROM seen) AS s_all, (SELECT count(*) FROM wanted) AS t_all),
+gains AS MATERIALIZED (SELECT bucket, CAST(floor(1000 * ln((coalesce(t, 0) + 1.0::DOUBLE) * (s_all + 10000) / ((s + 1.0::DOUBLE) * (t_all + 10000)))) AS BIGINT) AS gain
+  FROM corpus LEFT JOIN target USING (bucket), sums),
+weighed AS (SELECT row, count(*) AS n_features, CAST(floor(sum(gain) / count(*)) AS BIGINT) AS weight FROM seen JOIN buckets USING (word) JOIN gains USING (bucket) GROUP BY row),
+scored AS (SELECT doc_id, row, coalesce(n_features, 0) AS n_features, coalesce(weight, 0) AS weight,
+    coalesce(weight, 0) + CAST(floor(-1000 * ln(-ln((CAST('0x' || substr(sha256('2024:' || coalesce(CAST(doc_id AS VARCHAR), '')), 1, 8) AS BIGINT) + 0.5::DOUBLE) / 4294967296))) AS BIGINT) AS score
+  FROM docs LEFT JOIN weighed USING (row)),
+placed AS (SELECT *, CASE WHEN n_features >= 20 THEN row_number() OVER (PARTITION BY n_features >= 20 ORDER BY score DESC, doc_id NULLS LAST) END AS place FROM scored)
+SELECT doc_id, n_features, weight, score, CASE WHEN place <= (SELECT count(place) * 10 // 100 FROM placed) THEN place END AS rank FROM placed
+"""
+
+#: The other operators' decisions are not SQL; tests/llm holds them against brute force, round trips and held-out rows.
+ORACLES: dict[str, str] = {"op11_sorted_variants": _VARIANTS, "op12_sliced_resampling": _RESAMPLING}

@@ -103,3 +103,68 @@ def links(rows, bound):
                 x, y = sorted((find(parent, a), find(parent, b)))
                 parent[y] = x
     return {v: (count[v], find(parent, v)) for v in parent}
+
+
+def near(a, b):
+    """True if one inserted, deleted or replaced code point makes the words equal."""
+    if a == b or abs(len(a) - len(b)) > 1:
+        return False
+    i = 0
+    while i < min(len(a), len(b)) and a[i] == b[i]:
+        i += 1
+    return a[i + (len(a) >= len(b)):] == b[i + (len(b) >= len(a)):]
+
+
+def variants(counts, ratio):
+    """{word: n} -> {word: (form, root, n, n_near, form_n)}."""
+    close = {w: [x for x in counts if near(w, x)] for w in counts}
+    form = {}
+    for w, found in close.items():
+        best = min(found, key=lambda x: (-counts[x], x), default=None)
+        form[w] = best if best is not None and counts[best] >= ratio * counts[w] else None
+    out = {}
+    for w in counts:
+        root = w
+        while form[root] is not None:
+            root = form[root]
+        out[w] = (form[w], root, counts[w], len(close[w]), counts.get(form[w]))
+    return out
+
+
+def slipped(docs, slip, least_length, least_count):
+    """(doc_id, text) -> {word: n} of the runs of letters, some of which lose a letter."""
+    import zlib
+
+    found = Counter()
+    for doc, text in docs:
+        for run in re.findall("[A-Za-zÀ-ÿ]+", text or ""):
+            run = re.sub("[A-Z]", lambda m: m.group().lower(), run)
+            h = zlib.crc32(f"{'' if doc is None else doc}:{run}".encode())
+            if h % slip == 0:
+                run = run[:h % len(run)] + run[h % len(run) + 1:]
+            found[run] += 1
+    return {w: n for w, n in found.items() if n >= least_count and len(w) >= least_length}
+
+
+def resampled(docs, target, n, buckets, least, percent, seed):
+    """(doc_id, text) rows, target texts -> [(doc_id, n_features, weight, score, rank)] in the order of docs."""
+    import math
+    import zlib
+
+    def grams(text):
+        w = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", re.sub("[A-Z]", lambda m: m.group().lower(), text or ""))
+        return len(w), [zlib.crc32(" ".join(w[i:i + k]).encode()) % buckets for k in range(1, n + 1) for i in range(len(w) - k + 1)]
+
+    rows = [(d, *grams(t)) for d, t in docs]
+    s, t = Counter(b for r in rows for b in r[2]), Counter(b for x in target for b in grams(x)[1])
+    s_all, t_all = sum(s.values()), sum(t.values())
+    gain = [math.floor(1000 * math.log((t[b] + 1) * (s_all + buckets) / ((s[b] + 1) * (t_all + buckets)))) for b in range(buckets)]
+    out = []
+    for doc, words_, found in rows:
+        weight = sum(gain[b] for b in found) // len(found) if found else 0
+        h = int(hashlib.sha256(f"{seed}:{'' if doc is None else doc}".encode()).hexdigest()[:8], 16)
+        out.append([doc, len(found), weight, weight + math.floor(-1000 * math.log(-math.log((h + 0.5) / 4294967296))), None, words_ >= least])
+    order = sorted((r for r in out if r[5]), key=lambda r: (-r[3], r[0] is None, r[0]))
+    for place, r in enumerate(order[:len(order) * percent // 100], 1):
+        r[4] = place
+    return [tuple(r[:5]) for r in out]
