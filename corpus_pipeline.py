@@ -70,14 +70,20 @@ def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Operator 1: each document appears as often as the mix takes it (not at all, once, twice).
 
-    Rows that share id and source are one unit of the mix and appear equally often.
+    Rows that share id and source are one unit of the mix and appear equally
+    often; rows without ``doc_id`` are units of their own, numbered in a
+    written table of theirs, so no key holds them together.
     """
-    units = mixing.sized(docs).groupBy("doc_id", "source").agg(F.sum("size").alias("size"))
+    lone = docs.filter(F.col("doc_id").isNull()).select(F.monotonically_increasing_id().alias("number"), F.struct("*").alias("row"))
+    lone = write_scratch(lone, "pipeline-no-id").select(F.concat(F.lit("n"), "number").alias("unit"), "row")
+    known = docs.filter(F.col("doc_id").isNotNull()).select(F.concat(F.lit("d"), F.col("doc_id").cast("string")).alias("unit"), F.struct("*").alias("row"))
+    rows = known.unionAll(lone).select("unit", F.col("row.source").alias("source"), "row")
+    sizes = mixing.sized(rows.select("unit", "source", F.col("row.text").alias("text")), id_col="unit")
+    units = sizes.groupBy("doc_id", "source").agg(F.sum("size").alias("size"))
     taken = mixing.mix(units).filter("copies > 0").select("doc_id", "source", "copies").alias("t")
-    rows = docs.select("doc_id", "source", F.struct("*").alias("row")).alias("d")
-    same = F.col("d.doc_id").eqNullSafe(F.col("t.doc_id")) & F.col("d.source").eqNullSafe(F.col("t.source"))
+    same = (F.col("r.unit") == F.col("t.doc_id")) & F.col("r.source").eqNullSafe(F.col("t.source"))
     turns = F.sequence(F.lit(1), F.col("copies").cast("int"))
-    return rows.join(taken, same).select("row", F.explode(turns)).select("row.*")
+    return rows.alias("r").join(taken, same).select("row", F.explode(turns)).select("row.*")
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
