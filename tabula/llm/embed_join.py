@@ -232,5 +232,7 @@ def range_join(vectors: DataFrame, cosine: float = 0.98) -> DataFrame:
     classes = (rows.select("vec_id", "label", "embedding", "mult").join(direct, "vec_id", "left")
                .join(reached, F.col("vec_id") == F.col("node"), "left")
                .select("label", "embedding", (F.coalesce("links", F.lit(0)) + F.col("mult") - 1).alias("n_links"), F.coalesce("component", "vec_id").alias("component_id")))
-    out = vectors.join(classes, ["label", "embedding"], "left").select("vec_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), F.coalesce("component_id", "vec_id").alias("component_id"))
+    known = F.col("vec_id").isNotNull()  # a row without id may equal a vector that links
+    links = F.when(known, F.coalesce("n_links", F.lit(0))).otherwise(F.lit(0)).cast("long")
+    out = vectors.join(classes, ["label", "embedding"], "left").select("vec_id", links.alias("n_links"), F.when(known, F.coalesce("component_id", "vec_id")).alias("component_id"))
     return out.withColumn("kept", F.coalesce(F.col("vec_id") == F.col("component_id"), F.lit(True)))

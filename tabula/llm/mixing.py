@@ -9,9 +9,13 @@ any size is spread over tasks; what stays undecided in a block, two documents
 at most, flies again with the leftovers of other blocks, and the last dozen
 of a source are *landed* on the choice nearest to its target.
 
+Ids never leave Arrow, so they come back as they were, nulls beside them or not.
+
 Defined results: a null text has size 0; a null source is a source of its own
 and comes last; sources without words get target 0; null ``doc_id`` values
-and repeated rows are documents of their own; an empty table gives no rows.
+and repeated rows are documents of their own (rows without id are dealt into
+blocks by their places in the written unit table); an empty table gives no
+rows.
 """
 
 from __future__ import annotations
@@ -21,8 +25,8 @@ import zlib
 from collections.abc import Iterator, Sequence
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -132,7 +136,9 @@ def mix(units: DataFrame, weights: Sequence[float] = (3, 1, 2), share: float = 1
     ``target``, ``copies`` and ``taken`` = size * copies.  The draw depends on
     seed and rows only, so reruns agree.
     """
-    units = write_scratch(units.select("doc_id", "source", "size"), "mix-units")
+    block = max(block, 12)  # smaller ones would leave as many open units as they get
+    units = units.select("doc_id", "source", "size", F.when(F.col("doc_id").isNull(), F.monotonically_increasing_id()).alias("row"))
+    units = write_scratch(units, "mix-units")
     per_source = write_scratch(targets(units, weights, share, most), "mix-targets")
     largest = per_source.agg(F.max("n_docs")).first()[0] or 0
     # no broadcast hint: Spark compares the measured size of the source table with its threshold
@@ -140,15 +146,15 @@ def mix(units: DataFrame, weights: Sequence[float] = (3, 1, 2), share: float = 1
     key = per_source.withColumnRenamed("source", "source_")
     left = (units.join(key, units["source"].eqNullSafe(key["source_"])).drop("source_")
             .withColumn("base", F.floor(ratio).cast("long")).withColumn("chance", ratio - F.floor(ratio)))
-    columns = ["doc_id", "source", "size", "n_docs", "source_size", "target", "base", "chance"]
+    columns = ["doc_id", "row", "source", "size", "n_docs", "source_size", "target", "base", "chance"]
     schema = left.select(*columns).schema
     done: list[DataFrame] = []
     expected, level = largest, 0
     while True:
         last = expected <= block
         blocks = F.ceil(F.col("n_docs") / F.lit((block / 3) ** level * block)) if not last else F.lit(1)
-        dealt = left.select(*columns, F.pmod(unit_hash("doc_id", "size", seed=seed + level), blocks).alias("block"))
-        flown = dealt.groupBy("source", "block").applyInPandas(_flight(seed + level, last, columns), schema)
+        dealt = left.select(*columns, F.pmod(unit_hash("doc_id", "row", "size", seed=seed + level), blocks).alias("block"))
+        flown = dealt.groupBy("source", "block").applyInArrow(_flight(seed + level, last, columns), schema)
         flown = write_scratch(flown, f"mix-level{level}")
         open_ = (F.col("chance") > 0) & (F.col("chance") < 1)
         done.append(flown.filter(~open_))
@@ -165,12 +171,12 @@ def mix(units: DataFrame, weights: Sequence[float] = (3, 1, 2), share: float = 1
 
 
 def _flight(seed: int, last: bool, columns: list[str]):
-    def run(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-        source, number = key
-        rows = rows.sort_values(["size", "doc_id"], ascending=[False, True], kind="stable").reset_index(drop=True)
-        name = b"" if source is None or source != source else b"s" + str(source).encode()
+    def run(key: tuple, rows: pa.Table) -> pa.Table:
+        source, number = (k.as_py() for k in key)
+        rows = rows.take(pc.sort_indices(rows, [("size", "descending"), ("doc_id", "ascending"), ("row", "ascending")]))
+        name = b"" if source is None else b"s" + str(source).encode()
         draws = np.random.default_rng([seed, zlib.crc32(name), int(number)]).random(len(rows))
-        chances, sizes = rows["chance"].to_numpy(float), rows["size"].to_numpy(float)
+        chances, sizes = (rows.column(c).to_numpy().astype(float) for c in ("chance", "size"))
         kept = _reserve(np.flatnonzero((chances > _TINY) & (chances < 1 - _TINY))) if last else []
         aloft = chances.copy()
         aloft[kept] = 0.0
@@ -181,6 +187,6 @@ def _flight(seed: int, last: bool, columns: list[str]):
             decided = np.where((flown > _TINY) & (flown < 1 - _TINY), 0.0, flown)
             flown = land(sizes, flown, float(np.dot(sizes, chances) - np.dot(sizes, decided)))
         flown[flown <= _TINY], flown[flown >= 1 - _TINY] = 0.0, 1.0
-        return rows.assign(chance=flown)[columns]
+        return rows.set_column(rows.schema.get_field_index("chance"), "chance", pa.array(flown)).select(columns)
 
     return run

@@ -5,12 +5,15 @@ Pieces go by hash into groups of bounded size; each group is packed on its
 own: best fit by decreasing length first, then a local search over the
 sequences that are not full.  It moves a document, exchanges one for one or
 two for one, always so that the sum of squared fills grows; that drains the
-emptiest sequence until it is gone or no exchange helps.  A group wastes less
-than a sequence over its lower bound in practice, and groups hold thousands
-of sequences.
-
-Defined results: null and empty texts are the end id alone; null ids and
-repeated rows are pieces like others; an empty table gives no rows.
+emptiest sequence until it is gone or no exchange helps.  What a group leaves
+in sequences that are at most half full is packed again with the leftovers of
+other groups, level by level, until one group has them all; so the whole
+wastes less than a sequence or two over its lower bound in practice.
+
+Ids never leave Arrow, so they come back as they were, nulls beside them or
+not.  Defined results: null and empty texts are the end id alone; null ids and
+repeated rows are pieces like others (rows without id are dealt into groups by
+their places in the written piece table); an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -19,8 +22,8 @@ import zlib
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -160,22 +163,45 @@ def pack(cut: DataFrame, capacity: int = CAPACITY, group: int = GROUP, seed: int
     """Add ``sequence_id`` and a gapless ``offset`` from 0 to pieces with a ``length``.
 
     A group is a hash class of about ``group`` pieces, packed in one task; the
-    number of groups grows with the input.
+    number of groups grows with the input.  ``sequence_id`` is made of level,
+    group and number.
     """
-    cut = write_scratch(cut, "pack-pieces")
-    groups = max(1, -(-cut.count() // group))
     columns = cut.columns
-    schema = cut.withColumn("sequence_id", F.lit(0).cast("long")).withColumn("offset", F.lit(0).cast("long")).schema
-
-    def run(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values([c for c in ("length", "doc_id", "piece") if c in columns], kind="stable").reset_index(drop=True)
-        lengths = rows["length"].to_numpy(np.int64)
+    keys = [c for c in ("doc_id", "piece") if c in columns]
+    row = F.when(F.col("doc_id").isNull(), F.monotonically_increasing_id()) if "doc_id" in columns else F.monotonically_increasing_id()
+    left = write_scratch(cut.withColumn("_row", row), "pack-pieces")
+    schema = left.select("*", F.lit(0).cast("long").alias("sequence_id"), F.lit(0).cast("long").alias("offset"), F.lit(False).alias("_loose")).schema
+    done: list[DataFrame] = []
+    count, level, groups = left.count(), 0, None
+    while True:
+        most = -(-count // group)
+        groups = max(1, most if groups is None else min(most, groups - 1))
+        dealt = left.withColumn("_group", F.pmod(unit_hash(*keys, "_row", seed=seed + level), F.lit(groups)))
+        packed = dealt.groupBy("_group").applyInArrow(_packed(capacity, level, groups == 1, schema.names), schema)
+        if groups == 1 and not done:
+            return packed.select(*columns, "sequence_id", "offset")
+        packed = write_scratch(packed, f"pack-level{level}")
+        done.append(packed.filter(~F.col("_loose")).select(*columns, "sequence_id", "offset"))
+        if groups == 1:
+            break
+        left = packed.filter("_loose").select(*columns, "_row")
+        count, level = left.count(), level + 1
+    out = done[0]
+    for more in done[1:]:
+        out = out.unionAll(more)
+    return out
+
+
+def _packed(capacity: int, level: int, last: bool, names: list[str]):
+    def run(key: tuple, rows: pa.Table) -> pa.Table:
+        rows = rows.take(pc.sort_indices(rows, [(c, "ascending") for c in ("length", "doc_id", "piece", "_row") if c in rows.column_names]))
+        lengths = rows.column("length").to_numpy().astype(np.int64)
         bins = improve(best_fit(lengths, capacity), lengths, capacity)
-        sequence, offset = np.empty(len(rows), np.int64), np.empty(len(rows), np.int64)
+        sequence, offset, loose = np.empty(len(rows), np.int64), np.empty(len(rows), np.int64), np.zeros(len(rows), bool)
         for n, items in enumerate(bins):
-            sequence[items] = int(key[0]) * (1 << 32) + n
+            sequence[items] = (level << 56) + (key[0].as_py() << 24) + n
             offset[items] = np.cumsum(lengths[items]) - lengths[items]
-        return rows.assign(sequence_id=sequence, offset=offset)[columns + ["sequence_id", "offset"]]
+            loose[items] = not last and 2 * int(lengths[items].sum()) <= capacity
+        return rows.append_column("sequence_id", pa.array(sequence)).append_column("offset", pa.array(offset)).append_column("_loose", pa.array(loose)).select(names)
 
-    dealt = cut.withColumn("_group", F.pmod(unit_hash(*[c for c in ("doc_id", "piece") if c in columns], seed=seed), F.lit(groups)))
-    return dealt.groupBy("_group").applyInPandas(lambda key, rows: run(key, rows.drop(columns="_group")), schema)
+    return run
