@@ -10,6 +10,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
+from ..session import materialized
+
 
 def _c(x):
     return F.col(x) if isinstance(x, str) else x
@@ -120,18 +122,6 @@ def accuracy(df: DataFrame, label: str = "label", pred: str = "prediction") -> D
     return df.agg(F.avg(ok).alias("accuracy"), (1 - F.avg(ok)).alias("error_rate"))
 
 
-def classification_summary(df: DataFrame, label: str = "label", pred: str = "prediction",
-                           positive: float = 1.0) -> DataFrame:
-    """accuracy, error_rate and hard-prediction AUC in one scan."""
-    c = _cells(df, label, pred, positive)
-    n = F.col("tp") + F.col("fp") + F.col("tn") + F.col("fn")
-    acc = _ratio(F.col("tp") + F.col("tn"), n)
-    tpr = _ratio(F.col("tp"), F.col("tp") + F.col("fn"))
-    tnr = _ratio(F.col("tn"), F.col("tn") + F.col("fp"))
-    return c.select(acc.alias("accuracy"), (1 - acc).alias("error_rate"),
-                    ((tpr + tnr) / 2).alias("auc_hard"))
-
-
 def multiclass_metrics(df: DataFrame, label: str = "label", pred: str = "prediction") -> DataFrame:
     """accuracy, weighted precision / recall / F1 (class weights = label shares).
 
@@ -167,48 +157,52 @@ def score_of(col: str, slot: int = 1):
 
 
 def score_ladder(df: DataFrame, label: str, score, positive: float = 1.0,
-                 partitions: int | None = None) -> DataFrame:
-    """One row per distinct score: s, pos, neg, pos_below, neg_below, P, N.
+                 partitions: int | None = None, keys=()) -> DataFrame:
+    """One row per distinct score: (keys), s, pos, neg, pos_below, neg_below, P, N.
 
     ``pos_below``/``neg_below`` count the rows with a strictly lower score;
     ``P``/``N`` are the class totals.  Every threshold curve (ROC, PR) is a
     function of these columns, so each metric is one aggregate over them.
-
-    1. a scan of the scores gives quantiles that part them into ``partitions``
-       buckets (default: the session's shuffle partitions);
-    2. positives/negatives are aggregated per distinct score (a score shared by
-       a third of all rows is one row from here on) and hashed by bucket, which
-       is a pure function of the score: re-run tasks see the same layout;
-    3. per-bucket totals (one row per bucket: a bounded table) give each
-       bucket's offset; the running count inside a bucket is a window over that
-       bucket only.  No window ever spans all rows.
+    ``keys``: a ladder for every value of these columns (models, grid points),
+    all from the same passes.
+
+    1. one scan aggregates positives/negatives per distinct score (a score
+       shared by a third of all rows is one row from here on);
+    2. the distinct scores are range-partitioned by key and score (into
+       ``partitions`` parts, default the session's) and written with the number
+       of their part, so every later step, also of a re-run task, sees the same
+       parts;
+    3. per-part totals (a row per part and key: a bounded table) give each
+       part's offset; the running count inside a part is a window over that
+       part only.  No window ever spans all rows.
     """
+    keys = list(keys)
     s = _c(score).cast("double")
     y = _c(label).cast("double") == F.lit(float(positive))
-    rows = df.select(s.alias("s"), y.alias("y")).filter(F.col("s").isNotNull())
-    n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    cuts = rows.agg(F.percentile_approx("s", F.array(*[F.lit(i / n) for i in range(1, n)]), 100 * n)).first()[0] if n > 1 else None
-    cuts = sorted({c for c in cuts or [] if c == c})
-    bucket = F.size(F.filter(F.array(*[F.lit(c) for c in cuts]), lambda c: c < F.col("s"))) if cuts else F.lit(0)
-    g = rows.groupBy("s").agg(F.sum(F.col("y").cast("long")).alias("pos"), F.sum((~F.col("y")).cast("long")).alias("neg"))
-    parted = g.withColumn("pid", bucket).repartition(len(cuts) + 1, "pid")
-    totals = parted.groupBy("pid").agg(F.sum("pos").alias("ppos"), F.sum("neg").alias("pneg"))
-    before = Window.orderBy("pid").rowsBetween(Window.unboundedPreceding, -1)
-    everything = Window.orderBy("pid").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    # One row per bucket: bounded by the bucket count, safe to broadcast.
+    rows = df.select(*keys, s.alias("s"), y.alias("y")).filter(F.col("s").isNotNull())
+    g = rows.groupBy(*keys, "s").agg(F.sum(F.col("y").cast("long")).alias("pos"), F.sum((~F.col("y")).cast("long")).alias("neg"))
+    order = [*keys, "s"]
+    dealt = g.repartitionByRange(partitions, *order) if partitions else g.repartitionByRange(*order)
+    parted = materialized(dealt.withColumn("pid", F.spark_partition_id()), "ladder")
+    part = ["pid", *keys]
+    totals = parted.groupBy(*part).agg(F.sum("pos").alias("ppos"), F.sum("neg").alias("pneg"))
+    of_key = Window.partitionBy(*keys).orderBy("pid")
+    before = of_key.rowsBetween(Window.unboundedPreceding, -1)
+    everything = of_key.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    # One row per part and key: bounded by the parts and keys, safe to broadcast.
     offsets = totals.select(
-        "pid",
+        *part,
         F.coalesce(F.sum("ppos").over(before), F.lit(0)).alias("off_pos"),
         F.coalesce(F.sum("pneg").over(before), F.lit(0)).alias("off_neg"),
         F.sum("ppos").over(everything).alias("P"),
         F.sum("pneg").over(everything).alias("N"))
-    w = Window.partitionBy("pid").orderBy("s").rowsBetween(Window.unboundedPreceding, -1)
+    w = Window.partitionBy(*part).orderBy("s").rowsBetween(Window.unboundedPreceding, -1)
     within = parted.select(
-        "pid", "s", "pos", "neg",
+        *part, "s", "pos", "neg",
         F.coalesce(F.sum("pos").over(w), F.lit(0)).alias("in_pos"),
         F.coalesce(F.sum("neg").over(w), F.lit(0)).alias("in_neg"))
-    return within.join(F.broadcast(offsets), "pid").select(
-        "s", "pos", "neg",
+    return within.join(F.broadcast(offsets), part).select(
+        *keys, "s", "pos", "neg",
         (F.col("off_pos") + F.col("in_pos")).alias("pos_below"),
         (F.col("off_neg") + F.col("in_neg")).alias("neg_below"),
         "P", "N")
@@ -232,11 +226,11 @@ def _pr_area():
     return F.try_divide(tp - tp0, P) * (prec + prec0) / 2.0
 
 
-def _areas(lad: DataFrame, roc: bool, pr: bool) -> DataFrame:
-    a = lad.agg(F.sum(_roc_area()).alias("roc"), F.sum(_pr_area()).alias("pr"),
-                F.max("P").alias("P"), F.max("N").alias("N"))
+def _areas(lad: DataFrame, roc: bool, pr: bool, keys=()) -> DataFrame:
+    a = lad.groupBy(*keys).agg(F.sum(_roc_area()).alias("roc"), F.sum(_pr_area()).alias("pr"),
+                               F.max("P").alias("P"), F.max("N").alias("N"))
     both = (F.col("P") > 0) & (F.col("N") > 0)
-    out = []
+    out = list(keys)
     if roc:
         out.append(F.when(both, F.col("roc") / (F.col("P") * F.col("N"))).alias("auc"))
     if pr:
@@ -244,6 +238,32 @@ def _areas(lad: DataFrame, roc: bool, pr: bool) -> DataFrame:
     return a.select(*out)
 
 
+def curve_areas(df: DataFrame, keys, label: str, score, positive: float = 1.0,
+                partitions: int | None = None) -> DataFrame:
+    """(keys), ``auc``, ``auc_pr``: exact areas for every value of ``keys``, from one ladder."""
+    return _areas(score_ladder(df, label, score, positive, partitions, keys), roc=True, pr=True, keys=keys)
+
+
+def classifier_metrics(df: DataFrame, keys, label: str = "label", pred: str = "prediction",
+                       score="score", positive: float = 1.0) -> DataFrame:
+    """(keys), accuracy, error_rate, auc_hard, auc_swapped, auc_score, auc_pr for every value of
+    ``keys`` (never NULL): one aggregate for the cells, one ladder for the curves."""
+    keys = list(keys)
+    y, p = _c(label).cast("double"), _c(pred).cast("double")
+    yes, said = y == F.lit(float(positive)), p == F.lit(float(positive))
+    cells = df.groupBy(*keys).agg(
+        F.avg((y == p).cast("double")).alias("accuracy"),
+        *[F.sum(c.cast("long")).alias(n) for n, c in (("tp", yes & said), ("fp", ~yes & said), ("tn", ~yes & ~said), ("fn", yes & ~said))])
+
+    def half(a, b, c, d):
+        return (_ratio(F.col(a), F.col(a) + F.col(b)) + _ratio(F.col(c), F.col(c) + F.col(d))) / 2
+
+    hard = cells.select(*keys, "accuracy", (1 - F.col("accuracy")).alias("error_rate"),
+                        half("tp", "fn", "tn", "fp").alias("auc_hard"), half("tp", "fp", "tn", "fn").alias("auc_swapped"))
+    areas = curve_areas(df, keys, label, score, positive).withColumnRenamed("auc", "auc_score")
+    return hard.join(areas, keys, "left")
+
+
 def exact_auc(df: DataFrame, label: str, score, positive: float = 1.0,
               partitions: int | None = None) -> DataFrame:
     """Exact area under the ROC curve by the rank-sum identity, distributed.

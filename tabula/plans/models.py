@@ -4,8 +4,11 @@ from __future__ import annotations
 
 import math
 import threading
+from concurrent.futures import ThreadPoolExecutor
 from contextlib import contextmanager
+from functools import reduce
 
+import numpy as np
 from pyspark import StorageLevel
 from pyspark.ml import Estimator, Pipeline, PipelineModel
 from pyspark.ml.classification import (DecisionTreeClassifier, LinearSVC, LogisticRegression,
@@ -20,6 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators.columns import Roles
+from . import forest_search
 from .features import assemble, feature_columns, one_hot, scale, string_index
 
 _ESTIMATORS = {
@@ -38,7 +42,6 @@ WORKLOAD_GRIDS = {
                "elasticNetParam": [0.001, 0.01]},
     "rf_reg": {"maxDepth": [2, 5, 10, 20, 30], "maxBins": [10, 20, 40, 80, 100],
                "numTrees": [10, 30, 100]},
-    "rf_reg_depth_trees": {"maxDepth": [2, 5, 10, 20, 30], "numTrees": [10, 30, 100]},
     "logistic": {"regParam": [0.1, 0.01], "fitIntercept": [False, True],
                  "elasticNetParam": [0.0, 0.5, 1.0]},
     "svc": {"regParam": [0.1, 0.01], "maxIter": [1000], "tol": [1e-8]},
@@ -205,9 +208,9 @@ def build_pipeline(roles: Roles, est, encode: str = "onehot", scale_features: bo
     return SharedPrefixPipeline(stages=stages)
 
 
-def fit(pipeline: Pipeline, train: DataFrame, partitions: int | None = None, keys=None) -> PipelineModel:
+def fit(pipeline: Pipeline, train: DataFrame, keys=None) -> PipelineModel:
     """Fit every stage; the training rows are held once for the stages' passes (``reused``)."""
-    with reused(train, partitions, keys) as frame:
+    with reused(train, keys) as frame:
         return pipeline.fit(frame)
 
 
@@ -238,8 +241,32 @@ def evaluator(kind: str, label: str = "label", metric: str | None = None, column
                                              metricName=metric)
 
 
+#: A layout has a part per so many rows, ...
+ROWS_A_PART = 1 << 20
+#: ... but small tables are cut finer, up to so many parts.
+SMALL_PART, SMALL_PARTS = 1 << 14, 32
+
+
+def layout_parts(rows: int) -> int:
+    """Parts of the layout for ``rows`` rows: a function of the data alone, in proportion to it."""
+    return max(1, min(SMALL_PARTS, -(-rows // SMALL_PART)), -(-rows // ROWS_A_PART))
+
+
+def laid_out(df: DataFrame, keys) -> DataFrame:
+    """The rows in parts by hash of ``keys``, each sorted by them; rows without a key are dealt by their content.
+
+    Spark draws a forest's rows per part and position.  The layout depends on
+    the rows alone, not on files, cores or shuffle settings, so the same rows
+    give the same forest on any cluster; the parts grow in number with them.
+    """
+    keys = [keys] if isinstance(keys, str) else list(keys)
+    lone = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
+    dealt = df.repartition(layout_parts(df.count()), *keys, F.when(lone, F.xxhash64(*df.columns)))
+    return dealt.sortWithinPartitions(*keys, *[c for c in df.columns if c not in keys])
+
+
 @contextmanager
-def reused(df: DataFrame, partitions: int | None = None, keys=None):
+def reused(df: DataFrame, keys=None):
     """Hold a frame that many jobs will read (fold filters, every fit, the refit).
 
     Without this each of those jobs re-runs the scan, the hash columns and any
@@ -248,19 +275,13 @@ def reused(df: DataFrame, partitions: int | None = None, keys=None):
     recomputed from lineage.  A frame the caller already persisted is used as
     is and left persisted.
 
-    The frame keeps its partitions, unless ``partitions`` and ``keys`` ask for
-    a layout: that many parts by hash of the keys, each sorted by them.  Spark
-    draws a forest's rows per partition and position, so the same layout, on
-    any cluster and whatever the files, gives the same forest.  Choose the
-    number by the size of the data, not by the cores at hand.
+    The frame keeps its partitions, unless ``keys`` ask for a layout that
+    makes fits repeat (``laid_out``).
     """
     if df.storageLevel != StorageLevel.NONE:
         yield df
         return
-    if partitions:
-        keys = [keys] if isinstance(keys, str) else list(keys or df.columns)
-        df = df.repartition(partitions, *keys).sortWithinPartitions(*keys)
-    held = df.persist(StorageLevel.MEMORY_AND_DISK)
+    held = (laid_out(df, keys) if keys else df).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         held.count()  # fill once, before concurrent fits race to compute it
         yield held
@@ -268,26 +289,68 @@ def reused(df: DataFrame, partitions: int | None = None, keys=None):
         held.unpersist()
 
 
+class SearchResult:
+    """What a grid search found; the part of ``CrossValidatorModel`` that callers use."""
+
+    def __init__(self, best_model, param_maps: list, ev, by_fold: np.ndarray):
+        self.bestModel, self._maps, self._evaluator = best_model, param_maps, ev
+        self.avgMetrics, self.stdMetrics = by_fold.mean(axis=0).tolist(), by_fold.std(axis=0).tolist()
+
+    def getEstimatorParamMaps(self) -> list:
+        return self._maps
+
+    def getEvaluator(self):
+        return self._evaluator
+
+    def transform(self, df: DataFrame) -> DataFrame:
+        return self.bestModel.transform(df)
+
+
+def _fold_metrics(pipeline: Pipeline, param_maps: list, ev, frame: DataFrame, fold_col: str, folds: int, parallelism: int) -> np.ndarray:
+    """Metric of every (fold, grid point): a fit each, on filters of the one held frame."""
+    out = np.empty((folds, len(param_maps)))
+    with ThreadPoolExecutor(max(1, min(parallelism, len(param_maps)))) as pool:
+        for k in range(folds):
+            train, held_out = frame.filter(F.col(fold_col) != k), frame.filter(F.col(fold_col) == k)
+            fitted = iter(pipeline.fitMultiple(train, param_maps))
+
+            def one(_, fitted=fitted, held_out=held_out):
+                index, model = next(fitted)
+                return index, ev.evaluate(model.transform(held_out, param_maps[index]))
+
+            for index, value in pool.map(one, param_maps):
+                out[k, index] = value
+    return out
+
+
 def tune(pipeline: Pipeline, param_maps: list, ev, train: DataFrame, folds: int = 3,
          parallelism: int = 1, fold_col: str | None = None, seed: int = 42,
-         columns=None, partitions: int | None = None, keys=None):
+         columns=None, keys=None):
     """k-fold grid search and refit of the best map on all rows.
 
-    ``columns``: what the pipeline reads; only those (and the fold) are held,
-    since the search keeps copies of every fold.  ``partitions``, ``keys``: a
-    layout for fits that must repeat (``reused``).
-
     With ``fold_col`` (see ``with_folds``) fold membership is a pure function
-    of the row key, so results repeat on any layout.
+    of the row key, so results repeat on any layout.  The frame is then held
+    once, each fold a filter on it, and searches over depth, trees and bins of
+    a tree or forest fit once per fold and bins (``forest_search``).  Without
+    it Spark's own cross-validation draws the folds.
+
+    ``columns``: what the pipeline reads; only those (and the fold) are held.
+    ``keys``: ask for the layout that makes forests repeat (``laid_out``).
     """
-    cv = CrossValidator(estimator=pipeline, estimatorParamMaps=param_maps, evaluator=ev,
-                        numFolds=folds, parallelism=parallelism, seed=seed)
-    if fold_col:
-        cv = cv.setFoldCol(fold_col)
     if columns is not None:
         train = train.select(*dict.fromkeys([*columns, *([fold_col] if fold_col else []), *([keys] if isinstance(keys, str) else keys or [])]))
-    with reused(train, partitions, keys) as frame:
-        return cv.fit(frame)
+    with reused(train, keys) as frame:
+        if not fold_col:
+            return CrossValidator(estimator=pipeline, estimatorParamMaps=param_maps, evaluator=ev,
+                                  numFolds=folds, parallelism=parallelism, seed=seed).fit(frame)
+        nested = isinstance(pipeline, Pipeline) and forest_search.applies(pipeline, param_maps, ev)
+        measure = forest_search.search if nested else _fold_metrics
+        found = measure(pipeline, param_maps, ev, frame, fold_col, folds, parallelism)
+        average = found.mean(axis=0)
+        worst = -np.inf if ev.isLargerBetter() else np.inf
+        average = np.where(np.isnan(average), worst, average)
+        best = int(average.argmax() if ev.isLargerBetter() else average.argmin())
+        return SearchResult(pipeline.fit(frame, param_maps[best]), param_maps, ev, found)
 
 
 def _final_stage(model):
@@ -328,7 +391,7 @@ def cv_table(cv_model) -> DataFrame:
     avg = list(cv_model.avgMetrics)
     std = list(getattr(cv_model, "stdMetrics", []) or [None] * len(avg))
     larger = cv_model.getEvaluator().isLargerBetter()
-    best = max(range(len(avg)), key=lambda i: avg[i] if larger else -avg[i])
+    best = max(range(len(avg)), key=lambda i: -math.inf if math.isnan(avg[i]) else avg[i] if larger else -avg[i])
     rows = []
     for i, m in enumerate(maps):
         desc = ", ".join(f"{p.name}={v}" for p, v in sorted(m.items(), key=lambda kv: kv[0].name))

@@ -1275,7 +1275,7 @@ def _importances(spark, sf_dir):
     df = cleaning.drop_nulls(standins.bike_frame(spark, sf_dir), [*standins.BIKE_ROLES.numeric, "cnt"])
     train, test = sampling.hash_split(df, "instant", [0.7, 0.3], seed=42)
     est = models.estimator("rf_reg", label="cnt", numTrees=100, maxDepth=20)
-    model = models.fit(models.build_pipeline(standins.BIKE_ROLES, est, scale_features=True), train, jobs.LAYOUT, "instant")
+    model = models.fit(models.build_pipeline(standins.BIKE_ROLES, est, scale_features=True), train, "instant")
     return models.feature_importances(model, model.transform(test))
 
 
@@ -1299,7 +1299,7 @@ def l14(spark, sf_dir):
     df = standins.churn_orders_frame(spark, sf_dir)
     train, test = sampling.hash_split(df, "o_orderkey", [0.8, 0.2], seed=42)
     fitted = {}
-    with models.reused(train, jobs.LAYOUT, "o_orderkey") as held:  # one held training split for all fits
+    with models.reused(train, "o_orderkey") as held:  # one held training split for all fits
         for kind in ("logistic", "svc", "tree"):
             encode = "index" if kind in models.TREE_KINDS else "onehot"
             fitted[kind] = models.fit(models.build_pipeline(standins.CHURN_ORDERS_ROLES, models.estimator(kind), encode=encode, label_source="churn"), held)

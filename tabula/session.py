@@ -14,7 +14,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Fixed session defaults; scale-dependent knobs are left to the cluster.
 _DEFAULTS = {
@@ -87,3 +87,11 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     base = ensure_checkpoint_dir(spark)
     return os.path.join(base, "scratch", spark.sparkContext.applicationId, f"{name}-{uuid.uuid4().hex[:12]}")
 
+
+
+def materialized(df: DataFrame, name: str) -> DataFrame:
+    """Write a frame to the shared folder and read it back: later steps, and re-run tasks,
+    see the same rows in the same parts, and losing an executor costs a re-read."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -66,8 +66,3 @@ def read_table(spark: SparkSession, path: str, fmt: str = "parquet",
     for k, v in options.items():
         reader = reader.option(k, v)
     return reader.load(path)
-
-
-def read_tables(spark: SparkSession, sf_dir: str, names) -> dict[str, DataFrame]:
-    """Parquet tables named ``<sf_dir>/<name>.parquet``."""
-    return {n: spark.read.parquet(f"{sf_dir}/{n}.parquet") for n in names}

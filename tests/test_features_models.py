@@ -92,11 +92,11 @@ def test_reused_keeps_the_layout_unless_one_is_asked_for(spark):
     with models.reused(one) as held:  # whatever the cores and the rows
         assert held.rdd.getNumPartitions() == 1 and held.storageLevel != StorageLevel.NONE
     assert held.storageLevel == StorageLevel.NONE  # released afterwards
-    with models.reused(one, partitions=5, keys="id") as held:
+    with models.reused(one, keys="id") as held:
         parts = held.rdd.glom().map(lambda rows: [r.id for r in rows]).collect()
-    with models.reused(one.repartition(7), partitions=5, keys="id") as held:
+    with models.reused(one.repartition(7), keys="id") as held:
         again = held.rdd.glom().map(lambda rows: [r.id for r in rows]).collect()
-    assert parts == again and len(parts) == 5 and all(p == sorted(p) for p in parts)
+    assert parts == again and len(parts) == models.layout_parts(50_000) == 4 and all(p == sorted(p) for p in parts)
     kept = spark.range(5).persist()
     with models.reused(kept) as held:
         assert held is kept
@@ -110,7 +110,7 @@ def test_forests_repeat_on_any_input_layout(spark):
     for frame in (df, df.repartition(6)):
         est = models.estimator("rf_cls", numTrees=5, maxDepth=4)
         pipe = models.build_pipeline(standins.CHURN_ORDERS_ROLES, est, encode="index", label_source="churn")
-        out.append(models.fit(pipe, frame, 4, "o_orderkey").stages[-1].featureImportances.toArray().tolist())
+        out.append(models.fit(pipe, frame, "o_orderkey").stages[-1].featureImportances.toArray().tolist())
     assert out[0] == out[1]
     assert models.estimator("tree").getSeed() == models.estimator("rf_reg").getSeed() == models.SEED
 
