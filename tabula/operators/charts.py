@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.hashing import hash_unit
+from ..functions.hashing import SPACE, hash_unit
+from ..session import materialized
 from .profile import _stack
 
 
@@ -43,12 +46,22 @@ def long_stats(df: DataFrame, cols, fn: str = "sum") -> DataFrame:
 def scatter_data(df: DataFrame, cols, n: int, key, seed: int = 42) -> DataFrame:
     """A bounded, repeatable sample of ``n`` rows: the n smallest hash units.
 
-    One pass over the key and value columns: every task keeps its own n
-    smallest, and one task merges those (n rows per input partition).
+    The number of rows (a count that reads no column of a Parquet table) gives a
+    bound on the hash below which some more than ``n`` rows are expected; only
+    those are kept, by a filter inside the scan, and ordered.  So the last task
+    gets about ``n`` rows whatever the number of input parts.  Should the bound
+    leave too few (six deviations), or keys repeat, all rows are ordered.
     """
     keys = [key] if isinstance(key, str) else list(key)
     base = df.select(*keys, *[c for c in cols if c not in keys], hash_unit(keys, seed).alias("__h"))
-    return base.orderBy("__h", *keys).limit(n).drop("__h")
+    rows = df.count()
+    expected = n + 6 * math.sqrt(n) + 20
+    few = base
+    if rows > expected:
+        some = materialized(base.filter(F.col("__h") < int(SPACE * expected / rows)), "scatter")
+        if some.count() >= n:
+            few = some
+    return few.orderBy("__h", *keys).limit(n).drop("__h")
 
 
 def peak_keys(df: DataFrame, key: str, value: str, k: int = 3, desc: bool = True,

@@ -15,7 +15,7 @@ from pyspark.ml.classification import (DecisionTreeClassifier, LinearSVC, Logist
                                        RandomForestClassifier)
 from pyspark.ml.evaluation import (BinaryClassificationEvaluator, MulticlassClassificationEvaluator,
                                    RegressionEvaluator)
-from pyspark.ml.feature import Imputer
+from pyspark.ml.feature import Imputer, ImputerModel, StringIndexerModel, VectorAssembler
 from pyspark.ml.regression import LinearRegression, RandomForestRegressor
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import DataFrame, SparkSession
@@ -219,6 +219,43 @@ def score(model, df: DataFrame) -> DataFrame:
     return model.transform(df)
 
 
+def label_free(model: PipelineModel) -> PipelineModel:
+    """A copy of a fitted pipeline that scores rows without a label: the stages that
+    make the final stage's label column are left out."""
+    label = model.stages[-1].getLabelCol()
+
+    def makes_label(stage) -> bool:
+        return any(stage.hasParam(p) and stage.isDefined(p) and label in [stage.getOrDefault(p)] for p in ("outputCol",))
+
+    return PipelineModel([s for s in model.stages[:-1] if not makes_label(s)] + [model.stages[-1]])
+
+
+def drift_report(model: PipelineModel, df: DataFrame) -> DataFrame:
+    """column_name, kind, n_rows, n_null, n_unseen: how a frame to be scored differs from the training rows.
+
+    Categories are looked up by the pipeline's own indexers, so ``n_unseen``
+    counts the rows whose value gets the code of unknown ones; numbers have
+    no unseen values, ``n_null`` also counts those that are not a number.  One scan.
+    """
+    stages = label_free(model).stages
+    looked_up, made = df, []
+    for stage in stages:
+        if isinstance(stage, StringIndexerModel):
+            many = stage.isSet("inputCols")
+            ins, outs = (stage.getInputCols(), stage.getOutputCols()) if many else ([stage.getInputCol()], [stage.getOutputCol()])
+            looked_up = stage.copy().setHandleInvalid("keep").transform(looked_up)
+            made += zip(ins, outs, map(len, stage.labelsArray), strict=True)
+    derived = {c for s in stages for p in ("outputCol", "outputCols") if s.hasParam(p) and s.isDefined(p)
+               for c in np.atleast_1d(s.getOrDefault(p)).tolist()}
+    read = [c for s in stages if isinstance(s, (VectorAssembler, ImputerModel)) for c in s.getInputCols()]
+    numbers = [c for c in dict.fromkeys(read) if c not in derived]
+    rows = [("category", c, F.col(f"`{c}`").isNull(), (F.col(o) == size) & F.col(f"`{c}`").isNotNull()) for c, o, size in made]
+    rows += [("number", c, F.col(f"`{c}`").isNull() | F.isnan(F.col(f"`{c}`").cast("double")), F.lit(False)) for c in numbers]
+    wide = looked_up.agg(F.count(F.lit(1)).alias("n_rows"), *[F.count_if(x).alias(f"{n}{i}") for i, (_, _, a, b) in enumerate(rows) for n, x in (("a", a), ("b", b))])
+    each = F.explode(F.array(*[F.struct(F.lit(c).alias("column_name"), F.lit(kind).alias("kind"), F.col("n_rows"), F.col(f"a{i}").alias("n_null"), F.col(f"b{i}").alias("n_unseen")) for i, (kind, c, _, _) in enumerate(rows)]))
+    return wide.select(each.alias("x")).select("x.*")
+
+
 def grid(est, params: dict) -> list:
     """Cartesian parameter grid; keys are param names of ``est``."""
     b = ParamGridBuilder()

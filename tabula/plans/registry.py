@@ -644,6 +644,24 @@ def a14(spark, sf_dir):
     return profile.corr_matrix(T(spark, sf_dir, "lineitem")).withColumn("r", r("r") + 0.0)
 
 
+_WIDE = 100
+
+
+@query("a14_corr_wide", f"""
+WITH u AS (SELECT p_partkey, i, CASE WHEN p_partkey % (13 + i) <> 0 THEN ((p_partkey * (2 * i + 1) + p_size * (i % 7)) % (11 + i))::DOUBLE END AS v
+           FROM part, range({_WIDE}) AS t(i))
+SELECT 'v' || a.i AS a, 'v' || b.i AS b, round(corr(a.v, b.v), 6) + 0.0 AS r
+FROM u a JOIN u b ON a.p_partkey = b.p_partkey AND a.i < b.i GROUP BY a.i, b.i""")
+def a14w(spark, sf_dir):
+    # a hundred numbers of every part, each missing in other rows
+    def number(i):
+        value = (F.col("p_partkey") * (2 * i + 1) + F.col("p_size") * (i % 7)) % (11 + i)
+        return F.when(F.col("p_partkey") % (13 + i) != 0, value.cast("double")).alias(f"v{i}")
+
+    wide = T(spark, sf_dir, "part").select(*[number(i) for i in range(_WIDE)])
+    return profile.corr_matrix(wide).withColumn("r", r("r") + 0.0)
+
+
 _A15_SQL_COLS = """l_quantity, l_extendedprice, l_extendedprice * (1 - l_discount) AS net_price, l_tax"""
 _A15_COLS = ["l_quantity", "l_extendedprice", "net_price", "l_tax"]
 
@@ -678,6 +696,18 @@ def a16(spark, sf_dir):
     return profile.cardinality(T(spark, sf_dir, "part"), ["p_name", "p_brand", "p_type", "p_size"])
 
 
+_EVERY = {"part": "p_partkey p_name p_brand p_type p_size p_retailprice",
+          "lineitem": "l_orderkey l_partkey l_suppkey l_linenumber l_quantity l_extendedprice l_discount l_tax l_returnflag l_linestatus l_shipdate"}
+
+
+@query("a16_cardinality_all", " UNION ALL ".join(
+    f"SELECT '{t}' AS table_name, '{c}' AS column_name, count(DISTINCT {c})::BIGINT AS distinct_count FROM {t}" for t, cs in _EVERY.items() for c in cs.split()))
+def a16a(spark, sf_dir):
+    # every column of both tables, each table in one scan
+    found = [profile.cardinality(T(spark, sf_dir, t), cs.split()).select(F.lit(t).alias("table_name"), "*") for t, cs in _EVERY.items()]
+    return reduce(DataFrame.unionByName, found)
+
+
 @query("a16_high_cardinality", """
 SELECT * FROM (
   SELECT 'p_name' AS column_name, count(DISTINCT p_name)::BIGINT AS distinct_count FROM part
@@ -781,6 +811,21 @@ def m1(spark, sf_dir):
     return sampling.sample(T(spark, sf_dir, "orders").select("o_orderkey"), 0.15, seed=42)
 
 
+@query("m1_sample_share", """
+SELECT count(*)::BIGINT AS n, true AS within_bounds, 0::BIGINT AS strangers, true AS repeats FROM orders""")
+def m1s(spark, sf_dir):
+    # six deviations of a fair draw; all drawn rows are the table's; the same seed draws the same rows
+    rows = T(spark, sf_dir, "orders").select("o_orderkey")
+    drawn = sampling.sample(rows, 0.15, seed=42)
+    again = sampling.sample(rows, 0.15, seed=42).agg(F.count(F.lit(1)).alias("k2"), F.sum(F.xxhash64("o_orderkey").cast("decimal(38,0)")).alias("h2"))
+    one = drawn.agg(F.count(F.lit(1)).alias("k"), F.sum(F.xxhash64("o_orderkey").cast("decimal(38,0)")).alias("h"))
+    strangers = drawn.join(rows, "o_orderkey", "left_anti").agg(F.count(F.lit(1)).alias("strangers"))
+    total = rows.agg(F.count(F.lit(1)).alias("n"))
+    every = reduce(lambda a, b: a.withColumn("_1", F.lit(1)).join(b.withColumn("_1", F.lit(1)), "_1").drop("_1"), [total, one, again, strangers])
+    bound = F.abs(F.col("k") - 0.15 * F.col("n")) <= 6 * F.sqrt(0.15 * 0.85 * F.col("n"))
+    return every.select("n", bound.alias("within_bounds"), "strangers", ((F.col("k") == F.col("k2")) & (F.col("h") == F.col("h2"))).alias("repeats"))
+
+
 @query("m2_hash_sample", f"""
 SELECT o_orderkey, o_totalprice FROM orders WHERE {hsql('o_orderkey', 42)} < {threshold(0.15)}""")
 def m2(spark, sf_dir):
@@ -889,6 +934,32 @@ def f2(spark, sf_dir):
     return out.select("p_partkey", "idx_p_brand", "idx_p_type", "idx_p_size")
 
 
+@query("f2_dictionary", """
+WITH k AS (SELECT l_orderkey || '-' || l_linenumber AS key, CAST(l_partkey AS VARCHAR) AS part, l_orderkey, l_linenumber::BIGINT AS l_linenumber FROM lineitem),
+rk AS (SELECT key, (row_number() OVER (ORDER BY count(*) DESC, key) - 1)::DOUBLE AS i FROM k GROUP BY 1),
+rp AS (SELECT part, (row_number() OVER (ORDER BY count(*) DESC, part) - 1)::DOUBLE AS i FROM k GROUP BY 1)
+SELECT l_orderkey, l_linenumber, rk.i AS idx_key, rp.i AS idx_part FROM k JOIN rk USING (key) JOIN rp USING (part)""")
+def f2d(spark, sf_dir):
+    # a column with as many values as rows: no label reaches the driver
+    li = T(spark, sf_dir, "lineitem").select(
+        "l_orderkey", F.col("l_linenumber").cast("long").alias("l_linenumber"), F.col("l_partkey").cast("string").alias("part"),
+        F.concat_ws("-", "l_orderkey", "l_linenumber").alias("key"))
+    return features.encode(li, ["key", "part"]).select("l_orderkey", "l_linenumber", "idx_key", "idx_part")
+
+
+@query("f2_dictionary_unseen", """
+WITH d AS (SELECT o_clerk_code AS value, (row_number() OVER (ORDER BY count(*) DESC, o_clerk_code) - 1)::DOUBLE AS i
+           FROM (SELECT CAST(o_custkey % 977 AS VARCHAR) AS o_clerk_code FROM orders WHERE o_orderkey % 2 = 0) GROUP BY 1)
+SELECT o_orderkey, coalesce(d.i, (SELECT count(*) FROM d)::DOUBLE) AS idx_code
+FROM (SELECT o_orderkey, CASE WHEN o_orderkey % 5 <> 0 THEN CAST(o_custkey % 1009 AS VARCHAR) END AS code FROM orders) o LEFT JOIN d ON d.value = o.code""")
+def f2u(spark, sf_dir):
+    # a dictionary of other rows: unseen codes and NULL get the code after the last
+    o = T(spark, sf_dir, "orders")
+    known = features.dictionary(o.filter("o_orderkey % 2 = 0").select((F.col("o_custkey") % 977).cast("string").alias("code")), "code")
+    rows = o.select("o_orderkey", F.when(F.col("o_orderkey") % 5 != 0, (F.col("o_custkey") % 1009).cast("string")).alias("code"))
+    return features.encode(rows, "code", {"code": known}).select("o_orderkey", "idx_code")
+
+
 _FLAG_RANK = """
 flag_rank AS (
   SELECT l_returnflag, (row_number() OVER (ORDER BY count(*) DESC, l_returnflag) - 1) AS idx,
@@ -1223,6 +1294,39 @@ def l9(spark, sf_dir):
     return models.score(model, test).select("o_orderkey", "label", F.col("prediction").isin(0.0, 1.0).alias("scored"))
 
 
+def _unlabelled(spark, sf_dir):
+    """A model of the even orders, and the odd ones as a file to score: no label, other priorities, missing numbers."""
+    df = standins.churn_orders_frame(spark, sf_dir)
+    old = df.filter("o_orderkey % 2 = 0").withColumn("late", (F.col("totalprice") > 100000).cast("double"))
+    est = models.estimator("tree", maxDepth=1, impurity="gini")
+    roles = columns.Roles(categorical=("o_orderpriority",), numeric=("late",), label="churn")
+    model = models.fit(models.build_pipeline(roles, est, encode="index", label_source="churn"), old)
+    late = F.when(F.col("o_orderkey") % 11 != 0, (F.col("totalprice") > 100000).cast("double")).alias("late")
+    new = df.filter("o_orderkey % 2 = 1").select("o_orderkey", F.when(F.col("o_orderkey") % 7 == 0, "9-NEW").when(F.col("o_orderkey") % 13 != 0, F.col("o_orderpriority")).alias("o_orderpriority"), late)
+    return model, new
+
+
+@query("l9_drift_report", """
+WITH n AS (SELECT o_orderkey AS k FROM orders WHERE o_orderkey % 2 = 1)
+SELECT 'o_orderpriority' AS column_name, 'category' AS kind, count(*)::BIGINT AS n_rows,
+       count(*) FILTER (k % 7 <> 0 AND k % 13 = 0)::BIGINT AS n_null, count(*) FILTER (k % 7 = 0)::BIGINT AS n_unseen FROM n
+UNION ALL SELECT 'late', 'number', count(*)::BIGINT, count(*) FILTER (k % 11 = 0)::BIGINT, 0::BIGINT FROM n""")
+def l9d(spark, sf_dir):
+    return models.drift_report(*_unlabelled(spark, sf_dir))
+
+
+@query("l9_score_unlabelled", f"""
+WITH {_SPLIT_CTE.strip()}, g AS (SELECT x, CASE WHEN avg(y) > 0.5 THEN 1.0 ELSE 0.0 END::DOUBLE AS prediction FROM t WHERE l_linenumber <= 3 GROUP BY x)
+SELECT l_orderkey, l_linenumber, prediction FROM t JOIN g USING (x) WHERE l_linenumber > 3""")
+def l9u(spark, sf_dir):
+    # the label is text that the pipeline indexes; the rows to score have none
+    df = _split_frame(spark, sf_dir).withColumn("label_text", F.when(F.col("y") == 1.0, "yes").otherwise("no")).drop("features", "y")
+    roles = columns.Roles(numeric=("x",), label="label_text")
+    model = models.fit(models.build_pipeline(roles, models.estimator("tree", maxDepth=1), encode="none", label_source="label_text"), df.filter("l_linenumber <= 3"))
+    rows = df.filter("l_linenumber > 3").drop("label_text")
+    return models.score(models.label_free(model), rows).select("l_orderkey", "l_linenumber", "prediction")
+
+
 def _fold_rmse(fold: int, where: str, slope: str, intercept: str) -> str:
     return (f"SELECT sqrt(avg(power(v.y - (m.a + m.b * v.x), 2))) AS rmse FROM f v, "
             f"(SELECT {slope} AS b, {intercept} AS a FROM f WHERE fold <> {fold}) m WHERE v.fold = {fold}{where}")
@@ -1306,3 +1410,34 @@ def l14(spark, sf_dir):
         est = models.estimator("rf_cls")
         fitted["rf_cls"] = models.fit(models.build_pipeline(standins.CHURN_ORDERS_ROLES, est, encode="index", label_source="churn"), held)
     return jobs.leaderboard(fitted, test)
+
+
+# Fixed rules in place of fitted models: SQL gives their scores.
+_RULES = {"dear": ("o_totalprice", "o_totalprice > 150000"), "old": ("-year(o_orderdate)", "year(o_orderdate) < 1995"),
+          "urgent": ("CASE WHEN o_orderpriority LIKE '1%' THEN 1 ELSE 0 END", "o_orderpriority LIKE '1%'")}
+_RULE_ROWS = " UNION ALL ".join(
+    f"SELECT '{n}' AS model, CASE WHEN o_orderstatus = 'F' THEN 1.0 ELSE 0.0 END::DOUBLE AS y, CASE WHEN {p} THEN 1.0 ELSE 0.0 END::DOUBLE AS p, ({s})::DOUBLE AS s FROM orders" for n, (s, p) in _RULES.items())
+_BOARD_METRICS = ("accuracy", "error_rate", "auc_hard", "auc_swapped", "auc_score", "auc_pr")
+
+
+@query("l14_fixed_rules", f"""
+WITH t AS ({_RULE_ROWS}),
+cells AS (SELECT model, sum(y * p) AS tp, sum((1 - y) * p) AS fp, sum((1 - y) * (1 - p)) AS tn, sum(y * (1 - p)) AS fn FROM t GROUP BY model),
+g AS (SELECT model, s, sum(y) AS pos, sum(1 - y) AS neg FROM t GROUP BY model, s),
+c AS (SELECT *, sum(pos) OVER (PARTITION BY model ORDER BY s DESC) AS tp, sum(neg) OVER (PARTITION BY model ORDER BY s DESC) AS fp,
+             sum(pos) OVER (PARTITION BY model) AS p, sum(neg) OVER (PARTITION BY model) AS n FROM g),
+areas AS (SELECT model, sum(pos * (n - fp + neg / 2)) / (max(p) * max(n)) AS auc_score,
+                 sum(pos / p * (tp / (tp + fp) + CASE WHEN tp - pos + fp - neg > 0 THEN (tp - pos) / (tp - pos + fp - neg) ELSE tp / (tp + fp) END) / 2) AS auc_pr
+          FROM c GROUP BY model),
+wide AS (SELECT model, (tp + tn) / (tp + fp + tn + fn) AS accuracy, 1 - (tp + tn) / (tp + fp + tn + fn) AS error_rate,
+                (tp / (tp + fn) + tn / (tn + fp)) / 2 AS auc_hard, (tp / (tp + fp) + tn / (tn + fn)) / 2 AS auc_swapped, auc_score, auc_pr
+         FROM cells JOIN areas USING (model)),
+l AS ({" UNION ALL ".join(f"SELECT model, '{m}' AS metric, {m} AS value FROM wide" for m in _BOARD_METRICS)})
+SELECT 'rules' AS run, model, metric, round(value, 6) AS value,
+       row_number() OVER (PARTITION BY metric ORDER BY CASE WHEN metric = 'error_rate' THEN value ELSE -value END NULLS LAST, model)::INTEGER AS rank FROM l""")
+def l14r(spark, sf_dir):
+    o = T(spark, sf_dir, "orders")
+    each = F.array(*[F.struct(F.lit(n).alias("model"), F.expr(f"CASE WHEN {p} THEN 1.0D ELSE 0.0D END").alias("prediction"), F.expr(f"CAST({s} AS DOUBLE)").alias("score"))
+                     for n, (s, p) in _RULES.items()])
+    rows = o.select((F.col("o_orderstatus") == "F").cast("double").alias("label"), F.explode(each).alias("m")).select("label", "m.*")
+    return jobs.ranked_metrics(rows, run="rules").withColumn("value", r("value"))

@@ -23,7 +23,9 @@ def test_rows_only_query_invariants(spark, name):
     df = entry.queries()[name](spark, SF_SMALL)
     rows = df.collect()
     if name.startswith("s9_"):
-        assert len(rows) == 14 and all(r.length > 0 for r in rows)
+        import os
+        sizes = {f: os.path.getsize(f"{SF_SMALL}/{f}") for f in os.listdir(SF_SMALL)}
+        assert len(rows) == 14 and {os.path.basename(r.path): r.length for r in rows} == sizes
     elif name.startswith("s11_"):
         assert rows and all(r.same for r in rows)
     elif name.startswith("m1_"):
@@ -38,6 +40,9 @@ def test_rows_only_query_invariants(spark, name):
         assert {r.param for r in rows} >= {"regParam", "elasticNetParam", "fitIntercept"}
     elif name == "l7_l9_pipeline_fit_score":
         assert rows and {r.prediction for r in rows} <= {0.0, 1.0}
+    elif name == "l14_leaderboard":
+        assert set(df.columns) == {"run", "model", "metric", "value", "rank"} and len(rows) == 4 * 6
+        assert all(sorted(r["rank"] for r in rows if r.metric == m) == [1, 2, 3, 4] for m in {r.metric for r in rows})
     else:  # long-form metrics
         assert rows and set(df.columns) == {"run", "model", "metric", "value"}
         assert all(r.value is None or math.isfinite(r.value) for r in rows)
