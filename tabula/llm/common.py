@@ -14,7 +14,7 @@ from typing import NamedTuple
 import numpy as np
 import pyarrow as pa
 from pyspark.ml.feature import Bucketizer
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
@@ -163,22 +163,44 @@ def count_words(text: pa.Array) -> np.ndarray:
     return np.diff(word_spans(text, hashes=False).first)
 
 
-def chunked(docs: DataFrame, chunk_bytes: int) -> tuple[DataFrame, int]:
-    """Deal documents into chunks of consecutive integer ids with about ``chunk_bytes`` of text each.
+#: Chunks of a table; beyond so many, chunks grow instead, so the border table on the driver stays bounded.
+MOST_CHUNKS = 1 << 20
+
 
-    Returns (chunk, doc_id, text) and the size of all text.  Chunks are
-    numbered in the order of the ids; rows without an id are in the first.
-    The borders are quantiles of the ids: a few numbers a chunk on the driver.
+def chunked(docs: DataFrame, chunk_bytes: int) -> tuple[DataFrame, int]:
+    """Deal documents into chunks of consecutive ids with about ``chunk_bytes`` of text each.
+
+    Returns (chunk, doc_id, text) and the size of all text.  Ids are numbers;
+    chunks are numbered in their order, from 0.  A chunk is less than one
+    document larger than asked for, whatever the lengths: the bytes of every id
+    are range-partitioned and added up, and the ids at which running sums pass
+    a multiple of ``chunk_bytes`` are the borders.  Rows without an id are dealt
+    by content and place into chunks of that size, numbered downwards from -1.
     """
-    rows, size = docs.agg(F.count("doc_id"), F.sum(F.octet_length("text"))).first()
-    chunks = max(1, -(-(size or 0) // chunk_bytes))
-    ends: list[int] = []
-    if chunks > 1 and rows:
-        at = F.array(*[F.lit(i / chunks) for i in range(1, chunks)])
-        ends = sorted(set(docs.select(F.percentile_approx("doc_id", at, 100 * chunks)).first()[0]))
-
-    # a binary search in the JVM; ids as doubles keep their order
-    splits = sorted({-math.inf, *map(float, ends), math.inf})
-    known = F.coalesce(F.col("doc_id").cast("double"), F.lit(-math.inf))
-    placed = Bucketizer(splits=splits, inputCol="_id", outputCol="_chunk").transform(docs.select("doc_id", "text", known.alias("_id"))) if len(splits) > 2 else docs.withColumn("_chunk", F.lit(0))
-    return placed.select(F.col("_chunk").cast("long").alias("chunk"), "doc_id", "text"), size or 0
+    if docs.schema["doc_id"].dataType.typeName() not in ("byte", "short", "integer", "long", "float", "double", "decimal", "void"):
+        raise TypeError("ids must be numbers")
+    narrow = docs.select("doc_id", "text")
+    size, lone = F.coalesce(F.octet_length("text"), F.lit(0)).cast("long"), F.col("doc_id").isNull()
+    known, unknown = narrow.agg(F.sum(F.when(~lone, size)), F.sum(F.when(lone, size))).first()
+    known, unknown = known or 0, unknown or 0
+    chunk_bytes = max(chunk_bytes, -(-known // MOST_CHUNKS))
+    borders: list = []
+    if known > chunk_bytes:
+        by_id = narrow.filter(~lone).groupBy("doc_id").agg(F.sum(size).alias("size"))
+        parted = write_scratch(by_id.repartitionByRange("doc_id").withColumn("part", F.spark_partition_id()), "chunk-sizes")
+        parts = parted.groupBy("part").agg(F.sum("size").alias("whole"))
+        ahead = F.sum("whole").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1))  # one row a part
+        inside = F.sum("size").over(Window.partitionBy("part").orderBy("doc_id").rowsBetween(Window.unboundedPreceding, -1))
+        running = parted.withColumn("inside", F.coalesce(inside, F.lit(0))).join(parts.select("part", F.coalesce(ahead, F.lit(0)).alias("ahead")), "part")
+        chunk = F.floor((F.col("ahead") + F.col("inside")) / chunk_bytes)
+        borders = sorted(r[0] for r in running.groupBy(chunk.alias("chunk")).agg(F.min("doc_id")).select("min(doc_id)").collect())
+
+    # a binary search in the JVM; distances from the first id are doubles, which keep their order
+    first = borders[0] if borders else 0
+    splits = sorted({-math.inf, *(float(b - first) for b in borders[1:]), math.inf})
+    whole = isinstance(first, int)
+    distance = (F.col("doc_id").cast("decimal(20,0)") - F.lit(first).cast("decimal(20,0)")).cast("double") if whole else F.col("doc_id").cast("double") - F.lit(float(first))
+    numbered = narrow.withColumn("_id", F.coalesce(distance, F.lit(0.0)))
+    placed = Bucketizer(splits=splits, inputCol="_id", outputCol="_chunk").transform(numbered) if len(splits) > 2 else numbered.withColumn("_chunk", F.lit(0))
+    spread = F.pmod(F.xxhash64("text", F.monotonically_increasing_id()), F.lit(max(1, -(-unknown // chunk_bytes))))
+    return placed.select(F.when(lone, -1 - spread).otherwise(F.col("_chunk").cast("long")).alias("chunk"), "doc_id", "text"), known + unknown

@@ -7,7 +7,10 @@ chunk sends each distinct hash once, sorted and packed, to the bucket of its
 leading bits; a bucket tells the chunks which of their hashes an earlier chunk
 has too.  However often a window repeats, a bucket sees it once per chunk.
 Chunks and buckets hold a bounded amount each and their number grows with the
-input.
+input.  A chunk sends at most 2**FAN_BITS messages: with more buckets than
+that, messages go through relays, each of which takes the messages of that
+many chunks for one range of hashes and sends them on by finer ranges.  So the
+messages grow with the input, not with chunks times buckets.
 
 Two different windows have equal hashes with a chance of 2**-64 per pair:
 about 1e-3 such pairs are expected for 2e8 windows.
@@ -15,7 +18,8 @@ about 1e-3 such pairs are expected for 2e8 windows.
 Defined results: null and empty texts have no words; rows that share a
 ``doc_id`` are one document to each other (neither removes from the other);
 rows without ``doc_id`` neither remove nor lose words; texts under ``width``
-words keep them all; an empty table gives no rows.
+words keep them all; an empty table gives no rows; ids that are no numbers
+raise.
 """
 
 from __future__ import annotations
@@ -35,6 +39,8 @@ _WINDOW_INVERSE = pow(_WINDOW_BASE, -1, 1 << 64)
 
 CHUNK_BYTES = 16 << 20
 BUCKET_WINDOWS = 1 << 20
+#: Messages of a chunk or relay, as a power of two.
+FAN_BITS = 10
 
 
 def window_hashes(words: np.ndarray, width: int) -> np.ndarray:
@@ -83,31 +89,60 @@ def _text(rows: pa.Table) -> pa.Array:
     return whole.chunk(0) if isinstance(whole, pa.ChunkedArray) else whole
 
 
-def remove_repeats(docs: DataFrame, width: int = 50, chunk_bytes: int = CHUNK_BYTES, bucket_windows: int = BUCKET_WINDOWS) -> DataFrame:
+def exchange_levels(size: int, bucket_windows: int = BUCKET_WINDOWS, fan_bits: int = FAN_BITS) -> list[int]:
+    """Bits of a hash that name its range after each exchange, for ``size`` bytes of text; the last are the buckets."""
+    bits = (max(1, -(-size // (6 * bucket_windows))) - 1).bit_length()
+    return [min(bits, k * fan_bits) for k in range(1, max(1, -(-bits // fan_bits)) + 1)]
+
+
+def _messages(hashes: np.ndarray, chunks: np.ndarray, bits: int, group: int) -> pa.Table:
+    """One row for every range of ``bits`` that sorted ``hashes`` fall into; ``chunks`` is one number or one a hash."""
+    ranges = (hashes >> U64(64 - bits)) if bits else np.zeros(len(hashes), U64)
+    starts = np.concatenate([[0], np.flatnonzero(ranges[1:] != ranges[:-1]) + 1]).astype(np.int64)[: len(hashes)]
+    ends = np.append(starts[1:], len(hashes)).astype(np.int64)[: len(starts)]
+    of = [chunks[a:b] if len(chunks) > 1 else chunks for a, b in zip(starts, ends, strict=True)]
+    return pa.table({"bucket": pa.array(ranges[starts].astype(np.int64)), "grp": pa.array(np.full(len(starts), group)),
+                     "chunks": pa.array([x.astype("<u4").tobytes() for x in of], pa.binary()),
+                     "hashes": pa.array([pack_sorted(hashes[a:b]) for a, b in zip(starts, ends, strict=True)], pa.binary())})
+
+
+def _received(rows: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes in order and the chunk of each; of equal hashes the earliest chunk's first."""
+    parts = [unpack_sorted(x) for x in rows.column("hashes").to_pylist()]
+    chunks = [np.frombuffer(x, "<u4") for x in rows.column("chunks").to_pylist()]
+    chunks = np.concatenate([np.broadcast_to(c, len(p)) if len(c) == 1 else c for c, p in zip(chunks, parts, strict=True)])
+    hashes = np.concatenate(parts)
+    order = np.lexsort((chunks, hashes))
+    return hashes[order], chunks[order].astype(np.int64)
+
+
+def remove_repeats(docs: DataFrame, width: int = 50, chunk_bytes: int = CHUNK_BYTES, bucket_windows: int = BUCKET_WINDOWS, fan_bits: int = FAN_BITS) -> DataFrame:
     """(doc_id, n_words, n_removed, kept_text) of every row: words that no repeated window covers."""
     kind = docs.schema["doc_id"].dataType.simpleString()
     placed, size = chunked(docs, chunk_bytes)
-    buckets = max(1, -(-size // (6 * bucket_windows)))
+    levels = exchange_levels(size, bucket_windows, fan_bits)
 
     def send(rows: pa.Table) -> pa.Table:
         chunk = rows.column("chunk")[0].as_py()
-        rows = rows.filter(pc.is_valid(rows.column("doc_id")))
-        hashes = np.unique(_chunk_windows(_text(rows), width)[0]) if rows.num_rows else np.zeros(0, U64)
-        cuts = np.searchsorted(hashes, _bucket_starts(buckets))
-        parts = [(b, hashes[x:y]) for b, (x, y) in enumerate(zip(cuts, [*cuts[1:], len(hashes)], strict=True)) if x < y]
-        return pa.table({"bucket": pa.array([b for b, _ in parts], pa.int64()), "chunk": pa.array([chunk] * len(parts), pa.int64()), "hashes": pa.array([pack_sorted(x) for _, x in parts], pa.binary())})
+        known = chunk >= 0 and rows.num_rows
+        hashes = np.unique(_chunk_windows(_text(rows), width)[0]) if known else np.zeros(0, U64)
+        return _messages(hashes, np.array([max(chunk, 0)]), levels[0], max(chunk, 0) >> fan_bits)
+
+    def relay(bits: int):
+        def run(rows: pa.Table) -> pa.Table:
+            hashes, chunks = _received(rows)
+            return _messages(hashes, chunks, bits, rows.column("grp")[0].as_py() >> fan_bits)
+
+        return run
 
     def answer(rows: pa.Table) -> pa.Table:
-        rows = rows.take(pc.sort_indices(rows, [("chunk", "ascending")]))
-        chunk = rows.column("chunk").to_pylist()
-        parts = [unpack_sorted(x) for x in rows.column("hashes").to_pylist()]
-        sizes = np.array([len(x) for x in parts])
-        whole = np.concatenate(parts)
-        order = np.argsort(whole, kind="stable")  # of equal hashes, the earliest chunk's first
-        again = np.zeros(len(whole), bool)
-        again[order[1:]] = whole[order[1:]] == whole[order[:-1]]
-        found = [(c, x[m]) for c, x, m in zip(chunk, parts, np.split(again, np.cumsum(sizes)[:-1]), strict=True) if m.any()]
-        return pa.table({"chunk": pa.array([c for c, _ in found], pa.int64()), "hashes": pa.array([pack_sorted(x) for _, x in found], pa.binary())})
+        hashes, chunks = _received(rows)
+        again = np.flatnonzero(hashes[1:] == hashes[:-1]) + 1
+        order = again[np.lexsort((hashes[again], chunks[again]))]
+        owner = chunks[order]
+        starts = np.flatnonzero(np.diff(owner, prepend=-1))
+        parts = np.split(hashes[order], starts[1:]) if len(starts) else []
+        return pa.table({"chunk": pa.array(owner[starts]), "hashes": pa.array([pack_sorted(x) for x in parts], pa.binary())})
 
     def apply(docs_: pa.Table, replies: pa.Table) -> pa.Table:
         docs_ = _ordered(docs_)
@@ -145,15 +180,14 @@ def remove_repeats(docs: DataFrame, width: int = 50, chunk_bytes: int = CHUNK_BY
             out_text.append(b" ".join(words))
         return pa.table({"doc_id": docs_.column("doc_id").combine_chunks(), "n_words": pa.array(n_words), "n_removed": pa.array(out_removed, pa.int64()), "kept_text": pa.array(out_text, pa.binary())})
 
-    sent = placed.groupBy("chunk").applyInArrow(send, "bucket long, chunk long, hashes binary")
+    message = "bucket long, grp long, chunks binary, hashes binary"
+    sent = placed.groupBy("chunk").applyInArrow(send, message)
+    for bits in levels[1:]:
+        sent = sent.groupBy("bucket", "grp").applyInArrow(relay(bits), message)
     replies = sent.groupBy("bucket").applyInArrow(answer, "chunk long, hashes binary")
     return placed.groupBy("chunk").cogroup(replies.groupBy("chunk")).applyInArrow(apply, f"doc_id {kind}, n_words long, n_removed long, kept_text binary")
 
 
-def _bucket_starts(buckets: int) -> np.ndarray:
-    return np.array([b * (1 << 64) // buckets for b in range(buckets)], dtype=U64)
-
-
 def report(docs: DataFrame, width: int = 50) -> DataFrame:
     """The query's columns: counts and the digest of the kept words."""
     kept = remove_repeats(docs, width)
