@@ -93,11 +93,12 @@ def _slots(hashed: np.ndarray) -> list[np.ndarray]:
 
 
 def train(rows: DataFrame, max_docs: int = MAX_DOCS, top: int = TOP) -> Model:
-    """Fit on (doc_id, text, lang); rows without text or lang teach nothing.
+    """Fit on (doc_id, text, lang); rows without id, text or lang teach nothing.
 
     Only the chosen n-grams, ``top`` a language, reach the driver.
     """
-    rows = rows.filter("text is not null and lang is not null")
+    # rows without id would be drawn together
+    rows = rows.filter("doc_id is not null and text is not null and lang is not null")
     sizes = {r["lang"]: r["count"] for r in rows.groupBy("lang").count().collect()}
     # a share of each language's rows by a hash of the id: no shuffle, and no task that gathers a language
     shares = F.create_map(*[x for lang, n in sizes.items() for x in (F.lit(lang), F.lit(min(1.0, max_docs / n)))]) if sizes else None
