@@ -168,3 +168,47 @@ def resampled(docs, target, n, buckets, least, percent, seed):
     for place, r in enumerate(order[:len(order) * percent // 100], 1):
         r[4] = place
     return [tuple(r[:5]) for r in out]
+
+
+def language(text, model):
+    """(language, score) by one look-up a trigram, language and hash in plain integers; ``model`` as langid fits it."""
+    from tabula.llm import langid
+
+    text = (text or "").replace("\0", " ").lower()
+    if not any(c.isalpha() for c in text) or not model.langs:
+        return "und", 0.0
+    code = [0, *(ord(c) if c.isalpha() else 0 for c in text), 0]
+    found = [code[i:i + 3] for i in range(len(code) - 2) if all(code[i + j] or code[i + j + 1] for j in range(2))]
+    hits = Counter()
+    for gram in found:
+        h, base = 0, 1
+        for c in gram:
+            h, base = (h + c * base) % 2**64, base * langid._GRAM_BASE % 2**64
+        for shift, factor in ((30, 0xBF58476D1CE4E5B9), (27, 0x94D049BB133111EB)):
+            h = (h ^ h >> shift) * factor % 2**64
+        h ^= h >> 31
+        slots = [h >> langid.SLOT_BITS * k & (1 << langid.SLOT_BITS) - 1 for k in range(langid.HASHES)]
+        for k in range(len(model.langs)):
+            hits[k] += all(int(model.planes[k // 64][s]) >> k % 64 & 1 for s in slots)
+    share = [min(1.0, max(0.0, (hits[k] / max(len(found), 1) - p) / (1 - p))) for k, p in enumerate(model.false_positive)]
+    best = max(range(len(share)), key=lambda k: (share[k], -k))
+    return model.langs[best if share[best] > 0 else model.default], share[best]
+
+
+def fewest_bins(lengths, capacity):
+    """The least number of bins, by trying all ways to place the items."""
+    best = [len(lengths)]
+
+    def place(i, bins):
+        if len(bins) >= best[0]:
+            return
+        if i == len(lengths):
+            best[0] = len(bins)
+            return
+        for k in range(len(bins)):
+            if bins[k] + lengths[i] <= capacity:
+                place(i + 1, bins[:k] + [bins[k] + lengths[i]] + bins[k + 1:])
+        place(i + 1, [*bins, lengths[i]])
+
+    place(0, [])
+    return best[0]
