@@ -2,15 +2,23 @@
 
 Three patterns find assignments, access keys and long hexadecimal runs.  Two
 first-order character models, one of random strings and one of ordinary
-identifiers, add what the patterns miss: a long run of key characters with
-both letters and digits is a secret if its log-likelihood ratio per
-transition exceeds a margin.  The ordinary model counts the transitions of
-every run of key characters that no pattern covers, in all documents, and of
-identifiers made of their words with digits and separators; the random one
-those of digests.  Chances are smoothed by a share of the count, so the ratio
-does not drift with the number of documents.  A fifth of the distinct
-identifiers and digests is kept aside and places the margin.  A model is a
-table over the alphabet, so its size is fixed.
+identifiers, add what the patterns miss: a run of 20 or more key characters
+outside their spans is a secret if its log-likelihood ratio per transition
+exceeds a margin.  Shorter runs are not judged.
+
+The random model counts the transitions of digests, whole, in base64, in upper
+case and in letters alone.  Documents carry no labels, so the ordinary model
+must not take the secrets in them for ordinary text.  It is fitted twice: first
+on the runs too short to be judged and on identifiers made of the documents'
+words with digits and separators; then also on those longer runs, of all
+documents, that the first fit does not call random.  Chances are smoothed by a
+share of the count, so the ratio does not drift with the number of documents.
+A fifth of the distinct identifiers and digests is kept aside and places the
+margin.  A model is a table over the alphabet, so its size is fixed.
+
+Work grows in proportion to a text and its matches: places are running sums
+over groups of ``GROUP`` matches, then over the groups, and a text is rebuilt
+from the pieces between spans, cut out of blocks of ``BLOCK`` characters.
 
 Defined results: null and empty texts have no spans; equal rows get equal
 results; spans count code points, end exclusive; an empty table gives no
@@ -48,6 +56,9 @@ KINDS = ["assign", "access", "hex", "markov"]
 ALPHABET = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789+/_-"
 _SIDE = len(ALPHABET) + 1  # place 0: any other character
 
+#: Length from which runs are judged.
+LEAST = 20
+GROUP, BLOCK = 128, 1024
 RANDOM_STRINGS = 1500
 MARGIN = 0.4
 #: Share of a row's chances that all transitions have alike, and the least count for it.
@@ -56,6 +67,42 @@ ASIDE = 5
 _BUCKETS = 50
 
 
+def _once(value: Column, use) -> Column:
+    """``use(value)`` with the value computed once, however often it stands in there."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
+def _grouped(items: Column) -> Column:
+    """The items in arrays of ``GROUP``."""
+    last = F.floor((F.size(items) - 1) / GROUP).cast("int")
+    return F.when(F.size(items) > 0, F.transform(F.sequence(F.lit(0), last), lambda k: F.slice(items, k * GROUP + 1, GROUP))).otherwise(F.array_repeat(items, 0))
+
+
+def _running(items: Column, kind: str, step, emit) -> Column:
+    """One value an item, from an integer state that runs over all items: ``step(state, item)`` is
+    the next state, ``emit(state, item)`` the value, ``kind`` the values' type.
+
+    ``step`` must add to the state or take the greater of it and something, so
+    that a group's own end state, from zero, and the state before it make the
+    state after it, by the same operation.
+    """
+    none = F.expr(f"cast(array() as array<{kind}>)")
+    starts = F.expr("cast(array(0) as array<int>)")
+
+    def after(state: Column, group: Column) -> Column:
+        own = F.aggregate(group, F.element_at(state, -1), step)
+        return F.concat(state, F.array(own))
+
+    def walk(group: Column, start: Column) -> Column:
+        zero = F.struct(start.alias("at"), none.alias("out"))
+        return F.aggregate(group, zero, lambda s, x: F.struct(step(s["at"], x).alias("at"), F.concat(s["out"], F.array(emit(s["at"], x))).alias("out")), lambda s: s["out"])
+
+    def whole(groups: Column) -> Column:
+        return F.flatten(F.zip_with(groups, F.slice(F.aggregate(groups, starts, after), 1, F.size(groups)), walk))
+
+    return _once(_once(items, _grouped), whole)
+
+
 def _found(text: Column, pattern: str, kind: str) -> Column:
     """Leftmost non-overlapping matches as an array of (start, rank, end, kind, hit).
 
@@ -65,16 +112,39 @@ def _found(text: Column, pattern: str, kind: str) -> Column:
     hits = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
     between = F.split(text, pattern, -1)
     pairs = F.zip_with(F.slice(between, 1, F.size(hits)), hits, lambda gap, hit: F.struct(F.length(gap).alias("gap"), hit.alias("hit")))
-    empty = F.expr("cast(array() as array<struct<start:int,rank:int,end:int,kind:string,hit:string>>)")
+    span = "struct<start:int,rank:int,end:int,kind:string,hit:string>"
+
+    def place(at: Column, pair: Column) -> Column:
+        start = at + pair["gap"]
+        return F.struct(start.alias("start"), F.lit(KINDS.index(kind)).alias("rank"), (start + F.length(pair["hit"])).alias("end"), F.lit(kind).alias("kind"), pair["hit"].alias("hit"))
+
+    walked = _running(pairs, span, lambda at, pair: at + pair["gap"] + F.length(pair["hit"]), place)
+    return F.when(text.rlike(pattern), walked).otherwise(F.expr(f"cast(array() as array<{span}>)"))
+
+
+def replaced(text: Column, spans: Column, mark) -> Column:
+    """The text with what the spans cover replaced: ``mark(length)`` stands for the part of a span,
+    of that length, that no earlier one covers.  ``spans`` are in the order of their starts."""
+    def cut(blocks: Column, a: Column, b: Column) -> Column:
+        """Characters ``a`` to ``b`` of a text given in blocks."""
+        first, last = F.floor(a / BLOCK).cast("int"), F.floor((b - 1) / BLOCK).cast("int")
+        here = F.substring(F.get(blocks, first), a - first * BLOCK + 1, b - a)
+        inner = F.array_join(F.slice(blocks, first + 2, F.greatest(last - first - 1, F.lit(0))), "")
+        apart = F.concat(F.substring(F.get(blocks, first), a - first * BLOCK + 1, F.lit(BLOCK)), inner, F.substring(F.get(blocks, last), F.lit(1), b - last * BLOCK))
+        return F.when(b <= a, F.lit("")).when(first == last, here).otherwise(apart)
+
+    kind = "struct<at:int,start:int,end:int>"
+    marked = _running(spans, kind, lambda at, s: F.greatest(at, s["end"]), lambda at, s: F.struct(at.alias("at"), s["start"].alias("start"), s["end"].alias("end")))
 
-    def place(state: Column, pair: Column) -> Column:
-        start = state["at"] + pair["gap"]
-        end = start + F.length(pair["hit"])
-        span = F.struct(start.alias("start"), F.lit(KINDS.index(kind)).alias("rank"), end.alias("end"), F.lit(kind).alias("kind"), pair["hit"].alias("hit"))
-        return F.struct(end.alias("at"), F.concat(state["spans"], F.array(span)).alias("spans"))
+    def build(held: Column) -> Column:
+        blocks = held["blocks"]
+        pieces = F.transform(held["marked"], lambda s: F.when(s["end"] <= s["at"], F.lit("")).otherwise(
+            F.concat(cut(blocks, s["at"], s["start"]), mark(s["end"] - F.greatest(s["at"], s["start"]), s["start"] >= s["at"]))))
+        end = F.array_max(F.transform(held["marked"], lambda s: s["end"]))
+        return F.concat(F.array_join(pieces, ""), cut(blocks, end, held["size"]))
 
-    walked = F.aggregate(pairs, F.struct(F.lit(0).alias("at"), empty.alias("spans")), place, lambda state: state["spans"])
-    return F.when(text.rlike(pattern), walked).otherwise(empty)
+    held = F.struct(F.regexp_extract_all(text, F.lit(f"(?s).{{1,{BLOCK}}}"), F.lit(0)).alias("blocks"), marked.alias("marked"), F.length(text).alias("size"))
+    return F.when(F.size(spans) > 0, _once(held, build)).otherwise(text)
 
 
 def ordinary_runs(docs: DataFrame) -> DataFrame:
@@ -101,24 +171,27 @@ def _made(word: Column) -> Column:
 
 
 def labelled_samples(docs: DataFrame, strings: int = RANDOM_STRINGS) -> DataFrame:
-    """(text, n, is_random, aside) training samples.
+    """(text, n, is_random, judged, aside) training samples.
 
-    Random: digests in hexadecimal, base64 and upper-case letters and digits.
-    Ordinary: the runs of all documents, and for each that is a word an
-    identifier made of it.  ``aside`` marks a fifth of the distinct strings with
-    letters and digits.
+    Random: digests in hexadecimal, base64, upper-case letters and digits, and
+    letters alone.  Ordinary: the runs of all documents, and for each that is a
+    word an identifier made of it.  ``judged`` marks the documents' own runs that
+    are long enough to be secrets themselves; ``aside`` a fifth of the distinct
+    strings of that length.
     """
     spark = docs.sparkSession
     digest = F.sha2(F.concat(F.lit("sample-"), F.col("id").cast("string")), 256)
     code = F.base64(F.unhex(digest))
     random_ = spark.range(strings).select(F.explode(F.array(
         F.substring(digest, 1, 40), F.regexp_replace(code, "=", ""),
-        F.regexp_replace(F.upper(code), "[^A-Z0-9]", ""))).alias("text"), F.lit(1).cast("long").alias("n"), F.lit(True).alias("is_random"))
+        F.regexp_replace(F.upper(code), "[^A-Z0-9]", ""), F.regexp_replace(code, "[^A-Za-z]", ""),
+        F.regexp_replace(F.lower(code), "[^a-z]", ""))).alias("text"), F.lit(1).cast("long").alias("n"), F.lit(True).alias("is_random"), F.lit(False).alias("judged"))
     runs = ordinary_runs(docs)
-    made = F.when(F.col("text").rlike("^[A-Za-z]{3,}$"), F.array("text", _made(F.col("text")))).otherwise(F.array("text"))
-    ordinary = runs.select(F.explode(made).alias("text"), "n", F.lit(False).alias("is_random"))
-    mixed = F.col("text").rlike("[0-9]") & F.col("text").rlike("[A-Za-z]")
-    return random_.unionAll(ordinary).withColumn("aside", mixed & (F.pmod(unit_hash("text", seed=1), F.lit(ASIDE)) == 0))
+    own = F.struct(F.col("text"), (F.length("text") >= LEAST).alias("judged"))
+    made = F.struct(_made(F.col("text")).alias("text"), F.lit(False).alias("judged"))
+    forms = F.when(F.col("text").rlike(f"^[A-Za-z]{{3,{LEAST - 1}}}$"), F.array(own, made)).otherwise(F.array(own))
+    ordinary = runs.select(F.explode(forms).alias("x"), "n").select("x.text", "n", F.lit(False).alias("is_random"), "x.judged")
+    return random_.unionAll(ordinary).withColumn("aside", (F.length("text") >= LEAST) & (F.pmod(unit_hash("text", seed=1), F.lit(ASIDE)) == 0))
 
 
 def _log_ratio(counts: dict[bool, list[float]], smoothing: float) -> list[float]:
@@ -133,11 +206,8 @@ def _log_ratio(counts: dict[bool, list[float]], smoothing: float) -> list[float]
     return out
 
 
-def train(samples: DataFrame, smoothing: float = 1.0) -> list[float] | None:
-    """Log ratio of the two models' transition chances, row by row; None without samples of either label.
-
-    Only the counts of the alphabet's transitions and a histogram, fixed numbers, reach the driver.
-    """
+def _transitions(samples: DataFrame) -> dict:
+    """Counts of the alphabet's transitions by (is_random, aside): fixed numbers, whatever the samples."""
     places = F.transform(F.split(F.col("text"), ""), lambda c: F.instr(F.lit(ALPHABET), c))
     placed = samples.filter(F.length("text") > 1).select("is_random", "aside", "n", places.alias("places"))
     after = F.slice("places", 2, F.size("places") - 1)
@@ -145,25 +215,42 @@ def train(samples: DataFrame, smoothing: float = 1.0) -> list[float] | None:
     steps = F.zip_with("places", after, lambda a, b: a * _SIDE + b)
     counted = (placed.select("is_random", "aside", "n", F.explode(steps).alias("step")).filter("step is not null")
                .groupBy("is_random", "aside", "step").agg(F.sum("n").alias("n")).collect())
-    if len({row["is_random"] for row in counted}) < 2:
-        return None
+    return {(row["is_random"], row["aside"], row["step"]): row["n"] for row in counted}
+
+
+def _fitted(counted: dict, samples: DataFrame, smoothing: float) -> list[float]:
     kept, whole = ({kind: [0.0] * _SIDE ** 2 for kind in (True, False)} for _ in range(2))
-    for row in counted:
-        whole[row["is_random"]][row["step"]] += row["n"]
-        if not row["aside"]:
-            kept[row["is_random"]][row["step"]] += row["n"]
+    for (is_random, aside, step), n in counted.items():
+        whole[is_random][step] += n
+        if not aside:
+            kept[is_random][step] += n
     lift = MARGIN - calibrated(samples, _log_ratio(kept, smoothing))
     return [x + lift for x in _log_ratio(whole, smoothing)]
 
 
-def calibrated(samples: DataFrame, model: list[float]) -> float:
-    """The ratio that best parts the ordinary and the random strings kept aside: least sum of both
-    shares on the wrong side, the middle of equals; the fixed margin without strings of either.
+def train(samples: DataFrame, smoothing: float = 1.0) -> list[float] | None:
+    """Log ratio of the two models' transition chances, row by row; None without samples of either label.
 
-    Secrets among the ordinary ones are a share that no ratio under theirs changes.
+    Runs that may be secrets (``judged``) teach the ordinary model only where a
+    first fit without them calls them ordinary.  Only the counts of the
+    alphabet's transitions and histograms, fixed numbers, reach the driver.
     """
+    sure = samples.filter("is_random OR NOT judged")
+    counted = _transitions(sure)
+    if len({is_random for is_random, _, _ in counted}) < 2:
+        return None
+    first = _fitted(counted, sure, smoothing)
+    more = samples.filter("judged AND NOT is_random").filter(ratio(F.col("text"), first) <= MARGIN)
+    for key, n in _transitions(more).items():
+        counted[key] = counted.get(key, 0) + n
+    return _fitted(counted, sure.unionAll(more), smoothing)
+
+
+def calibrated(samples: DataFrame, model: list[float]) -> float:
+    """The ratio that best parts the ordinary and the random strings kept aside: least sum of both
+    shares on the wrong side, the middle of equals; the fixed margin without strings of either."""
     bucket = F.floor(ratio(F.col("text"), model) * _BUCKETS).cast("int").alias("bucket")
-    judged = samples.filter(F.col("aside") & (F.length("text") >= 20))
+    judged = samples.filter("aside")
     found = judged.select("is_random", bucket).groupBy("is_random", "bucket").count().collect()
     total = {kind: sum(r["count"] for r in found if r["is_random"] == kind) for kind in (True, False)}
     if not all(total.values()):
@@ -195,9 +282,9 @@ def scan(docs: DataFrame, model: list[float] | None, text_col: str = "text", mar
     out = docs.withColumn("base_spans", base)
     if model is None:
         return out.withColumn("spans", F.col("base_spans"))
-    mixed = F.filter(_found(text, KEYLIKE, "markov"), lambda s: s["hit"].rlike("[0-9]") & s["hit"].rlike("[A-Za-z]"))
-    apart = F.filter(mixed, lambda s: ~F.exists(F.col("base_spans"), lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"])))
-    random_ = F.filter(apart, lambda s: ratio(s["hit"], model) > margin)
+    # what the patterns cover is blanked out, so what is left of a run is judged by itself
+    rest = replaced(text, F.col("base_spans"), lambda length, _: F.repeat(F.lit(" "), length))
+    random_ = F.filter(_found(rest, KEYLIKE, "markov"), lambda s: ratio(s["hit"], model) > margin)
     return out.withColumn("spans", F.array_sort(F.concat(F.col("base_spans"), random_)))
 
 
@@ -208,14 +295,7 @@ def listed(spans: Column) -> Column:
 
 def redact(text: Column, spans: Column, mark: str = "[SECRET]") -> Column:
     """The text with every span, overlapping ones together, replaced by ``mark``."""
-    def step(state: Column, span: Column) -> Column:
-        at, out = state["at"], state["out"]
-        fresh = F.concat(out, F.substring(text, at + 1, span["start"] - at), F.lit(mark))
-        return F.struct(F.greatest(at, span["end"]).alias("at"), F.when(span["start"] >= at, fresh).otherwise(out).alias("out"))
-
-    start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
-    rest = F.aggregate(spans, start, step, lambda s: F.concat(s["out"], F.substring(text, s["at"] + 1, F.length(text))))
-    return F.when(F.size(spans) > 0, rest).otherwise(text)
+    return replaced(text, spans, lambda _, fresh: F.when(fresh, F.lit(mark)).otherwise(F.lit("")))
 
 
 def model_for(docs: DataFrame) -> list[float] | None:
