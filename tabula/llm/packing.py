@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import slices, unit_hash, write_scratch
-from .tokens import default_vocabulary, tokenizer
+from .tokens import TOKEN_SLICE, default_vocabulary, tokenizer
 
 CAPACITY = 2048
 GROUP = 20_000
@@ -43,10 +43,13 @@ def pieces(docs: DataFrame, capacity: int = CAPACITY, end_id: int = 0, vocabular
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = tokenizer(vocabulary)
         for batch in batches:
-            for part in slices(batch, "text"):
+            for part in slices(batch, "text", TOKEN_SLICE):
                 rows, piece, start, length, crc = [], [], [], [], []
-                for row, text in enumerate(part.column("text")):
-                    ids = np.append(encoder.encode(text.as_py() or ""), end_id).astype("<u4")
+                flat, ends = encoder.encode_all(part.column("text"))
+                flat = np.insert(flat, ends[1:], end_id).astype("<u4")
+                ends = ends + np.arange(len(ends))
+                for row, (a, b) in enumerate(zip(ends[:-1].tolist(), ends[1:].tolist(), strict=True)):
+                    ids = flat[a:b]
                     for n, at in enumerate(range(0, len(ids), capacity)):
                         some = ids[at: at + capacity]
                         rows.append(row)

@@ -26,7 +26,7 @@ from pyspark.sql.types import LongType, StructField, StructType
 
 from . import rangecoder
 from .common import chunked, slices
-from .tokens import default_vocabulary, tokenizer
+from .tokens import TOKEN_SLICE, default_vocabulary, tokenizer
 
 FILE_BYTES = 16 << 20
 
@@ -37,11 +37,13 @@ def tokenized(placed: DataFrame, vocabulary: str, end_id: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = tokenizer(vocabulary)
-        end = np.array([end_id], encoder.dtype).tobytes()
         for batch in batches:
-            for part in slices(batch, "text"):
-                ids = [encoder.encode(x or "").tobytes() + end for x in part.column("text").to_pylist()]
-                yield pa.RecordBatch.from_arrays([part.column("chunk"), part.column("doc_id"), pa.array(ids, pa.binary())], ["chunk", "doc_id", "ids"])
+            for part in slices(batch, "text", TOKEN_SLICE):
+                ids, at = encoder.encode_all(part.column("text"))
+                ids = np.insert(ids, at[1:], end_id).astype(encoder.dtype, copy=False)
+                offsets = ((at + np.arange(len(at))) * encoder.dtype.itemsize).astype(np.int32)
+                packed = pa.Array.from_buffers(pa.binary(), part.num_rows, [None, pa.py_buffer(offsets), pa.py_buffer(np.ascontiguousarray(ids))])
+                yield pa.RecordBatch.from_arrays([part.column("chunk"), part.column("doc_id"), packed], ["chunk", "doc_id", "ids"])
 
     return placed.mapInArrow(run, f"chunk long, doc_id {kind}, ids binary")
 
