@@ -180,14 +180,15 @@ def chunked(docs: DataFrame, chunk_bytes: int) -> tuple[DataFrame, int]:
     if docs.schema["doc_id"].dataType.typeName() not in ("byte", "short", "integer", "long", "float", "double", "decimal", "void"):
         raise TypeError("ids must be numbers")
     narrow = docs.select("doc_id", "text")
-    size, lone = F.coalesce(F.octet_length("text"), F.lit(0)).cast("long"), F.col("doc_id").isNull()
-    known, unknown = narrow.agg(F.sum(F.when(~lone, size)), F.sum(F.when(lone, size))).first()
-    known, unknown = known or 0, unknown or 0
+    lone = F.col("doc_id").isNull()
+    size = F.sum(F.coalesce(F.octet_length("text"), F.lit(0)).cast("long")).alias("size")
+    # the bytes of every id, and of all rows without one
+    parted = write_scratch(narrow.groupBy("doc_id").agg(size).repartitionByRange("doc_id").withColumn("part", F.spark_partition_id()), "chunk-sizes")
+    known, unknown = (n or 0 for n in parted.agg(F.sum(F.when(~lone, F.col("size"))), F.sum(F.when(lone, F.col("size")))).first())
     chunk_bytes = max(chunk_bytes, -(-known // MOST_CHUNKS))
     borders: list = []
     if known > chunk_bytes:
-        by_id = narrow.filter(~lone).groupBy("doc_id").agg(F.sum(size).alias("size"))
-        parted = write_scratch(by_id.repartitionByRange("doc_id").withColumn("part", F.spark_partition_id()), "chunk-sizes")
+        parted = parted.filter(~lone)
         parts = parted.groupBy("part").agg(F.sum("size").alias("whole"))
         ahead = F.sum("whole").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1))  # one row a part
         inside = F.sum("size").over(Window.partitionBy("part").orderBy("doc_id").rowsBetween(Window.unboundedPreceding, -1))
@@ -198,8 +199,8 @@ def chunked(docs: DataFrame, chunk_bytes: int) -> tuple[DataFrame, int]:
     # a binary search in the JVM; distances from the first id are doubles, which keep their order
     first = borders[0] if borders else 0
     splits = sorted({-math.inf, *(float(b - first) for b in borders[1:]), math.inf})
-    whole = isinstance(first, int)
-    distance = (F.col("doc_id").cast("decimal(20,0)") - F.lit(first).cast("decimal(20,0)")).cast("double") if whole else F.col("doc_id").cast("double") - F.lit(float(first))
+    far = isinstance(first, int) and max(abs(first), abs(borders[-1]) if borders else 0) >= 1 << 52
+    distance = (F.col("doc_id").cast("decimal(20,0)") - F.lit(first).cast("decimal(20,0)")).cast("double") if far else F.col("doc_id").cast("double") - F.lit(float(first))
     numbered = narrow.withColumn("_id", F.coalesce(distance, F.lit(0.0)))
     placed = Bucketizer(splits=splits, inputCol="_id", outputCol="_chunk").transform(numbered) if len(splits) > 2 else numbered.withColumn("_chunk", F.lit(0))
     spread = F.pmod(F.xxhash64("text", F.monotonically_increasing_id()), F.lit(max(1, -(-unknown // chunk_bytes))))

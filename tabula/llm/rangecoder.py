@@ -222,12 +222,12 @@ def decode_blocks(parts: list[bytes], counts: list[int], prior: Prior) -> np.nda
             if not lanes:
                 break
             if step == turn or step == tail:
-                w0, w1, w2, w0_float = weights.w0, weights.w1, weights.w2, weights.w0.astype(float)
+                w0, w1, w2, w0_float, w12 = weights.w0, weights.w1, weights.w2, weights.w0.astype(float), weights.w1 + weights.w2
             one, two = one_of[slot1].astype(_I), two_of[slot2].astype(_I)
             scale = span >> MIX_BITS
             target = np.minimum((code / scale).astype(_I), most)
             from1, from2 = w0 * below[one] + w2 * (two < one), w0 * below[two] + w1 * (one < two)
-            both = (one == two) * (w1 + w2)
+            both = (one == two) * w12
             past1 = target - from1 - w0 * share[one] - np.maximum(w1, both)
             past2 = target - from2 - w0 * share[two] - np.maximum(w2, both)
             # outside the guesses' own stretches, the ids' shares are all that is left
@@ -235,8 +235,7 @@ def decode_blocks(parts: list[bytes], counts: list[int], prior: Prior) -> np.nda
             x = place[np.minimum((rest / w0_float).astype(_I), end)]
             # a target inside a guess's own stretch is that guess
             for guess, start, past in ((two, from2, past2), (one, from1, past1)):
-                inside = np.flatnonzero((target >= start) & (past < 0))
-                x[inside] = guess[inside]
+                x = np.where((target >= start) & (past < 0), guess, x)
             out[step, :lanes] = x
             hit1, hit2 = one == x, two == x
             hits[0, step - turn], hits[1, step - turn] = hit1, hit2
