@@ -410,7 +410,7 @@ def p11(spark, sf_dir):
 
 _BIKE_MAPPED_SQL = f"""
 WITH {BIKE_CTE.strip()},
-bike_prediction_table AS (
+demand_labels AS (
   SELECT instant,
          CASE season WHEN 1 THEN 'spring' WHEN 2 THEN 'summer' WHEN 3 THEN 'fall' ELSE 'winter' END AS season,
          yr, mnth, hr, weekday, workingday,
@@ -425,28 +425,32 @@ def _bike_mapped(spark, sf_dir):
     df = standins.bike_frame(spark, sf_dir).drop("dteday")
     df = columns.map_codes(df, "season", SEASON_CODES, SEASON_DEFAULT)
     df = columns.map_codes(df, "weathersit", WEATHER_CODES, WEATHER_DEFAULT)
-    return cat.register(df, "Bike_Prediction_Table")
+    return cat.register(df, "Demand_Labels")
+
+
+# The season and the wind speed that the demand workload's query asks for.
+_WINDY = ("summer", 0.4)
 
 
 @query("p10_bike_sql_where", f"""{_BIKE_MAPPED_SQL.strip()}
-SELECT * FROM bike_prediction_table WHERE season = 'summer' AND windspeed > 0.4""")
+SELECT * FROM demand_labels WHERE season = '{_WINDY[0]}' AND windspeed > {_WINDY[1]}""")
 def p10b(spark, sf_dir):
     _bike_mapped(spark, sf_dir)
-    return spark.sql("select * from bike_prediction_table where season='summer' and windspeed > 0.4")
+    season, wind = _WINDY
+    return spark.sql("SELECT * FROM demand_labels WHERE season = :season AND windspeed > :wind", args={"season": season, "wind": wind})
 
 
 @query("p7_bike_season_not_spring", f"""{_BIKE_MAPPED_SQL.strip()}
-SELECT * FROM bike_prediction_table WHERE season <> 'spring'""")
+SELECT * FROM demand_labels WHERE season <> 'spring'""")
 def p7b(spark, sf_dir):
     df = _bike_mapped(spark, sf_dir)
     return df.filter(df.season != "spring")
 
 
 @query("a4_bike_sql_season_max", f"""{_BIKE_MAPPED_SQL.strip()}
-SELECT season, max(cnt) AS max_cnt FROM bike_prediction_table GROUP BY season""")
+SELECT season, max(cnt) AS max_cnt FROM demand_labels GROUP BY season""")
 def a4b(spark, sf_dir):
-    _bike_mapped(spark, sf_dir)
-    return spark.sql("select season, max(cnt) AS max_cnt from bike_prediction_table group by season")
+    return spark.sql("SELECT season, max(cnt) AS max_cnt FROM {view} GROUP BY season", view=_bike_mapped(spark, sf_dir))
 
 
 # ================================================================ 2.3 cleaning
@@ -1278,6 +1282,12 @@ def l5(spark, sf_dir):
     return jobs.churn_classification(spark, sf_dir, "tree", frame="orders")
 
 
+@query("l5_tree_churn_by_hard_decision")
+def l5h(spark, sf_dir):
+    # the search selects by the area of the hard decision
+    return jobs.churn_classification(spark, sf_dir, "tree", frame="orders", select_by="prediction")
+
+
 @query("l6_rf_classifier_churn")
 def l6(spark, sf_dir):
     return jobs.churn_classification(spark, sf_dir, "rf_cls", frame="orders")
@@ -1353,6 +1363,55 @@ def l11c(spark, sf_dir):
     return models.cv_table(cv).select("combo", r("avg_metric", 3).alias("avg_metric"), "is_best")
 
 
+def _folded_split(spark, sf_dir):
+    """The split frame with folds and a label that the split tells something about (else Spark merges its equal sides)."""
+    li = T(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_linenumber", "l_extendedprice", (F.col("l_extendedprice") > 40000).cast("double").alias("x"),
+        F.when(F.col("l_extendedprice") + 1000 * F.col("l_quantity") > 60000, 1.0).otherwise(0.0).alias("y"))
+    return sampling.with_folds(li, ["l_orderkey", "l_linenumber"], 3, seed=7)
+
+
+_SPLIT_FOLDS = f"""
+f AS (SELECT CASE WHEN l_extendedprice > 40000 THEN 1.0 ELSE 0.0 END::DOUBLE AS x, l_extendedprice AS v,
+             CASE WHEN l_extendedprice + 1000 * l_quantity > 60000 THEN 1.0 ELSE 0.0 END::DOUBLE AS y,
+             (({hsql2('l_orderkey', 'l_linenumber', 7)}) * 3 // 4294967296)::INTEGER AS fold FROM lineitem),
+k AS (SELECT unnest([0, 1, 2]) AS k)"""
+
+
+@query("l2_l11_forest_cv_closed_form", f"""
+WITH {_SPLIT_FOLDS.strip()},
+m0 AS (SELECT k, avg(v) AS m FROM k JOIN f ON f.fold <> k GROUP BY k),
+m1 AS (SELECT k, x, avg(v) AS m FROM k JOIN f ON f.fold <> k GROUP BY k, x),
+e AS (SELECT 0::BIGINT AS combo, fold, sqrt(avg(power(v - m, 2))) AS rmse FROM f JOIN m0 ON k = fold GROUP BY fold
+      UNION ALL SELECT 1, fold, sqrt(avg(power(v - m, 2))) FROM f JOIN m1 ON k = fold AND m1.x = f.x GROUP BY fold),
+b AS (SELECT combo, avg(rmse) AS m FROM e GROUP BY combo)
+SELECT combo, round(m, 3) AS avg_metric, m = (SELECT min(m) FROM b) AS is_best FROM b""")
+def l2cf(spark, sf_dir):
+    # one binary feature: no split predicts the mean, one split the means of both groups; one fit a fold gives both
+    est = models.estimator("rf_reg", label="l_extendedprice", numTrees=1, bootstrap=False, featureSubsetStrategy="all")
+    pipe = models.build_pipeline(columns.Roles(numeric=("x",)), est, encode="none")
+    cv = models.tune(pipe, models.grid(est, {"maxDepth": [0, 1]}), models.evaluator("rf_reg", label="l_extendedprice"), _folded_split(spark, sf_dir),
+                     folds=3, parallelism=3, fold_col="fold", columns=["x", "l_extendedprice"])
+    return models.cv_table(cv).select("combo", r("avg_metric", 3).alias("avg_metric"), "is_best")
+
+
+@query("l6_l11_forest_cv_closed_form", f"""
+WITH {_SPLIT_FOLDS.strip()},
+m AS (SELECT k, x, avg(y) AS s FROM k JOIN f ON f.fold <> k GROUP BY k, x),
+g AS (SELECT k, f.x, s, sum(y) AS pos, sum(1 - y) AS neg FROM f JOIN m ON k = fold AND m.x = f.x GROUP BY k, f.x, s),
+a AS (SELECT a.k, sum(a.pos * CASE WHEN b.s < a.s THEN b.neg WHEN b.s = a.s THEN b.neg / 2 ELSE 0 END) / (sum(a.pos * b.neg)) AS auc
+      FROM g a JOIN g b ON a.k = b.k GROUP BY a.k),
+b AS (SELECT 0::BIGINT AS combo, 0.5::DOUBLE AS m UNION ALL SELECT 1, avg(auc) FROM a)
+SELECT combo, round(m, 6) AS avg_metric, m = (SELECT max(m) FROM b) AS is_best FROM b""")
+def l6cf(spark, sf_dir):
+    # the area under the curve of no split is a half, that of one split follows from the two groups
+    est = models.estimator("rf_cls", label="y", numTrees=1, bootstrap=False, featureSubsetStrategy="all")
+    pipe = models.build_pipeline(columns.Roles(numeric=("x",)), est, encode="none")
+    cv = models.tune(pipe, models.grid(est, {"maxDepth": [0, 1]}), models.evaluator("rf_cls", label="y"), _folded_split(spark, sf_dir),
+                     folds=3, parallelism=3, fold_col="fold", columns=["x", "y"])
+    return models.cv_table(cv).select("combo", r("avg_metric", 6).alias("avg_metric"), "is_best")
+
+
 @query("l10_l12_grid_search_table")
 def l11(spark, sf_dir):
     df = sampling.with_folds(standins.churn_orders_frame(spark, sf_dir), "o_orderkey", 3, seed=7)

@@ -9,6 +9,10 @@ SF_SMALL = "/root/testdata/sf0.001"
 SF_MID = "/root/testdata/sf0.01"
 
 
+def pytest_configure(config):
+    config.addinivalue_line("markers", "slow: fits whole searches or large forests; leave out with -m 'not slow'")
+
+
 @pytest.fixture(scope="session")
 def spark():
     from tabula.session import get_spark

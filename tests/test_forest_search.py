@@ -33,6 +33,7 @@ def _both(spark, kind, space, column=None, metric=None, **fixed):
     return out
 
 
+@pytest.mark.slow
 @pytest.mark.parametrize("kind,column,fixed", [("rf_reg", None, ONE), ("tree", None, {}), ("tree", "prediction", {}), ("rf_cls", None, ONE), ("rf_cls", "prediction", ONE)])
 def test_single_trees_equal_separate_fits(spark, kind, column, fixed):
     nested, apart = _both(spark, kind, {"maxDepth": [1, 3, 9], "maxBins": [8, 90]}, column, **fixed)

@@ -34,7 +34,7 @@ def con():
     return c
 
 
-@pytest.mark.parametrize("name", sorted(ORACLES))
+@pytest.mark.parametrize("name", [pytest.param(n, marks=pytest.mark.slow) if n == "l13_importance_slots" else n for n in sorted(ORACLES)])
 def test_matches_duckdb(spark, con, name):
     df = entry.queries()[name](spark, SF_SMALL)
     got = _rows(df.columns, [tuple(r) for r in df.collect()])

@@ -18,7 +18,12 @@ def test_rows_only_list_is_small_and_known():
     assert all(n.startswith(("s9_", "s11_", "m1_", "l")) for n in ROWS_ONLY), ROWS_ONLY
 
 
-@pytest.mark.parametrize("name", ROWS_ONLY)
+#: Whole searches and the workload's large forest.
+SLOW = {"l1_l11_claims_linear_cv", "l2_l11_claims_rf_cv", "l2_rf_regressor_demand", "l3_logistic_churn", "l4_linear_svc_churn", "l5_decision_tree_churn", "l5_tree_churn_by_hard_decision",
+        "l6_rf_classifier_churn", "l10_l12_grid_search_table", "l12_best_params", "l13_feature_importances"}
+
+
+@pytest.mark.parametrize("name", [pytest.param(n, marks=pytest.mark.slow) if n in SLOW else n for n in ROWS_ONLY])
 def test_rows_only_query_invariants(spark, name):
     df = entry.queries()[name](spark, SF_SMALL)
     rows = df.collect()
