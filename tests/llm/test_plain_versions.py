@@ -25,7 +25,7 @@ def test_rows_without_id_are_not_drawn(spark):
 
 def _plain_units(text):
     """Runs of letters, digits or marks; other bytes part them."""
-    found = quality.units(pa.array([text]))
+    found = quality.units(pa.array([text], pa.string()))
     return found[0].tolist()
 
 
