@@ -19,7 +19,7 @@ import pyarrow.compute as pc
 from .common import text_bytes
 
 #: Text bytes that are encoded together.
-TOKEN_SLICE = 8 << 20
+TOKEN_SLICE = 2 << 20
 _LOADED: dict[str, "ChunkTokenizer"] = {}
 
 
