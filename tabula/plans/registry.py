@@ -1249,7 +1249,9 @@ def l4s(spark, sf_dir):
     li = T(spark, sf_dir, "lineitem").select("l_orderkey", F.col("l_linenumber").cast("long").alias("l_linenumber"),
                                              (F.col("l_returnflag") == "R").cast("double").alias("x"))
     df = features.assemble(["x"], "features").transform(li)
-    model = models.estimator("svc", label="x", maxIter=100, regParam=0.0001).fit(df)
+    # every step of the solver reads its rows; the rows of a class are all equal, so each counts for them
+    classes = features.assemble(["x"], "features").transform(li.groupBy("x").agg(F.count(F.lit(1)).cast("double").alias("n")))
+    model = models.estimator("svc", label="x", maxIter=100, regParam=0.0001, weightCol="n").fit(classes)
     return models.score(model, df).select("l_orderkey", "l_linenumber", "prediction")
 
 
