@@ -42,15 +42,21 @@ _MARKS = "".join(c for c in string.punctuation if c != "'")
 
 
 class _Chunks(dict):
-    """Chunk of UTF-8 bytes -> its ids as bytes; asks the tokenizer for unknown chunks."""
+    """Chunk of UTF-8 bytes -> its ids as bytes; asks the tokenizer for unknown chunks.
 
-    def __init__(self, tokenizer, dtype):
+    ``older``: the cache before this one, so frequent chunks outlive a full cache.
+    """
+
+    def __init__(self, tokenizer, dtype, older: dict[bytes, bytes] | None = None):
         super().__init__()
+        self.older = {} if older is None else older
         self.tokenizer, self.model, self.letter = tokenizer, tokenizer.model, {2: "H", 4: "I"}[dtype.itemsize]
         self.lowered = type(tokenizer.normalizer).__name__ == "Sequence" and tokenizer.normalizer.normalize_str("AÉß") == "aéß"
 
     def __missing__(self, chunk: bytes) -> bytes:
-        if self.lowered and chunk.isalpha():  # ASCII letters stand for themselves and are one piece: the merges alone
+        if (ids := self.older.get(chunk)) is not None:
+            pass
+        elif self.lowered and chunk.isalpha():  # ASCII letters stand for themselves and are one piece: the merges alone
             ids = array(self.letter, [t.id for t in self.model.tokenize(chunk.decode().lower())]).tobytes()
         else:
             text = chunk.decode("utf-8", "replace")
@@ -91,9 +97,11 @@ class ChunkTokenizer:
         lowered = pc.ascii_lower(text)
         words = pc.ascii_split_whitespace(_marks_apart(pc.if_else(pa.array(odd), text, lowered) if odd.any() else lowered))
         found = words.flatten().dictionary_encode()
-        if len(self.chunks) > self.limit:
-            self.chunks.clear()
-        ids = list(map(self.chunks.__getitem__, found.dictionary.cast(pa.binary()).to_pylist()))
+        if 3 * len(self.chunks) > self.limit:  # two caches, and what a batch adds to each
+            self.chunks.older = {}
+            self.chunks = _Chunks(self.chunks.tokenizer, self.dtype, self.chunks)
+        # by way of numpy, as to_pylist boxes every value
+        ids = list(map(self.chunks.__getitem__, found.dictionary.cast(pa.large_binary()).to_numpy(zero_copy_only=False).tolist()))
         size = np.fromiter(map(len, ids), np.int64, len(ids)) // self.dtype.itemsize
         ends = np.concatenate([[0], np.cumsum(size)]).astype(np.int32)
         table = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.frombuffer(b"".join(ids), self.dtype)))

@@ -126,6 +126,14 @@ def test_cached_ids_are_those_of_whole_texts(small):
         assert encoder.encode(text).tolist() == _ids(text, 0)[:-1]
 
 
+def test_cache_keeps_what_it_found_last_when_it_is_full(monkeypatch):
+    encoder = tokens.ChunkTokenizer(tokens.default_vocabulary(), limit=1)
+    want = encoder.encode("alpha Beta").tolist()
+    monkeypatch.setattr(tokens._Chunks, "__missing__", lambda self, chunk: self.older[chunk])  # no look-ups in the vocabulary
+    assert encoder.encode("beta alpha beta").tolist() == _ids("beta alpha beta", 0)[:-1]
+    assert len(encoder.chunks.older) == len(want) == 2 and not encoder.chunks.older.older
+
+
 @pytest.mark.parametrize("file_bytes", [2000, 1 << 20])
 def test_token_files_round_trip(spark, small, clashing, file_bytes):
     for docs in (small, clashing):
