@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tabula.llm import langid, minmax, mixing, packing, secret_scan
-from tabula.llm.common import table, write_scratch
+from tabula.llm.common import table, without, write_scratch
 
 #: A text whose language knows under this share of its n-grams is not prose in any learned language.
 LEAST_KNOWN = 0.2
@@ -51,8 +51,7 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     Rows without ``doc_id`` stay; rows that share one go or stay together.
     """
     found = minmax.near_duplicates(docs.select("doc_id", "text"), n=5, percent=80)
-    gone = found.filter(~F.col("kept")).select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(*_columns(docs))
+    return without(docs, found.filter(~F.col("kept")), "doc_id")
 
 
 def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -82,6 +82,39 @@ def drawn(df: DataFrame, wanted: int, *keys: str) -> DataFrame:
     return known.filter(F.pmod(unit_hash(*keys), F.lit(1 << 30)) < F.lit(int(wanted / rows * (1 << 30))))
 
 
+#: Bits of the marks by which ``within`` and ``without`` tell rows apart where they are.
+MARK_BITS = 1 << 23
+
+
+def _marked(rows: DataFrame, keys: DataFrame, key: str) -> tuple[DataFrame, DataFrame]:
+    """(key, row, marked) of ``rows``, and the distinct ``keys``; the key of an unmarked row is not among them.
+
+    The keys mark places in a bit table of fixed size, which every task gets.
+    As marks fill up, more rows are marked that only share a place with a key.
+    """
+    keys = write_scratch(keys.select(F.col(key).alias("key")).distinct(), "keys")
+    place = F.pmod(unit_hash("key"), F.lit(MARK_BITS))
+    bit = F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod(place, F.lit(64)).cast("int"))
+    marks = keys.groupBy(F.shiftright(place, 6).alias("word")).agg(F.bit_or(bit).alias("bits"))
+    placed = rows.select(F.col(key).alias("key"), F.struct("*").alias("row")).withColumn("word", F.shiftright(place, 6))
+    marked = F.coalesce(F.col("bits").bitwiseAND(bit) != 0, F.lit(False))
+    return placed.join(F.broadcast(marks), "word", "left").select("key", "row", marked.alias("marked")), keys
+
+
+def within(rows: DataFrame, wanted: DataFrame, key: str) -> DataFrame:
+    """``rows`` whose ``key`` is in ``wanted``; only marked rows are shuffled for the exact join."""
+    marked, wanted = _marked(rows, wanted, key)
+    return marked.filter("marked").join(wanted, "key", "left_semi").select("row.*")
+
+
+def without(rows: DataFrame, gone: DataFrame, key: str) -> DataFrame:
+    """``rows`` whose ``key`` is not in ``gone``, and those without a key; unmarked rows
+    stay where they are, only marked ones are shuffled for the exact join."""
+    marked, gone = _marked(rows, gone, key)
+    unsure = marked.filter("marked").join(gone, "key", "left_anti")
+    return marked.filter(~F.col("marked")).select("row").unionAll(unsure.select("row")).select("row.*")
+
+
 def slices(batch: pa.RecordBatch, column: str, limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """Cut a batch into runs of rows with about ``limit`` bytes of ``column`` each."""
     n = batch.num_rows

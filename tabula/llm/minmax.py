@@ -31,10 +31,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import U64, mix64, powers, slices, word_spans, write_scratch
+from .common import U64, mix64, powers, slices, within, word_spans, write_scratch
 from .components import components
 
 PERMUTATIONS = 128
@@ -205,11 +205,12 @@ def near_duplicates(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame
     linkable = signed.filter("n_shingles > 0 and doc_id is not null")
     reps = linkable.groupBy("f1", "f2").agg(F.min(F.struct("doc_id", F.col("n_shingles").alias("n"), "sketch", "bands")).alias("r")).select("f1", "f2", "r.*")
     reps = write_scratch(reps, "minmax-reps")
-    buckets = reps.select("doc_id", F.explode("bands").alias("key"))
-    full = buckets.groupBy("key").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("top")).filter("low <> top").select("key")
-    shared = write_scratch(buckets.join(full, "key"), "minmax-buckets")
-    members = shared.select("doc_id").distinct()
-    sets = write_scratch(shingle_sets(docs.select("doc_id", "text").join(members, "doc_id", "left_semi"), n), "minmax-sets")
+    # bands are the widest table of keys: they are dealt by key once, buckets of one document leave there
+    by_key = Window.partitionBy("key")
+    buckets = reps.select(F.explode("bands").alias("key"), "doc_id")
+    full = buckets.withColumns({"low": F.min("doc_id").over(by_key), "top": F.max("doc_id").over(by_key)}).filter("low <> top")
+    shared = write_scratch(full.select("key", "doc_id"), "minmax-buckets")
+    sets = write_scratch(shingle_sets(within(docs.select("doc_id", "text"), shared, "doc_id"), n), "minmax-sets")
     facts = write_scratch(_facts(reps, sets, percent), "minmax-facts")
 
     # first round: each document against the hub of its buckets that has least of its own
@@ -237,7 +238,10 @@ def near_duplicates(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame
                        # a pair comes out of the first bucket it shares only
                        & (F.get(F.array_intersect("l.x.bands", "r.x.bands"), F.lit(0)) == F.col("l.key")))
              .select(F.col("l.doc_id").alias("a"), F.col("r.doc_id").alias("b")).distinct())
-    more = write_scratch(_shared(cross, sets).filter(_linked(percent)).select("a", "b"), "minmax-more")
+    # few documents are left to compare: only their sets move
+    cross = write_scratch(cross, "minmax-cross")
+    asked = sets.join(cross.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct(), "doc_id", "left_semi")
+    more = write_scratch(_shared(cross, asked).filter(_linked(percent)).select("a", "b"), "minmax-more")
     found = components(links.unionAll(more)) if more.take(1) else found
 
     classes = reps.select("f1", "f2", F.col("doc_id").alias("node_")).join(found, F.col("node_") == F.col("node"), "left").select("f1", "f2", F.coalesce("component", "node_").alias("component"))

@@ -1,11 +1,12 @@
 """Operators 3, 6, 7: windows, vectors, min-max signatures against brute force."""
 
 import brute
+import corpus_pipeline
 import numpy as np
 import pytest
 from llm_fixtures import SF_SMALL, _library, clashing, edges, nothing, small  # noqa: F401
 
-from tabula.llm import components, embed_join, minmax, queries, substring
+from tabula.llm import common, components, embed_join, minmax, queries, substring
 
 
 def _by_id(rows):
@@ -125,3 +126,45 @@ def test_query_over_embeddings(spark):
     rows = [tuple(r) for r in spark.read.parquet(f"{SF_SMALL}/embeddings.parquet").select("vec_id", "label", "embedding").collect()]
     got = queries.op6_pivot_range_join(spark, SF_SMALL).collect()
     assert {r["vec_id"]: (r["n_links"], r["component_id"]) for r in got} == brute.links(rows, 0.98)
+
+
+@pytest.mark.parametrize("bits", [64, 1 << 23])
+def test_without_drops_exactly_the_keys_gone(spark, clashing, monkeypatch, bits):
+    # few places: rows that stay share theirs with rows that go
+    monkeypatch.setattr(common, "MARK_BITS", bits)
+    docs = clashing.withColumns({"row": clashing["text"], "word": clashing["doc_id"], "marked": clashing["lang"]})
+    gone = docs.filter("doc_id % 3 = 0")
+    got = common.without(docs, gone.unionAll(gone), "doc_id")
+    assert got.columns == docs.columns
+    assert sorted(map(repr, got.collect())) == sorted(map(repr, docs.filter("doc_id is null or doc_id % 3 <> 0").collect()))
+    assert common.without(docs, docs.limit(0), "doc_id").count() == docs.count()
+    assert sorted(map(repr, common.within(docs, gone.unionAll(gone), "doc_id").collect())) == sorted(map(repr, gone.collect()))
+
+
+def test_rows_that_stay_are_not_shuffled(spark, small):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        plan = corpus_pipeline.drop_near_duplicates(spark, small, SF_SMALL)._jdf.queryExecution().sparkPlan()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    while plan.nodeName() != "Union" and plan.children().size():
+        plan = plan.children().head()
+    assert plan.nodeName() == "Union"
+    stay, unsure = (plan.children().apply(k).toString() for k in range(2))
+    assert "SortMergeJoin" not in stay and "LeftAnti" in unsure
+
+
+def test_bands_are_dealt_by_key_once_and_only_asked_sets_move(small, monkeypatch):
+    plans = {}
+
+    def noted(df, name, *more):
+        plans[name] = df._jdf.queryExecution().executedPlan().toString()
+        return common.write_scratch(df, name, *more)
+
+    monkeypatch.setattr(minmax, "write_scratch", noted)
+    minmax.near_duplicates(small).count()
+    assert plans["minmax-buckets"].count("Exchange hashpartitioning(key") == 1
+    assert "LeftSemi" in plans["minmax-more"]
+    # texts that share no bucket leave before the shuffle
+    texts = plans["minmax-sets"]
+    assert "BroadcastHashJoin [word" in texts and "LeftSemi" in texts
